@@ -2,15 +2,51 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import bpe_codec, sharding, token_counts, topk_search
+from .common import documents, tokenizer_path
+
 
-from . import sharding
-from .common import documents
+@functools.cache
+def pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
 
 
 def op1_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir), sharding.even_tree(8), sharding.even_tree(9))
 
 
-QUERIES = {"op1_hash_tree_sharding": op1_hash_tree_sharding}
+def op2_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), limit=4096)
+
+
+def op4_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.round_trip_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), pattern())
+
+
+def op8_impact_ordered_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk_search.quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", 1024)
+    return topk_search.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+QUERIES = {q.__name__: q for q in (op1_hash_tree_sharding, op2_transducer_token_counts, op4_transducer_bpe, op8_impact_ordered_topk)}
 ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL["op8_impact_ordered_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
