@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, sharding, token_counts, topk_search
+from . import bpe_codec, media, near_dedup, packing, pii, secrets_crf, sharding, token_counts, topk_search, toxicity
 from .common import documents, tokenizer_path
 
 
@@ -35,7 +35,32 @@ def op8_impact_ordered_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
-QUERIES = {q.__name__: q for q in (op1_hash_tree_sharding, op2_transducer_token_counts, op4_transducer_bpe, op8_impact_ordered_topk)}
+def op3_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op5_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_crf.scan(documents(spark, sf_dir))
+
+
+def op6_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+
+
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogates(documents(spark, sf_dir))
+
+
+def op9_chunked_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_table(documents(spark, sf_dir))
+
+
+def op10_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+QUERIES = {q.__name__: q for q in (op1_hash_tree_sharding, op2_transducer_token_counts, op3_bounded_space_packing, op4_transducer_bpe, op5_crf_secrets, op6_bayesian_minhash, op7_surrogates, op8_impact_ordered_topk, op9_chunked_media, op10_boosted_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["op8_impact_ordered_topk"] = """
 WITH v AS (
