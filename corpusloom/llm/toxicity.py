@@ -1,10 +1,10 @@
 """Operator 10, toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
 A model is fitted on the driver from at most MAX_TRAIN labelled rows, taken in the order of a hash of doc_id, never
-from held-out ones (crc32 of doc_id as text divisible by 5). The rows fall into three folds by another hash: from the
-first come the lexicon's words and word beginnings, by log-odds of the documents that hold them; on the second the trees are
-grown, on features that the lexicon has not been chosen by; on the third scores are calibrated by pooling adjacent
-violators. Only texts are inputs of a score. Scoring is one pass over whole texts without a shuffle.
+from held-out ones (crc32 of doc_id as text divisible by 5). The lexicon's words and word beginnings are chosen by log-odds of the documents
+that hold them. Each half of the rows, by another hash, gets its features from the lexicon of the other half, so that no row is
+described by words that it helped to choose; on four fifths of them the trees are grown, on the last fifth scores are
+calibrated by pooling adjacent violators, and texts are then scored with the lexicon of all rows. Only texts are inputs of a score. Scoring is one pass over whole texts without a shuffle.
 
 Defined cases: a null text scores as an empty one; a null doc_id counts as held out; rows without a label, or with one
 other than 0 and 1, teach nothing; labels of one class, or none, give every text the share of that class (0 for none);
@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 
 from .bpe_codec import Memo
 from .common import own_columns
+from .near_dedup import shingle_set
 
 #: Labelled rows that a model is fitted on, at most.
-MAX_TRAIN = 12_000
+MAX_TRAIN = 8_000
 #: Lexicon: documents of class 1 that hold an entry, their least log-odds, and entries, at most.
-LEAST_DOCS, LEAST_LOG_ODDS, MAX_LEXICON = 8, 3.0, 4_000
+LEAST_DOCS, LEAST_LOG_ODDS, MAX_LEXICON = 5, 3.0, 4_000
 #: Lengths of word beginnings in the lexicon.
 BEGINNINGS = (4, 5, 6)
 #: Words within which a lexicon hit counts as near the second person.
@@ -69,22 +70,30 @@ class Lexicon:
 
 def learn_lexicon(texts: list[str], toxic: list[int]) -> Lexicon:
     """Words and word beginnings that documents of class 1 hold far more often; copies of a document count once."""
-    found: list[Counter] = [Counter(), Counter()]
-    number, seen = [0, 0], set()
+    kept: list[list[str]] = [[], []]
+    seen = set()
     for text, label in zip(texts, toxic, strict=True):
-        words = WORD.findall(text.lower())
-        # near copies mostly share the least hash of their runs of five words
-        key = min((zlib.crc32(" ".join(words[i : i + 5]).encode()) for i in range(max(1, len(words) - 4))), default=0)
-        if (key, label) in seen:
-            continue
-        seen.add((key, label))
-        number[label] += 1
-        distinct = set(words)
-        found[label].update(distinct)
-        found[label].update({(w[:n],) for w in distinct for n in BEGINNINGS if len(w) > n})
+        shingles = shingle_set(text, 5)
+        key = (int(shingles[0]) if len(shingles) else 0, label)  # near copies mostly share the least hash
+        if key not in seen:
+            seen.add(key)
+            kept[label].append(text)
+
+    def entries(text: str) -> set:
+        distinct = set(WORD.findall(text.lower()))
+        return distinct | {(w[:n],) for w in distinct for n in BEGINNINGS if len(w) > n}
+
+    toxic_docs: Counter = Counter()
+    for text in kept[1]:
+        toxic_docs.update(entries(text))
+    toxic_docs = Counter({x: n for x, n in toxic_docs.items() if n >= LEAST_DOCS})
+    other_docs: Counter = Counter()
+    for text in kept[0]:
+        other_docs.update(toxic_docs.keys() & entries(text))
     odds = {}
-    for x, n in found[1].items():
-        if n >= LEAST_DOCS and (o := math.log((n + 0.5) / (number[1] + 1)) - math.log((found[0][x] + 0.5) / (number[0] + 1))) >= LEAST_LOG_ODDS:
+    for x, n in toxic_docs.items():
+        o = math.log((n + 0.5) / (len(kept[1]) + 1)) - math.log((other_docs[x] + 0.5) / (len(kept[0]) + 1))
+        if o >= LEAST_LOG_ODDS:
             odds[x] = (-o * n, str(x))
     best = sorted(odds, key=odds.get)[:MAX_LEXICON]
     return Lexicon(frozenset(x for x in best if isinstance(x, str)), frozenset(x[0] for x in best if isinstance(x, tuple)))
@@ -217,21 +226,24 @@ class Model:
 
 
 def fit(texts: list[str], toxic: list[int], folds: list[int]) -> Model:
-    """folds: 0 to 9 of each row; 0-4 teach the lexicon, 5-7 the trees, 8 and 9 the calibration."""
+    """folds: 0 to 9 of each row; even and odd ones choose each other's lexicon, 8 and 9 calibrate."""
     import numpy as np
 
     y = np.array(toxic)
     if len(set(toxic)) < 2:
         return Model(float(y.mean()) if len(y) else 0.0)
     fold = np.array(folds)
-    parts = [fold < 5, (fold >= 5) & (fold < 8), fold >= 8]
-    if any(len(set(y[p])) < 2 for p in parts):  # too few rows to divide
-        parts = [np.ones(len(y), bool)] * 3
-    lexicon = learn_lexicon([texts[i] for i in np.flatnonzero(parts[0])], y[parts[0]].tolist())
-    features = Features(lexicon)
-    x = np.array([features(t) for t in texts])
-    trees = Trees.fit(x[parts[1]], y[parts[1]].astype(float))
-    return Model(float(y.mean()), lexicon, trees, isotonic(trees(x[parts[2]]), y[parts[2]]))
+    grown, held = np.flatnonzero(fold < 8), np.flatnonzero(fold >= 8)
+    if any(len(set(y[p])) < 2 for p in (grown, held)):  # too few rows to divide
+        grown = held = np.arange(len(y))
+    x = np.zeros((len(y), len(FEATURES)))
+    for half in (0, 1):
+        teach, told = np.flatnonzero(fold % 2 == half), np.flatnonzero(fold % 2 != half)
+        features = Features(learn_lexicon([texts[i] for i in teach], y[teach].tolist()))
+        for i in told:
+            x[i] = features(texts[i])
+    trees = Trees.fit(x[grown], y[grown].astype(float))
+    return Model(float(y.mean()), learn_lexicon(texts, toxic), trees, isotonic(trees(x[held]), y[held]))
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Model:
