@@ -20,7 +20,7 @@ METRICS = (
 
 
 def fuzzy_pairs(references: DataFrame, documents: DataFrame, threshold: float, on: list[str] | None = None) -> DataFrame:
-    """(reference_id, chunk_id, share) of pairs in which at least `threshold` of the reference's tokens, repeated ones
+    """(reference_id, *on, chunk_id, share) of pairs in which at least `threshold` of the reference's tokens, repeated ones
     counted, occur in the document; the columns `on` must agree besides.
 
     references: (reference_id, text, *on); documents: (chunk_id, content, *on). A join on tokens, not on pairs: a pair without a common
@@ -31,15 +31,15 @@ def fuzzy_pairs(references: DataFrame, documents: DataFrame, threshold: float, o
     on = on or []
     asked = references.select("reference_id", *on, T.tokens("text").alias("t")).withColumn("n", F.size("t")).select("reference_id", *on, "n", F.explode("t").alias("token")).groupBy("reference_id", *on, "n", "token").agg(F.count(F.lit(1)).alias("tf"))
     held = documents.select("chunk_id", *on, F.explode(F.array_distinct(T.tokens("content"))).alias("token"))
-    shares = asked.join(held, [*on, "token"]).groupBy("reference_id", "chunk_id", "n").agg(F.sum("tf").alias("m"))
-    return shares.withColumn("share", F.col("m").cast("double") / F.col("n").cast("double")).where(F.col("share") >= threshold).select("reference_id", "chunk_id", "share")
+    shares = asked.join(held, [*on, "token"]).groupBy("reference_id", *on, "chunk_id", "n").agg(F.sum("tf").alias("m"))
+    return shares.withColumn("share", F.col("m").cast("double") / F.col("n").cast("double")).where(F.col("share") >= threshold).select("reference_id", *on, "chunk_id", "share")
 
 
 def matches(references: DataFrame, hits: DataFrame, threshold: float) -> DataFrame:
     """(question_id, reference_id, chunk_id, rank) of hits that hold a reference of their question."""
     docs = hits.select("question_id", "chunk_id", "content").dropDuplicates(["question_id", "chunk_id"])
     found = fuzzy_pairs(references, docs, threshold, ["question_id"])
-    return found.join(references.select("question_id", "reference_id").distinct(), "reference_id").join(hits.select("question_id", "chunk_id", "rank"), ["question_id", "chunk_id"]).select("question_id", "reference_id", "chunk_id", "rank")
+    return found.join(hits.select("question_id", "chunk_id", "rank"), ["question_id", "chunk_id"]).select("question_id", "reference_id", "chunk_id", "rank")
 
 
 def at_each_k(ranked: DataFrame, ks: list[int]) -> DataFrame:

@@ -72,13 +72,27 @@ def ranked(hits: DataFrame, by: str, order: list, k: int, name: str = "rank") ->
 
 def sign_bits(c: Column) -> Column:
     """Signs of up to 64 components as the bits of a long: bit i is set where component i is positive."""
-    return F.aggregate(F.transform(F.slice(c, 1, 64), lambda x, i: F.when(x > 0, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, b: s.bitwiseOR(b))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    bits = F.transform(F.slice(c, 1, 64), lambda x, i: F.when(x > 0, F.call_function("shiftleft", one, i)).otherwise(none))
+    return F.aggregate(bits, none, lambda s, b: s.bitwiseOR(b))
 
 
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)).cast("long")
 
 
+def hamming_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """query_id, rank, vec_id and distance: each query's k nearest by signs, ties by id; a prefilter for exact rescoring.
+
+    Both (vec_id, bits); queries are dealt into blocks, and vectors meet every block.
+    """
+    blocks = max(1, -(-queries.count() // QUERIES_PER_BLOCK))
+    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("bits").alias("query_bits"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("qb"))
+    stored = vectors.select("vec_id", "bits", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("qb"))
+    pairs = stored.join(asked, "qb").where("vec_id <> query_id").select("query_id", "vec_id", hamming(F.col("bits"), F.col("query_bits")).alias("distance"))
+    return ranked(pairs, "query_id", [F.asc("distance"), F.asc("vec_id")], k)
+
+
 @dataclass(frozen=True)
 class Collection:
     """A table of points (id, vector, payload columns) with a fixed dimension and the cosine distance."""
