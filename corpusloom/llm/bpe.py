@@ -17,7 +17,9 @@ as needed, which bounds memory and changes no result.
 
 from __future__ import annotations
 
-from collections.abc import Hashable, Sequence
+import contextlib
+import gc
+from collections.abc import Hashable, Iterator, Sequence
 
 #: Transitions held before the machine starts afresh: some 100 MB at most.
 MAX_TRANSITIONS = 250_000
@@ -25,6 +27,18 @@ MAX_TRANSITIONS = 250_000
 MAX_PAIRS = 250_000
 
 
+@contextlib.contextmanager
+def no_collector() -> Iterator[None]:
+    """Without the cyclic collector, which would walk all memos and states again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class State(dict):
     """symbol -> (number of tokens emitted, the tokens emitted, next state), or None: asked for once."""
 
@@ -52,18 +66,21 @@ class Unknown:
 
 
 class Transducer:
-    """ranks: token (str or bytes) -> rank, the lowest joined first, the leftmost of equals."""
+    """ranks: token (str or bytes) -> rank, the lowest joined first, the leftmost of equals; labels: token -> what is emitted for it."""
 
-    def __init__(self, ranks: dict, max_transitions: int = MAX_TRANSITIONS) -> None:
+    def __init__(self, ranks: dict, labels: dict | None = None, max_transitions: int = MAX_TRANSITIONS) -> None:
         self.ranks, self.max_transitions = ranks, max_transitions
+        self.labels = labels or {t: t for t in ranks}
         #: what a longer token begins with
         self.starts = {t[:i] for t in ranks for i in range(1, len(t))}
         self.empty = next(iter(ranks))[:0]
-        self.histories: dict = {}
+        #: the joinings that make each token that encodes to itself
+        self.histories = {t: history for t in ranks for parts, history in (self.join(t),) if len(parts) == 1}
         self.pairs: dict = {}
         self.reset()
 
     def reset(self) -> None:
+        """Drop all states; they hold one another, so that only the collector frees them."""
         self.states: dict[Hashable, State] = {}
         self.made = 0
         self.start = self._state(self.empty, ((0, None, ()),))
@@ -80,21 +97,12 @@ class Transducer:
             history.append((rank, parts[0], parts[-1]))
         return parts, history
 
-    def _history(self, token) -> list | None:
-        """The joinings that make a token; None if it doesn't encode to itself."""
-        if token not in self.histories:
-            parts, history = self.join(token) if token in self.ranks else ([], [])
-            self.histories[token] = history if parts == [token] else None
-        return self.histories[token]
-
     def _fits(self, left, token) -> bool:
-        """Whether left and token, put together, are not joined across: both histories are played, the lowest rank
+        """Whether left and token (asked for once, see `pairs`), put together, are not joined across: both histories are played, the lowest rank
         first and the leftmost of equals, and the parts that meet must never be next."""
-        if left is None or isinstance(left, Unknown):
+        if left is None or left.__class__ is Unknown:
             return True
-        if (known := self.pairs.get((left, token))) is not None:
-            return known
-        before, after, i, j = self._history(left), self._history(token), 0, 0
+        before, after, i, j = self.histories[left], self.histories[token], 0, 0
         last, first, never = left[-1:], token[:1], float("inf")
         while True:
             a = before[i][0] if i < len(before) else never
@@ -127,13 +135,14 @@ class Transducer:
         """Make the transition of a state by a symbol; code is the symbol as iteration gives it (an int for bytes)."""
         if self.made >= self.max_transitions:
             self.reset()  # states still in use go on; they are no longer found again
+            gc.collect()
         self.made += 1
         read = state.suffix + symbol
         if symbol in self.ranks:
             for size, last, waiting in state.cuts:
                 token = read[len(read) - size - 1 :]
-                if self._history(token) is not None and self._fits(last, token):
-                    new = (0, token, (*waiting, token))
+                if token in self.histories and ((fits := self.pairs.get((last, token))) or fits is None and self._fits(last, token)):
+                    new = (0, token, (*waiting, self.labels[token]))
                     break
             else:
                 raise ValueError(f"the vocabulary's tokens don't fit together at {read!r}")
@@ -151,16 +160,16 @@ class Transducer:
         return made
 
     def _read_on(self, word, at: int, state: State) -> tuple:
-        """Unsettled tokens at the end of a word, read from position `at` on in a state, by its cuts."""
-        ranks, starts, histories = self.ranks, self.starts, self.histories
+        """Labels of the unsettled tokens at the end of a word, read from position `at` on in a state, by its cuts."""
+        ranks, starts, histories, known, labels = self.ranks, self.starts, self.histories, self.pairs, self.labels
         cuts = [(at - size, last, waiting) for size, last, waiting in state.cuts]
         for i in range(at, len(word)):
             end = i + 1
             if (symbol := word[i:end]) in ranks:
                 for begin, last, waiting in cuts:
                     token = word[begin:end]
-                    if token in ranks and (histories[token] if token in histories else self._history(token)) is not None and self._fits(last, token):
-                        new = (end, token, (*waiting, token))
+                    if token in histories and ((fits := known.get((last, token))) or fits is None and self._fits(last, token)):
+                        new = (end, token, (*waiting, labels[token]))
                         break
                 else:
                     raise ValueError(f"the vocabulary's tokens don't fit together at {word[:end]!r}")
@@ -191,7 +200,7 @@ class Transducer:
         return n + state.rest_count
 
     def tokens(self, word) -> list:
-        """Tokens of a word, in order."""
+        """Labels of a word's tokens, in order."""
         state, out = self.start, []
         for i, code in enumerate(word):
             made = state.get(code) or self._ask(state, word, i, code)

@@ -20,7 +20,7 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 
-from .bpe import Transducer
+from .bpe import Transducer, no_collector
 from .common import own_columns
 
 #: A single space between two characters that aren't white space; there the pattern always starts a match.
@@ -28,7 +28,7 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 #: White space beside a space, or at an end of the text.
 UNEVEN = re.compile(r" \s|\s |^\s|\s$")
 #: Parts whose ids are remembered, and the longest of these; matches whose ids are remembered.
-MAX_PARTS, MAX_PART, MAX_MATCHES = 400_000, 40, 200_000
+MAX_PARTS, MAX_PART, MAX_MATCHES = 700_000, 40, 200_000
 #: Marks that end a part often.
 PUNCTUATION = ".,;:!?&$#\"')"
 #: Ids decoded at a time.
@@ -64,29 +64,36 @@ class ByteBpe:
         import regex
 
         self.ranks, self.find = ranks, regex.compile(pattern).findall
-        self.machine = Transducer(ranks)
+        self.machine = Transducer(ranks, ranks)
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.matches = Memo(self._match, most=MAX_MATCHES)
+        #: part -> its ids, and these in decimal joined by spaces
         self.first, self.rest = Memo(self._part), Memo(self._part, " ")
 
     def _match(self, match: str) -> tuple[int, ...]:
-        return tuple(map(self.ranks.__getitem__, self.machine.tokens(match.encode())))
+        return tuple(self.machine.tokens(match.encode()))
 
-    def _part(self, part: str) -> tuple[int, ...]:
+    def _part(self, part: str) -> tuple[tuple[int, ...], str]:
         core = part.rstrip(PUNCTUATION)
         if core[core[:1] == " " :].isalpha():  # letters are one match, with the space before, and marks after them another
-            return self.matches[core] + self.matches[part[len(core) :]] if len(core) < len(part) else self.matches[core]
-        return tuple(i for m in self.find(part) for i in self.matches[m])
+            ids = self.matches[core] + self.matches[part[len(core) :]] if len(core) < len(part) else self._match(part)
+        else:
+            ids = tuple(i for m in self.find(part) for i in self.matches[m])
+        return ids, " ".join(map(str, ids))
 
-    def encode(self, text: str) -> list[int]:
+    def _parts(self, text: str) -> list[tuple[tuple[int, ...], str]]:
         if not text:
             return []
         head, *tail = parts_of(text)
-        ids = list(self.first[head])
-        extend = ids.extend
-        for x in map(self.rest.__getitem__, tail):
-            extend(x)
-        return ids
+        return [self.first[head], *map(self.rest.__getitem__, tail)]
+
+    def encode(self, text: str) -> list[int]:
+        return [i for ids, _ in self._parts(text) for i in ids]
+
+    def encode_with_decimals(self, text: str) -> tuple[list[int], str]:
+        """The ids, and the ids in decimal joined by spaces."""
+        parts = self._parts(text)
+        return [i for ids, _ in parts for i in ids], " ".join([d for _, d in parts])
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -144,14 +151,15 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         bpe = codec(path, pattern)
         for batch in batches:
             n, coded, decoded = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = bpe.encode(text or "")
-                n.append(len(ids))
-                coded.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
-                whole = hashlib.sha256()
-                for i in range(0, len(ids), DECODE_IDS):
-                    whole.update(bpe.decode_bytes(ids[i : i + DECODE_IDS]))
-                decoded.append(whole.hexdigest())
+            with no_collector():
+                for text in batch.column(1).to_pylist():
+                    ids, decimals = bpe.encode_with_decimals(text or "")
+                    n.append(len(ids))
+                    coded.append(hashlib.sha256(decimals.encode()).hexdigest())
+                    whole = hashlib.sha256()
+                    for i in range(0, len(ids), DECODE_IDS):
+                        whole.update(bpe.decode_bytes(ids[i : i + DECODE_IDS]))
+                    decoded.append(whole.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return own_columns(docs, "doc_id", "text").selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(of, SCHEMA)

@@ -22,14 +22,14 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from .bpe import Transducer
+from .bpe import Transducer, no_collector
 from .common import own_columns
 
 MARK = "▁"
 #: Characters in a chunk.
 CHUNK = 1 << 16
 #: Words whose counts are remembered, and the longest of these.
-MAX_WORDS, MAX_WORD = 400_000, 40
+MAX_WORDS, MAX_WORD = 800_000, 40
 #: Often at the end of a word; counted apart where no piece joins it to the word.
 PUNCTUATION = ".,;:!?&$#\"')"
 RESTART = re.compile(f"(?<=[^{MARK}])(?={MARK})")
@@ -131,7 +131,8 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int) -> DataFrame:
         count = counter(model_path).count
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            n = [count(t) for t in texts]
+            with no_collector():
+                n = [count(t) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return own_columns(docs, "doc_id", "text").selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(of, SCHEMA)
