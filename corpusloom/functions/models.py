@@ -13,6 +13,7 @@ import re
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -91,9 +92,7 @@ def embed(df: DataFrame, text_col: str, to: str = "embedding", factory: Callable
     """df with vectors of a text column; the model is made once per task."""
 
     @pandas_udf("array<float>")
-    def of(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = factory()
         for s in batches:
             yield pd.Series(model.encode([x or "" for x in s]))
@@ -105,9 +104,7 @@ def pair_scores(query: Column, document: Column, factory: Callable[[], PairScore
     """Scores of (query, document) pairs."""
 
     @pandas_udf("double")
-    def of(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = factory()
         for q, d in batches:
             yield pd.Series(model.score([(a or "", b or "") for a, b in zip(q, d, strict=True)]))

@@ -58,15 +58,15 @@ def malformed(spark: SparkSession, path: str) -> DataFrame:
 
 def mapping(spark: SparkSession, path: str) -> DataFrame:
     """(new_path, old_path) of a JSON object; of repeated keys the last wins."""
-    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,string>").alias("m"))
-    return whole.select(F.explode("m").alias("new_path", "old_path"))
+    entries = whole.select(F.posexplode("m").alias("at", "new_path", "old_path"))  # repeated keys are entries each
+    return entries.groupBy("new_path").agg(F.max_by("old_path", "at").alias("old_path"))
 
 
 def catalog_texts(spark: SparkSession, catalog: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     """Texts of the files that a catalog (file_path, ...) names below a root, cleaned; and the catalog rows whose file is missing."""
     files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True).select(T.cleanup("value").alias("content"), F.col("_metadata.file_path").alias("__at"))
-    base = F.lit(root.rstrip("/").removeprefix("file:").lstrip("/") + "/")
+    base = root.rstrip("/").removeprefix("file:").lstrip("/") + "/"
     files = files.withColumn("__key", F.substring_index("__at", base, -1))
     return catalog.join(files, F.col("file_path") == F.col("__key")).drop("__key", "__at"), catalog.join(files, F.col("file_path") == F.col("__key"), "left_anti")
 
