@@ -5,10 +5,9 @@ outside, from the word's shape, the words beside it and features of the whole te
 Viterbi. It is trained here, by stochastic gradient on the conditional likelihood with exact forward-backward, on lines
 that a generator makes from a seed: assignments, keys, hashes and tokens among ordinary words, numbers and addresses.
 
-Most words can't be part of a secret on any tagging: a word is settled as outside if its own score for outside leads by
-more than all that the words beside it, the text's features and the transitions could ever give. The chain falls apart at
-settled words (a settled word's tag is known, so what lies beside it is scored as next to outside), and Viterbi is run,
-exactly, on what lies between. Memory is bounded by one text.
+A word that is shorter than LEAST_SECRET or has no digit can't be part of a secret: its scores for begin and inside are
+fixed at FORBIDDEN. The chain falls apart at such words, whose tag is known to be outside, so Viterbi is run, exactly, on
+the runs of other words between them. Memory is bounded by one text.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows each get a row; an empty table gives an empty
 result; extra columns are ignored; spans are in code points, the end exclusive; base spans always stay, CRF spans that
@@ -27,7 +26,6 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 
-from .bpe_codec import Memo
 from .common import own_columns
 
 #: The base patterns, the group that is measured and its least length. Letters of ASCII only are of either case.
@@ -38,6 +36,9 @@ KINDS = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24
 #: Quick signs without which a pattern can't match.
 ASSIGN_SIGN = re.compile(r"[:=]")
 WORD = re.compile(r"[^\s\"'`<>(){}\[\],;=:]+")
+DIGIT = re.compile(r"\d")
+#: Characters of a secret, at least, and the score of a tag that can't be.
+LEAST_SECRET, FORBIDDEN = 8, -1000.0
 OUT, BEGIN, INSIDE = 0, 1, 2
 TAGS = 3
 SEED, LINES, EPOCHS, RATE, DECAY = 7, 900, 4, 0.4, 1e-4
@@ -75,6 +76,10 @@ def shape(word: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def may_be_secret(word: str) -> bool:
+    return len(word) >= LEAST_SECRET and DIGIT.search(word) is not None
+
+
 def beside(word: str | None) -> str:
     """What a word is to its neighbours."""
     return "edge" if word is None else "cue" if word.lower().strip(".!?_-") in CUES else "plain" if word.isalpha() else "mixed"
@@ -97,6 +102,9 @@ class Crf:
     def scores(self, words: list[str], context: tuple[str, ...], before: str | None = None, after: str | None = None) -> list[list[float]]:
         out = []
         for i, w in enumerate(words):
+            if not may_be_secret(w):
+                out.append([0.0, FORBIDDEN, FORBIDDEN])
+                continue
             features = (*shape(w), "before=" + beside(words[i - 1] if i else before), "after=" + beside(words[i + 1] if i + 1 < len(words) else after), *context)
             out.append([sum(self.weights[f][t] if f in self.weights else 0.0 for f in features) for t in range(TAGS)])
         return out
@@ -123,6 +131,8 @@ class Crf:
             b[i] = [log_sum([self.moves[t][u] + s[i + 1][u] + b[i + 1][u] for u in range(TAGS)]) for t in range(TAGS)]
         whole = log_sum(a[-1])
         for i, w in enumerate(words):
+            if not may_be_secret(w):
+                continue
             features = (*shape(w), "before=" + beside(words[i - 1] if i else None), "after=" + beside(words[i + 1] if i + 1 < n else None), *context)
             for t in range(TAGS):
                 step = rate * ((tags[i] == t) - math.exp(a[i][t] + b[i][t] - whole))
@@ -148,16 +158,6 @@ class Crf:
             tags.append(tag := come[tag])
         return tags[::-1]
 
-    def most_help(self) -> float:
-        """How much all but a word's own shape can at most put begin or inside before outside."""
-        lead = lambda names: max((max(w[BEGIN], w[INSIDE]) - w[OUT] for f, w in self.weights.items() if f.startswith(names)), default=0.0)
-        spread = max(max(r) for r in self.moves) - min(x for r, row in enumerate(self.moves) for t, x in enumerate(row) if (r, t) != (OUT, INSIDE))
-        return lead("before=") + lead("after=") + lead("file:") + 2 * spread
-
-    def own_lead(self, word: str) -> float:
-        own = [sum(self.weights[f][t] for f in shape(word) if f in self.weights) for t in range(TAGS)]
-        return max(own[BEGIN], own[INSIDE]) - own[OUT]
-
 
 def _made_lines(rng: random.Random) -> Iterator[tuple[list[str], list[int], tuple[str, ...]]]:
     """Tagged lines of made-up text."""
@@ -197,17 +197,15 @@ def trained() -> Crf:
 
 class Tagger:
     def __init__(self, crf: Crf) -> None:
-        self.crf, self.help = crf, crf.most_help()
-        self.open = Memo(lambda w: crf.own_lead(w) + self.help >= 0.0)
+        self.crf = crf
 
     def spans(self, text: str) -> list[tuple[int, int]]:
         """Spans (start, end) of tagged secrets."""
-        plain = text.split()
-        if not any(map(self.open.__getitem__, {p for w in plain if not w.isalpha() for p in WORD.findall(w)})) and not any(map(self.open.__getitem__, {w for w in plain if w.isalpha()})):
+        if not DIGIT.search(text):
             return []
         found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(text)]
         words = [w for w, _, _ in found]
-        unsettled = [i for i, w in enumerate(words) if self.open[w]]
+        unsettled = [i for i, w in enumerate(words) if may_be_secret(w)]
         context, out, at = file_features(text), [], 0
         while at < len(unsettled):
             stop = at
