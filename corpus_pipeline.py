@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import near_dedup, packing, pii, toxicity
-from corpusloom.llm.common import documents, staged, tokenizer_path
+from corpusloom.llm.common import documents, split_pattern, staged, tokenizer_path
 from corpusloom.session import share_package
 
 
@@ -34,7 +34,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in windows of 1024 tokens."""
     share_package(spark)
-    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"), split_pattern())
 
 
 STAGES = [("toxicity", clean), ("near_duplicates", distinct), ("surrogates", private), ("packing", windows)]

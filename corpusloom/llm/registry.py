@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_codec, media, near_dedup, packing, pii, secrets_crf, sharding, token_counts, topk_search, toxicity
-from .common import documents, tokenizer_path
-
-
-@functools.cache
-def pattern() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.PATTERN
+from .common import documents, split_pattern, tokenizer_path
 
 
 def op1_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +18,7 @@ def op2_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_codec.round_trip_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), pattern())
+    return bpe_codec.round_trip_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), split_pattern())
 
 
 def op8_impact_ordered_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +27,7 @@ def op8_impact_ordered_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"), split_pattern())
 
 
 def op5_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

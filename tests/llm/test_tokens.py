@@ -77,13 +77,19 @@ def test_queries(odd, docs, none):
     assert sorted(map(tuple, again), key=key) == sorted(((d, t or "") for d, t in texts_of(odd)), key=key)
 
 
+def test_ids_equal_the_library(strings):
+    lib, fast = Tokenizer.from_file(FAST), packing.fast_ids(FAST, RANKS, P.PATTERN)
+    for s in strings:
+        assert fast(s) == b"".join(i.to_bytes(4, "little") for i in lib.encode(s, add_special_tokens=False).ids)
+
+
 def test_packing(odd, docs, none):
     lib = Tokenizer.from_file(FAST)
     for df in (odd, docs):
         want = defaultdict(list)
         for d, t in texts_of(df):
             want[d].append(lib.encode(t or "", add_special_tokens=False).ids + [0])
-        packed = packing.pack(df, FAST)
+        packed = packing.pack(df, FAST, RANKS, P.PATTERN)
         pieces = packed.collect()
         fills = defaultdict(list)
         for p in pieces:
@@ -97,9 +103,9 @@ def test_packing(odd, docs, none):
         crc = lambda ids: zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
         cut = [(d, s, len(i[s : s + 1024]), crc(i[s : s + 1024]), len(i)) for d, many in want.items() for i in many for s in range(0, len(i), 1024)]
         assert sorted(((p.doc_id, p.start, p.length, p.ids_crc32, p.doc_tokens) for p in pieces), key=key) == sorted(cut, key=key)
-    total = packing.padding(packing.pack(docs, FAST)).first()
+    total = packing.padding(packing.pack(docs, FAST, RANKS, P.PATTERN)).first()
     assert total.padding <= 0.04 * total.tokens
-    assert packing.pack(none, FAST).collect() == []
+    assert packing.pack(none, FAST, RANKS, P.PATTERN).collect() == []
 
 
 def test_stream_keeps_few_windows_and_emits_the_fullest():
