@@ -5,10 +5,11 @@ hashes; with fewer words the whole sequence is its one run. Texts of equal sets
 MinHash signatures agree in a band of ROWS values meet in that band's bucket. Candidates are formed without pairing a
 bucket's members with one another:
 
-1. every member with the bucket's least node, then, in buckets whose members are not yet all in one component, with the
-   greatest node: as many candidates as members;
-2. in buckets that then still hold more than one component, members of different components with one another, which is
-   what no link found so far has made needless.
+1. Every member is a candidate with the bucket's least node: as many candidates as members.
+2. In buckets that then hold more than one component, blocks of at most BLOCK members are compared by their signatures,
+   in memory, across components; of the pairs that the bound leaves, a forest that spans them is written, and joins the
+   nodes into clusters. Within each cluster, blocks of members with their full sets are compared across components,
+   and again only a forest of the confirmed links is written. All pairs are looked at; none but forests become rows.
 
 A candidate's signatures are compared batch by batch; it is pruned as soon as the posterior probability, under a
 uniform prior, that its similarity reaches the threshold falls below `miss`. Survivors are confirmed on their full sets.
@@ -38,6 +39,8 @@ BANDS, ROWS, HASHES = 25, 5, 128
 BATCH, MISS = 32, 1e-7
 #: Ids up to this number are sent to all executors to fetch texts (some 50 MB); more are joined by shuffle.
 MAX_BROADCAST_IDS = 1_000_000
+#: Members compared in memory at a time.
+BLOCK = 512
 #: Set values by hash at a time, which bounds memory on long texts.
 CHUNK = 4096
 SKETCH = "doc_id long, n_shingles long, node binary, sig binary, bands array<long>"
@@ -226,45 +229,84 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _blocks(rows: DataFrame, key: str) -> DataFrame:
+    """rows dealt into units (key, lo, hi) of two blocks of a group, or one: any two rows of a group meet in a unit, and no unit grows with the group."""
+    n = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("__blocks"))
+    dealt = rows.join(n, key).withColumn("__own", F.pmod(F.xxhash64("node"), F.col("__blocks")).cast("int")).withColumn("__other", F.explode(F.expr("sequence(0, __blocks - 1)")))
+    return dealt.withColumn("lo", F.least("__own", "__other")).withColumn("hi", F.greatest("__own", "__other")).drop("__blocks", "__own", "__other")
+
+
+def _spanning(units: DataFrame, key: str, percent: int, exact: bool) -> DataFrame:
+    """(a, b): of each unit's pairs across roots that the posterior bound leaves, and with `exact` that their full sets
+    confirm, those that join what the unit's earlier ones have not."""
+    table = least_matches(percent)
+
+    def of(frame):
+        import numpy as np
+        import pandas as pd
+
+        nodes, n = frame["node"].tolist(), len(frame)
+        sig = np.frombuffer(b"".join(frame["sig"]), "<u4").reshape(-1, HASHES)
+        size = frame["size"].to_numpy()
+        root = pd.factorize(frame["root"])[0]
+        sets = [np.frombuffer(x, np.uint64) for x in frame["shingles"]] if exact else []
+        joined = list(range(int(root.max()) + 1))
+
+        def find(i: int) -> int:
+            while joined[i] != i:
+                joined[i] = joined[joined[i]]
+                i = joined[i]
+            return i
+
+        out = []
+        for i in range(1, n):
+            at = np.flatnonzero((root[:i] != root[i]) & (100 * np.minimum(size[:i], size[i]) >= percent * np.maximum(size[:i], size[i])))
+            matches = np.zeros(len(at), int)
+            for m, least in table.items():
+                matches += (sig[at, m - BATCH : m] == sig[i, m - BATCH : m]).sum(1)
+                keep = matches >= least
+                at, matches = at[keep], matches[keep]
+            for j in at[np.argsort(-matches, kind="stable")].tolist():
+                x, y = find(root[i]), find(root[j])
+                if x == y:
+                    continue
+                if exact:
+                    common = len(sets[i]) + len(sets[j]) - len(np.unique(np.concatenate((sets[i], sets[j]))))
+                    if 100 * common < percent * (len(sets[i]) + len(sets[j]) - common):
+                        continue
+                joined[x] = y
+                out.append((nodes[i], nodes[j]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return units.groupBy(key, "lo", "hi").applyInPandas(of, "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     sketched = staged(sketch(docs, words), "sketch")
     nodes = staged(sketched.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
     members = nodes.select("node", "size", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.min(F.struct("node", "size")).alias("lo"), F.max(F.struct("node", "size")).alias("hi"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = staged(members.join(shared.select("band", "lo", "hi"), "band"), "members")  # of buckets with company only
-
-    sizes_fit = f"100 * least(size, other_size) >= {percent} * greatest(size, other_size)"
-    ordered = [F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")]
-
-    def links_of(pairs: DataFrame) -> DataFrame:
-        left = staged(_pruned(pairs, nodes, percent), "survivors")
-        return staged(_confirmed(left, staged(_full_sets(docs, nodes, left, words), "sets"), percent), "links")
-
-    def with_hub(rows: DataFrame, hub: str) -> DataFrame:
-        return rows.select("node", "size", F.col(f"{hub}.node").alias("other"), F.col(f"{hub}.size").alias("other_size")).where("node <> other").where(sizes_fit).select(*ordered).distinct()
-
-    def unsettled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Components so far, and the members, with their roots, of buckets that hold more than one."""
-        roots = staged(components(links), "roots")
-        rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
-        return roots, staged(rooted.join(mixed, "band", "left_semi"), "unsettled")
-
-    first = with_hub(members, "lo")
-    links = links_of(staged(first, "pairs"))
-    roots, rest = unsettled(links)
-    if not rest.isEmpty():
-        second = with_hub(rest, "hi").join(first, ["a", "b"], "left_anti")
-        links = links.union(links_of(staged(second, "pairs")))
-        roots, rest = unsettled(links)
-    if not rest.isEmpty():
-        x = rest.select("band", "node", "size", "root")
-        y = rest.select("band", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
-        across = x.join(y, "band").where("node > other and root <> other_root").where(sizes_fit).select(*ordered).distinct()
-        tried = first.union(with_hub(rest, "hi"))
-        links = links.union(links_of(staged(across.join(tried, ["a", "b"], "left_anti"), "pairs")))
-        roots = staged(components(links), "roots")
+    shared = members.groupBy("band").agg(F.min(F.struct("node", "size")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = staged(members.join(shared.select("band", "hub"), "band"), "members")  # of buckets with company only
+
+    stars = members.where("node <> hub.node").where(f"100 * least(size, hub.size) >= {percent} * greatest(size, hub.size)")
+    pairs = staged(stars.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct(), "pairs")
+    left = staged(_pruned(pairs, nodes, percent), "survivors")
+    links = staged(_confirmed(left, staged(_full_sets(docs, nodes, left, words), "sets"), percent), "links")
+    roots = staged(components(links), "roots")
+
+    rooted = members.join(roots, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
+    rest = rooted.join(mixed, "band", "left_semi").join(nodes.select("node", "sig"), "node")
+    likely = staged(_spanning(_blocks(rest, "band"), "band", percent, exact=False), "likely")
+    clusters = staged(components(links.union(likely)), "clusters").withColumnRenamed("root", "cluster")
+    open_nodes = clusters.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_clusters = open_nodes.groupBy("cluster").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("cluster")
+    open_nodes = staged(open_nodes.join(open_clusters, "cluster", "left_semi"), "open")
+    sets = staged(_full_sets(docs, nodes, open_nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), words), "sets")
+    rows = open_nodes.join(nodes.select("node", "size", "sig"), "node").join(sets, "node")
+    links = links.union(staged(_spanning(_blocks(rows, "cluster"), "cluster", percent, exact=True), "links"))
+    roots = staged(components(links), "roots")
 
     ids = nodes.select("node", "doc").join(roots, "node")
     least = ids.groupBy("root").agg(F.min("doc").alias("least"))
