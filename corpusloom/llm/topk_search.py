@@ -1,13 +1,14 @@
 """Operator 8, exact top-k inner products by an impact-ordered index, read a score at a time.
 
-Vectors are put into blocks. In a block each dimension's components are quantised linearly into LEVELS impacts, and
-its postings are held in segments of equal impact. For a query a segment's impact is its share of the score, the
-query's component times the segment's largest value (smallest, where the component is negative). Segments are processed by
-descending impact: every dimension has a cursor into its segments, best first, and the cursor with the most to gain
-moves next. After each batch of segments a vector's score is known but for the dimensions in which it has not been met;
-there it can gain at most the impact under the cursor, and at least the worst. The k-th best of the lower bounds is the floor;
-processing stops only when the floor proves that every vector not retained stays below it, or all is read. Retained vectors,
-all whose upper bound reaches the floor, are rescored exactly from their integer components.
+Vectors are put into blocks. In a block each dimension's components are quantised linearly into at most LEVELS impacts, and
+its postings fall into segments of equal impact. For a query a segment's impact is what it gains over the dimension's worst
+segment: the query's component times the segment's greatest value (least, where the component is negative), less that of the
+worst. Segments of all dimensions are processed by descending impact, in STAGES portions; which of a dimension's segments
+are processed is a threshold on its levels, so a portion is processed for all vectors by one comparison. A vector's score
+is then known within the widths of its processed segments; a dimension in which it has not been met gives it at most the impact
+at the head of what is left, and at least the worst. The k-th best of the lower bounds is the floor. Processing stops only
+when the floor proves that all but a few vectors stay below it, or all is read. Retained vectors, all whose upper bound
+reaches the floor, are rescored exactly from their integer components.
 
 Queries go in blocks against all blocks of vectors; each pair of blocks is one unit of work and keeps its k best, and
 these are merged per query. Nothing is broadcast, and neither side is gathered in one task.
@@ -31,72 +32,61 @@ from .common import own_columns
 LEVELS = 32
 #: Vectors and queries in a block; a pair of blocks is one unit of work.
 BLOCK, QUERY_BLOCK = 2048, 64
-#: Segments processed between two checks of the bounds.
-BATCH = 64
+#: Portions of the segments, by descending impact, between two checks of the bounds.
+STAGES = 2
 #: Below this share of a block's vectors the retained ones are rescored rather than narrowed further.
 RESCORE_SHARE = 0.05
 
 
 class ImpactIndex:
-    """A block's postings by dimension and impact."""
+    """A block's postings by dimension and level; all numbers are whole and stay exact in doubles."""
 
     def __init__(self, ids, vectors, levels: int = LEVELS) -> None:
         import numpy as np
 
         self.ids, self.vectors = ids, vectors
-        n, dims = vectors.shape
         low, high = vectors.min(0), vectors.max(0)
-        width = np.maximum((high - low + levels) // levels, 1)
-        code = (vectors - low) // width
-        self.order = np.argsort(code, axis=0, kind="stable")
-        self.dims, self.n = dims, n
-        #: per dimension: where its segments begin in the order, and their least and greatest values
-        self.segments = []
-        for d in range(dims):
-            c = code[self.order[:, d], d]
-            begin = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
-            end = np.r_[begin[1:], n]
-            v = vectors[self.order[:, d], d]
-            self.segments.append((begin, end, np.minimum.reduceat(v, begin), np.maximum.reduceat(v, begin)))
+        width = (high - low) // levels + 1
+        self.level = ((vectors - low) // width).astype(np.int32)
+        n, dims = vectors.shape
+        column = np.broadcast_to(np.arange(dims), (n, dims))
+        #: least and greatest value of each segment (level, dimension); +-infinity where it is empty
+        self.least, self.most = np.full((levels, dims), np.inf), np.full((levels, dims), -np.inf)
+        np.minimum.at(self.least, (self.level, column), vectors)
+        np.maximum.at(self.most, (self.level, column), vectors)
+        #: the same by vector
+        self.row_least, self.row_most = self.least[self.level, column], self.most[self.level, column]
 
     def search(self, query, k: int, own) -> tuple:
         """Ids and scores of the k best for an integer query; `own` is the id left out. All, if fewer."""
         import numpy as np
 
-        n, dims = self.n, self.dims
+        n = len(self.ids)
         allowed = self.ids != own
         k = min(k, int(allowed.sum()))
         if k == 0:
             return self.ids[:0], self.ids[:0]
-        plans = []  # per dimension: begin, end, most and least share of each segment, best segment first
-        for d in range(dims):
-            begin, end, lo, hi = self.segments[d]
-            q = int(query[d])
-            most, least = (q * hi, q * lo) if q >= 0 else (q * lo, q * hi)
-            step = slice(None, None, -1) if q >= 0 else slice(None)
-            plans.append((begin[step], end[step], most[step], least[step]))
-        top = np.array([p[2][0] for p in plans])
-        bottom = np.array([p[3][-1] for p in plans])
-        # gain of a segment over the dimension's worst: what orders the segments of all dimensions
-        impact = np.concatenate([p[2] - p[3][-1] for p in plans])
-        dim = np.concatenate([np.full(len(p[2]), d) for d, p in enumerate(plans)])
-        rank = np.concatenate([np.arange(len(p[2])) for p in plans])
-        walk = np.lexsort((rank, dim, -impact))
-        seen = np.zeros((n, dims))  # 1.0 where met; sums stay exact in doubles
-        low = np.full(n, int(bottom.sum()), np.int64)
-        high_known = np.zeros(n)
-        cursor = top.astype(float)
-        for at in range(0, len(walk), BATCH):
-            for s in walk[at : at + BATCH]:
-                d, r = dim[s], rank[s]
-                begin, end, most, least = plans[d]
-                rows = self.order[begin[r] : end[r], d]
-                low[rows] += least[r] - bottom[d]
-                high_known[rows] += most[r]
-                seen[rows, d] = 1.0
-                cursor[d] = most[r + 1] if r + 1 < len(most) else bottom[d]
+        up = query >= 0
+        there = np.isfinite(self.least)
+        gives = np.where(there, np.where(up, self.most, self.least), 0) * query  # at most, by segment
+        worst = np.where(there, np.where(there, np.where(up, self.least, self.most), 0) * query, np.inf).min(0)
+        impact = np.where(there, gives - worst, -np.inf)
+        ranked = np.sort(impact[there])[::-1]
+        sign = np.where(up, 1, -1).astype(np.int32)
+        signed, levels = self.level * sign, np.arange(len(impact), dtype=np.int32)[:, None] * sign
+        sure, may = np.where(up, self.row_least, self.row_most), np.where(up, self.row_most, self.row_least)
+        retained = np.flatnonzero(allowed)
+        for stage in range(1, STAGES + 1):
+            if stage == STAGES:  # all is read
+                low, high = sure @ query, may @ query
+            else:
+                done = impact >= ranked[len(ranked) * stage // STAGES]  # equal impacts together
+                head = np.where(there & ~done, gives, -np.inf).max(0)
+                head = np.where(np.isfinite(head), head, worst)
+                met = (signed >= np.where(done, levels, np.iinfo(np.int32).max).min(0)).astype(float)
+                low = (sure * met) @ query + (worst.sum() - met @ worst)
+                high = (may * met) @ query + (head.sum() - met @ head)
             floor = np.partition(low[allowed], -k)[-k]
-            high = high_known + float(cursor.sum()) - seen @ cursor
             retained = np.flatnonzero((high >= floor) & allowed)
             if len(retained) <= max(4 * k, RESCORE_SHARE * n):
                 break
