@@ -3,11 +3,12 @@
 Vectors are put into blocks. In a block each dimension's components are quantised linearly into at most LEVELS impacts, and
 its postings fall into segments of equal impact. For a query a segment's impact is what it gains over the dimension's worst
 segment: the query's component times the segment's greatest value (least, where the component is negative), less that of the
-worst. Segments of all dimensions are processed by descending impact, in STAGES portions; which of a dimension's segments
+worst. Segments of all dimensions are processed by descending impact, a share of EARLY first and then all; which of a dimension's segments
 are processed is a threshold on its levels, so a portion is processed for all vectors by one comparison. A vector's score
 is then known within the widths of its processed segments; a dimension in which it has not been met gives it at most the impact
 at the head of what is left, and at least the worst. The k-th best of the lower bounds is the floor. Processing stops only
-when the floor proves that all but a few vectors stay below it, or all is read. Retained vectors, all whose upper bound
+when the floor proves that all but a few vectors stay below it, or all is read. Where the first portion proved nothing for a query, the
+next PROBE queries of its block go without that check and read all at once, as one matrix product. Retained vectors, all whose upper bound
 reaches the floor, are rescored exactly from their integer components.
 
 Queries go in blocks against all blocks of vectors; each pair of blocks is one unit of work and keeps its k best, and
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 from .common import own_columns
 
 #: Impacts of a dimension in a block.
-LEVELS = 32
+LEVELS = 128
 #: Vectors and queries in a block; a pair of blocks is one unit of work.
 BLOCK, QUERY_BLOCK = 2048, 64
-#: Portions of the segments, by descending impact, between two checks of the bounds.
-STAGES = 2
+#: Share of the segments, by descending impact, after which the bounds are checked first, and the queries that skip this check where it failed.
+EARLY, PROBE = 0.5, 16
 #: Below this share of a block's vectors the retained ones are rescored rather than narrowed further.
 RESCORE_SHARE = 0.05
 
@@ -57,39 +58,66 @@ class ImpactIndex:
         #: the same by vector
         self.row_least, self.row_most = self.least[self.level, column], self.most[self.level, column]
 
-    def search(self, query, k: int, own) -> tuple:
-        """Ids and scores of the k best for an integer query; `own` is the id left out. All, if fewer."""
+    def early(self, query, k: int, allowed):
+        """Vectors retained after the segments of most impact, by thresholds on the levels."""
         import numpy as np
 
-        n = len(self.ids)
-        allowed = self.ids != own
-        k = min(k, int(allowed.sum()))
-        if k == 0:
-            return self.ids[:0], self.ids[:0]
         up = query >= 0
         there = np.isfinite(self.least)
         gives = np.where(there, np.where(up, self.most, self.least), 0) * query  # at most, by segment
         worst = np.where(there, np.where(there, np.where(up, self.least, self.most), 0) * query, np.inf).min(0)
         impact = np.where(there, gives - worst, -np.inf)
         ranked = np.sort(impact[there])[::-1]
+        done = impact >= ranked[int(len(ranked) * EARLY)]  # equal impacts together
+        head = np.where(there & ~done, gives, -np.inf).max(0)
+        head = np.where(np.isfinite(head), head, worst)
         sign = np.where(up, 1, -1).astype(np.int32)
-        signed, levels = self.level * sign, np.arange(len(impact), dtype=np.int32)[:, None] * sign
-        sure, may = np.where(up, self.row_least, self.row_most), np.where(up, self.row_most, self.row_least)
-        retained = np.flatnonzero(allowed)
-        for stage in range(1, STAGES + 1):
-            if stage == STAGES:  # all is read
-                low, high = sure @ query, may @ query
+        edge = np.where(done, np.arange(len(impact), dtype=np.int32)[:, None] * sign, np.iinfo(np.int32).max).min(0)
+        met = (self.level * sign >= edge).astype(float)
+        low = (np.where(up, self.row_least, self.row_most) * met) @ query + (worst.sum() - met @ worst)
+        high = (np.where(up, self.row_most, self.row_least) * met) @ query + (head.sum() - met @ head)
+        return self._retained(low, high, k, allowed)
+
+    @staticmethod
+    def _retained(low, high, k: int, allowed):
+        """Vectors that the k-th best lower bound doesn't exclude."""
+        import numpy as np
+
+        floor = np.partition(low[allowed], -k)[-k]
+        return np.flatnonzero((high >= floor) & allowed)
+
+    def search(self, queries, k: int, owns) -> list[tuple]:
+        """Ids and scores of the k best for each integer query; its own id is left out. All, if fewer."""
+        import numpy as np
+
+        found: dict[int, tuple] = {}
+        full, skip = [], 0
+        alloweds = [self.ids != own for own in owns]
+        for i, (query, allowed) in enumerate(zip(queries, alloweds, strict=True)):
+            most = min(k, int(allowed.sum()))
+            if not most:
+                found[i] = self.ids[:0], self.ids[:0]
+            elif skip:
+                skip -= 1
+                full.append(i)
             else:
-                done = impact >= ranked[len(ranked) * stage // STAGES]  # equal impacts together
-                head = np.where(there & ~done, gives, -np.inf).max(0)
-                head = np.where(np.isfinite(head), head, worst)
-                met = (signed >= np.where(done, levels, np.iinfo(np.int32).max).min(0)).astype(float)
-                low = (sure * met) @ query + (worst.sum() - met @ worst)
-                high = (may * met) @ query + (head.sum() - met @ head)
-            floor = np.partition(low[allowed], -k)[-k]
-            retained = np.flatnonzero((high >= floor) & allowed)
-            if len(retained) <= max(4 * k, RESCORE_SHARE * n):
-                break
+                retained = self.early(query, most, allowed)
+                if len(retained) <= max(4 * k, RESCORE_SHARE * len(self.ids)):
+                    found[i] = self._rescored(query, most, retained)
+                else:
+                    skip = PROBE
+                    full.append(i)
+        if full:
+            plus, minus = np.maximum(queries[full], 0).T.astype(float), np.minimum(queries[full], 0).T.astype(float)
+            low, high = self.row_least @ plus + self.row_most @ minus, self.row_most @ plus + self.row_least @ minus
+            for c, i in enumerate(full):
+                most = min(k, int(alloweds[i].sum()))
+                found[i] = self._rescored(queries[i], most, self._retained(low[:, c], high[:, c], most, alloweds[i]))
+        return [found[i] for i in range(len(queries))]
+
+    def _rescored(self, query, k: int, retained) -> tuple:
+        import numpy as np
+
         scores = self.vectors[retained] @ query
         best = np.lexsort((self.ids[retained], -scores))[:k]
         return self.ids[retained][best], scores[best]
@@ -125,9 +153,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, qu
             stored, asked = same[~same["is_query"]], same[same["is_query"]]
             if len(stored) and len(asked):
                 index = ImpactIndex(stored["vec_id"].to_numpy(np.int64), np.array(stored["q"].tolist(), np.int64))
-                for own, q in zip(asked["vec_id"], asked["q"], strict=True):
-                    ids, scores = index.search(np.array(q, np.int64), k, own)
-                    found.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}))
+                hits = index.search(np.array(asked["q"].tolist(), np.int64), k, asked["vec_id"].tolist())
+                found += [pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}) for own, (ids, scores) in zip(asked["vec_id"], hits, strict=True)]
         return pd.concat(found) if found else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
 
     partial = left.unionByName(right).groupBy("vb", "qb").applyInPandas(unit, "query_id long, vec_id long, score long")
