@@ -5,9 +5,10 @@ outside, from the word's shape, the words beside it and features of the whole te
 Viterbi. It is trained here, by stochastic gradient on the conditional likelihood with exact forward-backward, on lines
 that a generator makes from a seed: assignments, keys, hashes and tokens among ordinary words, numbers and addresses.
 
-A word that is shorter than LEAST_SECRET or has no digit can't be part of a secret: its scores for begin and inside are
-fixed at FORBIDDEN. The chain falls apart at such words, whose tag is known to be outside, so Viterbi is run, exactly, on
-the runs of other words between them. Memory is bounded by one text.
+Most words can't be part of a secret on any tagging: a word is settled as outside if, whatever tags the words beside it
+have, the tagging gains by making it outside (and, where the next word was inside, that one a begin). The scores compared
+are those of the word where it stands. The chain falls apart at settled words, and Viterbi is run, exactly, on what lies
+between. No word is left out for its length or characters. Memory is bounded by one text.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows each get a row; an empty table gives an empty
 result; extra columns are ignored; spans are in code points, the end exclusive; base spans always stay, CRF spans that
@@ -26,6 +27,7 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 
+from .bpe_codec import Memo
 from .common import own_columns
 
 #: The base patterns, the group that is measured and its least length. Letters of ASCII only are of either case.
@@ -36,9 +38,10 @@ KINDS = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24
 #: Quick signs without which a pattern can't match.
 ASSIGN_SIGN = re.compile(r"[:=]")
 WORD = re.compile(r"[^\s\"'`<>(){}\[\],;=:]+")
-DIGIT = re.compile(r"\d")
-#: Characters of a secret, at least, and the score of a tag that can't be.
-LEAST_SECRET, FORBIDDEN = 8, -1000.0
+#: What a word can be to its neighbours; and by how much a proof must hold, above rounding.
+BESIDE, SURE = ("edge", "cue", "plain", "mixed"), 1e-6
+#: Letters and digits by kind: all that a word's shape says of them, but for cues and the entropy of long words with digits.
+MASK = {c: "0" if chr(c).isdigit() else "a" if chr(c).islower() else "A" for c in range(0x250) if chr(c).isdigit() or chr(c).isalpha() and (chr(c).islower() or chr(c).isupper())}
 OUT, BEGIN, INSIDE = 0, 1, 2
 TAGS = 3
 SEED, LINES, EPOCHS, RATE, DECAY = 7, 900, 4, 0.4, 1e-4
@@ -62,8 +65,9 @@ def shape(word: str) -> tuple[str, ...]:
     other, n = len(word) - digits - upper - lower, len(word)
     kinds = "".join(k for k, x in (("d", digits), ("u", upper), ("l", lower), ("o", other)) if x)
     turns = sum(a.isdigit() != b.isdigit() for a, b in zip(word, word[1:], strict=False))
+    humps = sum(a.islower() and b.isupper() for a, b in zip(word, word[1:], strict=False))
     size = "1-5" if n < 6 else "6-11" if n < 12 else "12-19" if n < 20 else "20-31" if n < 32 else "32+"
-    out = [f"kinds={kinds}", f"size={size}", f"kinds+size={kinds}{size}", f"turns={min(turns, 4)}"]
+    out = [f"kinds={kinds}", f"size={size}", f"kinds+size={kinds}{size}", f"turns={min(turns, 4)}", f"humps={min(humps, 4)}"]
     if word.lower().strip(".!?_-") in CUES:
         out.append("cue")
     if "@" in word or "/" in word and "." in word:
@@ -76,10 +80,6 @@ def shape(word: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def may_be_secret(word: str) -> bool:
-    return len(word) >= LEAST_SECRET and DIGIT.search(word) is not None
-
-
 def beside(word: str | None) -> str:
     """What a word is to its neighbours."""
     return "edge" if word is None else "cue" if word.lower().strip(".!?_-") in CUES else "plain" if word.isalpha() else "mixed"
@@ -102,9 +102,6 @@ class Crf:
     def scores(self, words: list[str], context: tuple[str, ...], before: str | None = None, after: str | None = None) -> list[list[float]]:
         out = []
         for i, w in enumerate(words):
-            if not may_be_secret(w):
-                out.append([0.0, FORBIDDEN, FORBIDDEN])
-                continue
             features = (*shape(w), "before=" + beside(words[i - 1] if i else before), "after=" + beside(words[i + 1] if i + 1 < len(words) else after), *context)
             out.append([sum(self.weights[f][t] if f in self.weights else 0.0 for f in features) for t in range(TAGS)])
         return out
@@ -131,8 +128,6 @@ class Crf:
             b[i] = [log_sum([self.moves[t][u] + s[i + 1][u] + b[i + 1][u] for u in range(TAGS)]) for t in range(TAGS)]
         whole = log_sum(a[-1])
         for i, w in enumerate(words):
-            if not may_be_secret(w):
-                continue
             features = (*shape(w), "before=" + beside(words[i - 1] if i else None), "after=" + beside(words[i + 1] if i + 1 < n else None), *context)
             for t in range(TAGS):
                 step = rate * ((tags[i] == t) - math.exp(a[i][t] + b[i][t] - whole))
@@ -169,18 +164,22 @@ def _made_lines(rng: random.Random) -> Iterator[tuple[list[str], list[int], tupl
         lambda: [some("0123456789", 1, 4)], lambda: [f"{rng.randint(1, 12)}.{rng.randint(0, 9)}."], lambda: [f"{word()}.{some('0123456789', 2, 2)}@{word()}.example.com"], lambda: [".".join(str(rng.randint(1, 254)) for _ in range(4))],
         lambda: ["+1", some("0123456789", 3, 3), "555-" + some("0123456789", 4, 4)], lambda: [some("0123456789", 16, 16)], lambda: [word().upper() + "!!"], lambda: ["https", "//" + word() + ".example.org/" + word()], lambda: [f"{rng.randint(2000, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}"],
         lambda: [rng.choice(["token", "secret", "key", "password"]), word(), word()], lambda: ["|"], lambda: [word().capitalize() + "."], lambda: [word() + "&&&"],
+        lambda: [word().capitalize() + word().capitalize()], lambda: [word()[:3] + some("0123456789", 1, 2)], lambda: [some("0123456789", 1, 2) + word()[:2]], lambda: [some(alnum[:26], 2, 5)], lambda: [word().capitalize(), word()], lambda: [(word() + word() + word()).capitalize()], lambda: [word() + word() + word()],
     )
-    secret = (lambda: some(hexes, 16, 48), lambda: some(alnum, 20, 44) + "7q", lambda: "AKIA" + some("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, 16), lambda: some(hexes, 18, 18), lambda: "sk_" + some(alnum, 24, 32) + "4", lambda: some(alnum, 12, 16) + "9_" + some(alnum, 12, 16) + "3x")
+    secret = (lambda: some(hexes, 16, 48), lambda: some(alnum, 20, 44) + "7q", lambda: "AKIA" + some("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, 16), lambda: some(hexes, 18, 18), lambda: "sk_" + some(alnum, 24, 32) + "4", lambda: some(alnum, 12, 16) + "9_" + some(alnum, 12, 16) + "3x", lambda: some(alnum[:52], 16, 40), lambda: some(alnum[:52], 20, 24))
+    # known by the cue before them only
+    weak = (lambda: "".join(word().capitalize() for _ in range(3)), lambda: some(alnum, 5, 7) + some("0123456789", 1, 1), lambda: word()[:5] + some("0123456789", 2, 4), lambda: word().capitalize() + some("0123456789", 2, 4) + "!")
     for _ in range(LINES):
         words: list[str] = []
         tags: list[int] = []
         for _ in range(rng.randint(4, 14)):
             if rng.random() < 0.2:
-                if rng.random() < 0.75:
+                cued = rng.random() < 0.75
+                if cued:
                     words.append(rng.choice(["password", "token", "api_key", "secret", "auth", "key", "Bearer"]))
                     tags.append(OUT)
                 for j in range(1 + (rng.random() < 0.15)):
-                    words.append(rng.choice(secret)())
+                    words.append(rng.choice(weak if cued and not j and rng.random() < 0.3 else secret)())
                     tags.append(INSIDE if j else BEGIN)
             else:
                 new = rng.choice(harmless)() if rng.random() < 0.3 else [word()]
@@ -197,16 +196,65 @@ def trained() -> Crf:
 
 class Tagger:
     def __init__(self, crf: Crf) -> None:
+        import numpy as np
+
         self.crf = crf
+        #: how far begin and inside lead outside by the words beside and by the text
+        self.before, self.after = (np.array([self._lead([name + b]) for b in BESIDE]) for name in ("before=", "after="))
+        #: the same by shapes, and the word's row of these and what it is to its neighbours, as one number
+        self.rows: dict[tuple[str, ...], int] = {}
+        self.leads = np.zeros((0, 2))
+        self.codes, self.masks = Memo(self._code), Memo(self._shape_code)
+        m, tags = crf.moves, (BEGIN, INSIDE)
+        left = [min(m[p][OUT] - m[p][t] for p in range(TAGS)) for t in tags]
+        #: what being outside gains at least by the moves: next to outside or begin; before an inside that stays; before one that becomes begin
+        self.alone = np.array([g + min(m[OUT][n] - m[t][n] for n in (OUT, BEGIN)) for g, t in zip(left, tags, strict=True)])
+        self.stays = np.array([g + m[OUT][INSIDE] - m[t][INSIDE] for g, t in zip(left, tags, strict=True)])
+        self.turns = np.array([g + m[OUT][BEGIN] - m[t][INSIDE] + min(m[BEGIN][n] - m[INSIDE][n] for n in range(TAGS)) for g, t in zip(left, tags, strict=True)])
+
+    def _lead(self, features: Iterable[str]) -> list[float]:
+        own = [sum(self.crf.weights[f][t] for f in features if f in self.crf.weights) for t in range(TAGS)]
+        return [own[BEGIN] - own[OUT], own[INSIDE] - own[OUT]]
+
+    def _code(self, word: str) -> int:
+        masked = word.translate(MASK)
+        if word.lower().strip(".!?_-") in CUES or len(word) >= 12 and any(map(str.isdigit, masked)):
+            return self._shape_code(word)
+        return self.masks[masked]
+
+    def _shape_code(self, word: str) -> int:
+        import numpy as np
+
+        features = shape(word)
+        if features not in self.rows:
+            self.rows[features] = len(self.rows)
+            self.leads = np.vstack([self.leads, [self._lead(features)]])
+        return self.rows[features] * len(BESIDE) + BESIDE.index(beside(word))
+
+    def unsettled(self, words: list[str], context: tuple[str, ...]) -> list[int]:
+        """Where a best tagging might have another tag than outside."""
+        import numpy as np
+
+        if not words:
+            return []
+        codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+        kinds = codes % len(BESIDE)
+        lead = self.leads[codes // len(BESIDE)] + self._lead(context)
+        lead[1:] += self.before[kinds[:-1]]
+        lead[:-1] += self.after[kinds[1:]]
+        lead[0] += self.before[0]
+        lead[-1] += self.after[0]
+        turned = np.append(lead[1:, 0] - lead[1:, 1], np.inf)  # no word follows the last
+        least = np.minimum(self.alone, np.maximum(self.stays, self.turns + turned[:, None]))
+        return np.flatnonzero((lead > least - SURE).any(1)).tolist()
 
     def spans(self, text: str) -> list[tuple[int, int]]:
         """Spans (start, end) of tagged secrets."""
-        if not DIGIT.search(text):
+        words, context = WORD.findall(text), file_features(text)
+        unsettled, out, at = self.unsettled(words, context), [], 0
+        if not unsettled:
             return []
-        found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(text)]
-        words = [w for w, _, _ in found]
-        unsettled = [i for i, w in enumerate(words) if may_be_secret(w)]
-        context, out, at = file_features(text), [], 0
+        found = [m.span() for m in WORD.finditer(text)]
         while at < len(unsettled):
             stop = at
             while stop + 1 < len(unsettled) and unsettled[stop + 1] == unsettled[stop] + 1:
@@ -215,9 +263,9 @@ class Tagger:
             scores = self.crf.scores(words[first : last + 1], context, words[first - 1] if first else None, words[last + 1] if last + 1 < len(words) else None)
             for i, tag in enumerate(self.crf.viterbi(scores), first):
                 if tag == BEGIN or tag == INSIDE and not out:
-                    out.append((found[i][1], found[i][2]))
+                    out.append(found[i])
                 elif tag == INSIDE:
-                    out[-1] = (out[-1][0], found[i][2])
+                    out[-1] = (out[-1][0], found[i][1])
             at = stop + 1
         return out
 

@@ -68,6 +68,34 @@ def test_crf_finds_secrets_that_no_pattern_has():
     assert secrets_crf.scan_text("plain words only, on 2021-10-12 at 10.20.30.40", tagger) == ([], [])
 
 
+def test_crf_finds_secrets_without_digits_and_short_ones():
+    tagger = secrets_crf.Tagger(secrets_crf.trained())
+    for text, secret in (
+        ("password HunterSecretPass", "HunterSecretPass"), ("send Bearer QwErTyUiOpAsDfGhJkLzXcVb with it", "QwErTyUiOpAsDfGhJkLzXcVb"),
+        ("open the vWkJqZrTbNcXpLmHsGdF and go on", "vWkJqZrTbNcXpLmHsGdF"), ("use the token hX7q2b to enter", "hX7q2b"),
+    ):
+        assert [text[s:e] for s, e in tagger.spans(text)] == [secret]
+    for text in ("the password must be changed often", "Geschwindigkeitsbegrenzung Internationalisation the JavaScript program", "YouTube or mp3 and 3rd"):
+        assert tagger.spans(text) == []
+
+
+@pytest.mark.parametrize("scale", [1.0, 0.4, 0.1])
+def test_settled_words_change_no_tagging_of_any_word(scale):
+    """Against Viterbi over all words, also by models that tell words apart less well."""
+    crf, rng = secrets_crf.Crf(), random.Random(3)
+    crf.weights.update({f: [scale * x for x in w] for f, w in secrets_crf.trained().weights.items()})
+    crf.moves = [[x if (u, t) == (0, 2) else scale * x + rng.uniform(-1, 1) * (1 - scale) for t, x in enumerate(row)] for u, row in enumerate(secrets_crf.trained().moves)]
+    tagger, n = secrets_crf.Tagger(crf), 0
+    letters = ["abcdefgh", "ABCDEFGH", "abcABC", "abAB01289", "0123456789", "ab\u00e4\u00c4\u00b2\u0663", "a.@/_-19", "\u6f22\u5b57a1"]
+    for _ in range(1500):
+        words = [rng.choice(["password", "Token.", "key"]) if rng.random() < 0.15 else "".join(rng.choices(rng.choice(letters), k=rng.choice([1, 3, 6, 9, 13, 20, 33, 45]))) for _ in range(rng.randint(1, 12))]
+        text = rng.choice([" ", " = ", "\n"]).join(words)
+        want = full_viterbi(crf, text)
+        n += len(want)
+        assert tagger.spans(text) == want
+    assert n > 100
+
+
 # near duplicates -----------------------------------------------------------------------------------------------
 
 
