@@ -11,8 +11,8 @@ are those of the word where it stands. The chain falls apart at settled words, a
 between. No word is left out for its length or characters. Memory is bounded by one text.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows each get a row; an empty table gives an empty
-result; extra columns are ignored; spans are in code points, the end exclusive; base spans always stay, CRF spans that
-overlap a base span are dropped.
+result; extra columns are ignored; spans are in code points, the end exclusive; base spans always stay; of CRF spans
+the words that base spans cover whole are left out, and all others stay, whether they overlap a base span or not.
 """
 
 from __future__ import annotations
@@ -271,12 +271,34 @@ class Tagger:
 
 
 def scan_text(text: str, tagger: Tagger) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
-    """Base spans (start, kind, end), and CRF spans (start, end) clear of them."""
+    """Base spans (start, kind, end), and CRF spans (start, end) without the words that these cover whole."""
     base = base_spans(text)
-    added = [(s, e) for s, e in tagger.spans(text) if all(e <= b or s >= c for b, _, c in base)]
+    added = [part for span in tagger.spans(text) for part in uncovered(text, span, base)]
     return base, added
 
 
+def uncovered(text: str, span: tuple[int, int], base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The span as it is where it meets no base span; else its words that hold a character outside base spans, neighbours as one."""
+    start, end = span
+    near = [(b, c) for b, _, c in base if b < end and c > start]
+    if not near:
+        return [span]
+    out, joined = [], False
+    for m in WORD.finditer(text, start, end):
+        at = m.start()
+        for b, c in near:  # by start
+            if b <= at < c:
+                at = c
+        if at >= m.end():
+            joined = False
+        elif joined:
+            out[-1] = (out[-1][0], m.end())
+        else:
+            out.append(m.span())
+            joined = True
+    return out
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, base spans by kind, their digest and all spans of every row; one pass, no shuffle."""
     crf = trained()
