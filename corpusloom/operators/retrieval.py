@@ -71,14 +71,18 @@ def ranked(hits: DataFrame, by: str, order: list, k: int, name: str = "rank") ->
 
 
 def sign_bits(c: Column) -> Column:
-    """Signs of up to 64 components as the bits of a long: bit i is set where component i is positive."""
+    """Signs of all components as the bits of longs, 64 to each: bit i of long w is set where component 64 w + i is positive."""
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    bits = F.transform(F.slice(c, 1, 64), lambda x, i: F.when(x > 0, F.call_function("shiftleft", one, i)).otherwise(none))
-    return F.aggregate(bits, none, lambda s, b: s.bitwiseOR(b))
+    bit = lambda x, i: F.when(x > 0, F.call_function("shiftleft", one, i)).otherwise(none)
+    words = F.sequence(F.lit(0), F.greatest(F.floor((F.array_size(c) - 1) / 64).cast("int"), F.lit(0)) + F.array_size(c) * 0)  # null for null
+    return F.transform(words, lambda w: F.aggregate(F.transform(F.slice(c, w * 64 + 1, 64), bit), none, lambda s, b: s.bitwiseOR(b)))
 
 
 def hamming(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b)).cast("long")
+    """Signs that differ; where one has fewer components, the missing ones count as not positive."""
+    none = F.lit(0).cast("long")
+    apart = F.zip_with(a, b, lambda x, y: F.bit_count(F.coalesce(x, none).bitwiseXOR(F.coalesce(y, none))).cast("long"))
+    return F.aggregate(apart, none, lambda s, n: s + n)
 
 
 def hamming_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:

@@ -1,6 +1,7 @@
 """Golden cases, properties and edge cases of the engine's operators."""
 
 import json
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -368,3 +369,14 @@ def test_some_queries_equal_their_oracle(spark, sf_dir):
         plain = lambda x: None if x is None or x != x else round(float(x), 6) if isinstance(x, (int, float)) else x
         want = con.sql(f"SELECT {', '.join(columns)} FROM ({entry.oracle_sql()[name]})").fetchall()
         assert sorted((tuple(map(plain, r)) for r in got.select(columns).collect()), key=str) == sorted((tuple(map(plain, r)) for r in want), key=str), name
+
+
+def test_signs_of_all_components_count(spark):
+    rng = random.Random(4)
+    vectors = {i: [rng.choice([-1.0, 0.0, 2.0]) for _ in range(384)] for i in range(12)}
+    vectors |= {20: [*vectors[0][:64], *(-x for x in vectors[0][64:])], 21: vectors[1][:100], 22: [], 23: vectors[2][:64], 24: vectors[2][:65], 25: vectors[3][:128]}
+    bits = spark.createDataFrame(list(vectors.items()), "vec_id long, v array<double>").select("vec_id", retrieval.sign_bits(F.col("v")).alias("bits"))
+    got = {(r.query_id, r.vec_id): r.distance for r in retrieval.hamming_top_k(bits, bits, len(vectors)).collect()}
+    signs = lambda v: {i for i, x in enumerate(v) if x > 0}
+    assert got == {(a, b): len(signs(v) ^ signs(w)) for a, v in vectors.items() for b, w in vectors.items() if a != b}
+    assert spark.createDataFrame([(None,)], "v array<double>").select(retrieval.sign_bits(F.col("v")).alias("b")).first().b is None
