@@ -15,6 +15,7 @@ import base64
 import codecs
 import functools
 import hashlib
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -98,11 +99,11 @@ class ByteBpe:
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def decode_stream(self, ids: Iterable[int]) -> Iterator[str]:
-        """Text as soon as whole characters have come; bytes that are no UTF-8 become U+FFFD."""
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
-        for i in ids:
-            if text := machine.decode(self.bytes_of[i]):
+    def decode_stream(self, ids: Iterable[int], at_a_time: int = 1) -> Iterator[str]:
+        """Text as soon as whole characters have come, after so many ids each; bytes that are no UTF-8 become U+FFFD."""
+        machine, ids = codecs.getincrementaldecoder("utf-8")("replace"), iter(ids)
+        while some := tuple(itertools.islice(ids, at_a_time)):
+            if text := machine.decode(self.decode_bytes(some)):
                 yield text
         if text := machine.decode(b"", True):
             yield text
@@ -142,6 +143,15 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return own_columns(encoded, "doc_id", "ids").mapInArrow(of, "doc_id long, text string")
 
 
+def round_trip(bpe: ByteBpe, text: str) -> tuple[int, str, str]:
+    """Number of ids, digest of the ids in decimal, and digest of the text that they are decoded to, as a stream."""
+    ids, decimals = bpe.encode_with_decimals(text)
+    whole = hashlib.sha256()
+    for piece in bpe.decode_stream(ids, DECODE_IDS):
+        whole.update(piece.encode())
+    return len(ids), hashlib.sha256(decimals.encode()).hexdigest(), whole.hexdigest()
+
+
 def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encode every row, decode the ids again, and return digests of both; one pass, no shuffle."""
 
@@ -153,13 +163,8 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             n, coded, decoded = [], [], []
             with no_collector():
                 for text in batch.column(1).to_pylist():
-                    ids, decimals = bpe.encode_with_decimals(text or "")
-                    n.append(len(ids))
-                    coded.append(hashlib.sha256(decimals.encode()).hexdigest())
-                    whole = hashlib.sha256()
-                    for i in range(0, len(ids), DECODE_IDS):
-                        whole.update(bpe.decode_bytes(ids[i : i + DECODE_IDS]))
-                    decoded.append(whole.hexdigest())
+                    for column, value in zip((n, coded, decoded), round_trip(bpe, text or ""), strict=True):
+                        column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return own_columns(docs, "doc_id", "text").selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(of, SCHEMA)

@@ -77,6 +77,19 @@ def test_queries(odd, docs, none):
     assert sorted(map(tuple, again), key=key) == sorted(((d, t or "") for d, t in texts_of(odd)), key=key)
 
 
+def test_the_round_trip_decodes_as_a_stream(strings, monkeypatch):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    c = bpe_codec.ByteBpe(ranks, P.PATTERN)
+    stream, fed = c.decode_stream, []
+    monkeypatch.setattr(c, "decode_stream", lambda ids, n: stream(fed.append(len(ids)) or ids, n))
+    for at_a_time in (1, 3, bpe_codec.DECODE_IDS):  # characters are cut between portions
+        monkeypatch.setattr(bpe_codec, "DECODE_IDS", at_a_time)
+        for s in [*strings, "\U0001f9ff\u6f22\u5b57\U00012345 e\u0301" * 5]:
+            n, _, decoded = bpe_codec.round_trip(c, s)
+            assert fed.pop() == n and decoded == hashlib.sha256(s.encode()).hexdigest()
+            assert "".join(stream(c.encode(s), at_a_time)) == s
+
+
 def test_ids_equal_the_library(strings):
     lib, fast = Tokenizer.from_file(FAST), packing.fast_ids(FAST, RANKS, P.PATTERN)
     for s in strings:
