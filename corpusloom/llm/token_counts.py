@@ -1,13 +1,12 @@
 """Operator 2, token counts by a compiled finite-state tokenizer.
 
 The piece model's normal pieces are compiled into a deterministic transducer (bpe.Transducer) whose transitions carry
-the number of tokens that they emit; characters outside the vocabulary count one token a UTF-8 byte. No piece crosses
-from a character into a space mark that follows it, so a mark after another character starts the machine anew.
-
-A text is read in chunks. A chunk's state map says, whatever state the chunk is entered in, what it counts and in which
-state it leaves the machine: `head` goes on from the state before it, `count` holds between the first and last restart,
-`tail` is what the last restart has read. Maps compose associatively, so chunks are counted apart and joined by a
-pairwise (parallel prefix) scan; counts of running words are memoised, within a bound.
+the number of tokens that they emit; characters outside the vocabulary count one token a UTF-8 byte. Every text is read
+in chunks of some CHUNK characters, all chunks of a batch at once. A chunk's state map says, for each state in which it may
+be entered, in which state it is left and how many tokens it has emitted; a text's maps compose pairwise, level by level
+(a parallel prefix scan), and its count is where the start leads. Chunks begin, if they can, at a space mark after another
+character: no piece goes from a character into a mark that follows it, so the machine starts anew there. Long texts without
+such places are cut anywhere, and these chunks are read from every state that the chunk before may leave.
 
 Defined cases: a null text counts as empty, an empty text has 0 tokens; repeated rows each get their row; an empty
 table gives an empty result; extra columns are ignored. Texts are never cut short.
@@ -16,99 +15,59 @@ table gives an empty result; extra columns are ignored. Texts are never cut shor
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Iterable, Iterator
-from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from .bpe import Transducer, no_collector
+from .bpe import CHUNK, END, ChunkMap, Transducer, chunk_begins, no_collector, portions
 from .common import own_columns
 
 MARK = "▁"
-#: Characters in a chunk.
-CHUNK = 1 << 16
-#: Words whose counts are remembered, and the longest of these.
-MAX_WORDS, MAX_WORD = 800_000, 40
-#: Often at the end of a word; counted apart where no piece joins it to the word.
-PUNCTUATION = ".,;:!?&$#\"')"
-RESTART = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
-class ChunkMap(NamedTuple):
-    """restarts: whether the machine starts anew inside; else head is all that was read."""
-
-    head: str
-    count: int
-    tail: str
-    restarts: bool
-
-
-class WordCounts(dict):
-    """word after its space mark -> number of tokens, by the transducer when first met."""
-
-    def __init__(self, machine: Transducer) -> None:
-        super().__init__()
-        self.machine = machine
-        #: neighbours inside some piece; between any others the machine starts anew
-        self.joined = {t[i : i + 2] for t in machine.ranks for i in range(len(t) - 1)}
-
-    def __missing__(self, word: str) -> int:
-        core = word.rstrip(PUNCTUATION)
-        if core and core != word and word[len(core) - 1 : len(core) + 1] not in self.joined:
-            n = self[core] + self.machine.count(word[len(core) :])
-        else:
-            n = self.machine.count(MARK + word)
-        if len(word) <= MAX_WORD:
-            if len(self) >= MAX_WORDS:
-                self.clear()
-            self[word] = n
-        return n
-
-
 class PieceCounter:
     def __init__(self, ranks: dict[str, float], chunk: int = CHUNK) -> None:
         self.machine, self.chunk = Transducer(ranks), chunk
-        self.words = WordCounts(self.machine)
-
-    def chunk_map(self, marked: str) -> ChunkMap:
-        """State map of a chunk in which spaces are marks."""
-        parts = RESTART.split(marked)
-        if len(parts) == 1:
-            return ChunkMap(marked, 0, "", False)
-        return ChunkMap(parts[0], sum(self._segment(p) for p in parts[1:-1]), parts[-1], True)
-
-    def _segment(self, part: str) -> int:
-        return self.words[part[1:]] if part[:1] == MARK else self.machine.count(part)
-
-    def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
-        """a, then b; a restart may fall between them."""
-        left = a.tail if a.restarts else a.head
-        if b.head[0] == MARK and left[-1] != MARK:  # the machine starts anew where b begins, so `left` is complete
-            inner, tail = (self._segment(b.head) + b.count, b.tail) if b.restarts else (0, b.head)
-            return ChunkMap(a.head, a.count + inner + (self._segment(left) if a.restarts else 0), tail, True)
-        joined = left + b.head
-        if not b.restarts:
-            return ChunkMap(a.head, a.count, joined, True) if a.restarts else ChunkMap(joined, 0, "", False)
-        return ChunkMap(a.head, a.count + self._segment(joined) + b.count, b.tail, True) if a.restarts else ChunkMap(joined, b.count, b.tail, True)
-
-    def scan(self, maps: list[ChunkMap]) -> ChunkMap:
-        """Compose in pairs, level by level."""
-        while len(maps) > 1:
-            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        return maps[0]
+        #: whether a mark after another character always starts the machine anew
+        self.restarts = not any(MARK in t.lstrip(MARK) for t in ranks)
+
+    def maps(self, texts: list[str]) -> list[list[ChunkMap]]:
+        """State maps of the chunks of each text; none of an empty text."""
+        import numpy as np
+
+        # each text that isn't empty: a mark, its characters with spaces as marks, END
+        held = [t for t in texts if t]
+        symbols = np.frombuffer("".join([f"{MARK}{t} " for t in held]).encode("utf-32-le"), np.int32).copy()
+        mark = ord(MARK)
+        symbols[symbols == 32] = mark
+        ends = np.cumsum([len(t) + 2 for t in held], dtype=np.int64)
+        symbols[ends - 1] = END
+        begins = np.append(0, ends[:-1])
+        if self.restarts:
+            places = np.flatnonzero((symbols[1:] == mark) & (symbols[:-1] != mark)) + 1
+        else:
+            places = begins
+        chunks, fresh = chunk_begins(np.union1d(places, begins), len(symbols), self.chunk) if held else (begins[:0], np.zeros(0, bool))
+        # texts begin chunks of their own
+        every = np.union1d(chunks, begins) if held else chunks
+        sure = np.ones(len(every), bool)
+        sure[np.searchsorted(every, chunks)] = fresh
+        maps = self.machine.read(symbols, every, sure).maps
+        at = np.searchsorted(every, begins).tolist() + [len(every)]
+        own = iter([maps[a:b] for a, b in zip(at, at[1:], strict=False)])
+        return [next(own) if t else [] for t in texts]
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """Number of tokens of each text."""
+        out = []
+        for some in portions(texts):
+            for maps in self.maps(some):
+                out.append(sum(n for _, n in self.machine.scan(maps).ways.values()) if maps else 0)
+        return out
 
     def count(self, text: str) -> int:
-        if not text:
-            return 0
-        if MARK in text:
-            text = text.replace(MARK, " ")
-        if len(text) <= self.chunk and text[0] != " " and text[-1] != " " and "  " not in text:
-            return sum(map(self.words.__getitem__, text.split(" ")))  # one chunk, every mark a restart
-        marked = MARK + text.replace(" ", MARK)
-        whole = self.scan([self.chunk_map(marked[i : i + self.chunk]) for i in range(0, len(marked), self.chunk)])
-        return self._segment(whole.head) + (whole.count + self._segment(whole.tail) if whole.restarts else 0)
+        return self.counts([text])[0]
 
 
 @functools.cache
@@ -128,11 +87,11 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int) -> DataFrame:
     def of(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        count = counter(model_path).count
+        count = counter(model_path).counts
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             with no_collector():
-                n = [count(t) for t in texts]
+                n = count(texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return own_columns(docs, "doc_id", "text").selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(of, SCHEMA)

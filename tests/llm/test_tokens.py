@@ -24,39 +24,91 @@ def strings():
     return odd + ["".join(rnd.choice("ab  \n▁the<s>é漢'!9") for _ in range(rnd.randint(0, 60))) for _ in range(1500)]
 
 
-def test_counts_equal_the_library(strings):
-    lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    whole, small = token_counts.counter(PIECES), token_counts.PieceCounter(token_counts.counter(PIECES).machine.ranks, chunk=7)
-    for s in strings:
-        assert whole.count(s) == len(lib.encode(s, num_threads=1))
-    for s in strings[:500]:
-        assert small.count(s) == whole.count(s)
+@pytest.fixture(scope="module")
+def unspaced():
+    """Long texts in which no word ends, or words are longer than chunks."""
+    rnd = random.Random(2)
+    some = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    return [some("abcdefghingtion", 5000), some("etaoin", 3000) + " " + some("shrdlu", 4000), "x" * 5000, "the" * 2000, " " * 3000, "é漢" * 1500, "\U0001f600" * 700]
 
 
-def test_chunk_maps_compose_associatively(strings):
-    c = token_counts.counter(PIECES)
-    for s in strings[:300]:
-        marked = token_counts.MARK + s.replace(" ", token_counts.MARK)
-        maps = [c.chunk_map(marked[i : i + 3]) for i in range(0, len(marked), 3)]
-        left = maps[0]
-        for m in maps[1:]:
-            left = c.compose(left, m)
-        assert left == c.scan(list(maps))
+def test_counts_equal_the_library(strings, unspaced):
+    lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    whole, small = token_counts.counter(PIECES), token_counts.PieceCounter(token_counts.counter(PIECES).machine.ranks, chunk=3)
+    want = [len(lib.encode(s, num_threads=1)) for s in strings + unspaced]
+    assert whole.counts(strings + unspaced) == want
+    assert small.counts(strings[:500]) == want[:500]
+
+
+def test_chunk_maps_say_what_each_entry_leads_to(strings, unspaced):
+    c = token_counts.PieceCounter(token_counts.counter(PIECES).machine.ranks, chunk=3)
+    m = c.machine
+    cut_anywhere = 0
+    for s, maps in zip(strings[:300] + [u[:400] for u in unspaced], c.maps(strings[:300] + [u[:400] for u in unspaced]), strict=True):
+        assert bool(maps) == bool(s)
+        cut_anywhere += sum(not x.fresh for x in maps)
+        assert all(len(x.ways) == 1 and bpe.START in x.ways for x in maps if x.fresh)
+        # every state in which a chunk can be left is one from which the next was read
+        assert all(x in b.ways for a, b in zip(maps, maps[1:], strict=False) if not b.fresh for x, _ in a.ways.values())
+        if maps:
+            left = maps[0]
+            for x in maps[1:]:
+                left = m.compose(left, x)
+            assert left == m.scan(list(maps))
+    assert cut_anywhere > 100
 
 
 def test_a_machine_that_starts_afresh_gives_the_same(strings):
     c = bpe_codec.codec(RANKS, P.PATTERN)
-    small = bpe.Transducer(c.ranks, c.ranks, max_transitions=20)
-    assert all(small.tokens(s.encode()) == c.machine.tokens(s.encode()) for s in strings[:200])
-
-
-def test_codec_equals_the_library_and_round_trips(strings):
+    small = bpe_codec.ByteBpe(c.ranks, P.PATTERN)
+    small.machine.max_transitions = 20
+    assert [small.encode(s) for s in strings[:200]] == [c.encode(s) for s in strings[:200]]
+
+
+def test_a_machine_whose_last_tokens_are_not_taken_as_one_gives_the_same(strings):
+    """Joinings out of the order of ranks: a vocabulary in which a later joining has a lower rank."""
+    rnd = random.Random(3)
+    for _ in range(40):
+        tokens = list("abc")
+        while len(tokens) < 14:
+            t = rnd.choice(tokens) + rnd.choice(tokens)
+            tokens += [t] if t not in tokens and len(t) <= 6 else []
+        inner = tokens[3:]
+        rnd.shuffle(inner)
+        ranks = {t: i for i, t in enumerate([*"abc", *inner])}
+        machine = bpe.Transducer(ranks)
+        for _ in range(30):
+            word = "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 12)))
+            want = len(machine.join(word)[0])
+            state, n = bpe.START, 0
+            for c in map(ord, word):
+                emitted, state = machine.step(state, c)
+                n += len(emitted)
+            assert n + len(machine.rest(state)) == want, (ranks, word)
+
+
+def test_codec_equals_the_library_and_round_trips(strings, unspaced):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     c = bpe_codec.codec(RANKS, P.PATTERN)
-    for s in strings:
-        ids = c.encode(s)
-        assert ids == lib.encode_ordinary(s) and "".join(c.decode_stream(ids)) == s
+    assert P.PATTERN == bpe_codec.USUAL
+    for s, ids in zip(strings + unspaced, c.encode_all(strings + unspaced), strict=True):
+        assert ids.tolist() == lib.encode_ordinary(s) and "".join(c.decode_stream(ids)) == s
+
+
+def test_matches_by_classes_are_those_of_the_pattern():
+    import numpy as np
+    import regex
+
+    rnd = random.Random(4)
+    usual, other = bpe_codec.Matches(P.PATTERN), bpe_codec.Matches(P.PATTERN)
+    other.usual = False
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    texts = ["", "".join(rnd.sample(every, 20_000)), *("".join(rnd.choice("ab' \n\t1!　\x85\x1c½srevltmdé") for _ in range(rnd.randint(0, 12))) for _ in range(5000))]
+    points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le"), np.int32)
+    edges = np.cumsum([len(t) + 1 for t in texts]) - 1
+    assert (usual(points, edges) == other(points, edges)).all()
+    assert sum(usual(points, edges)) == sum(len(regex.findall(P.PATTERN, t)) for t in texts)
 
 
 def test_queries(odd, docs, none):
@@ -78,16 +130,16 @@ def test_queries(odd, docs, none):
 
 
 def test_the_round_trip_decodes_as_a_stream(strings, monkeypatch):
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
-    c = bpe_codec.ByteBpe(ranks, P.PATTERN)
+    c = bpe_codec.codec(RANKS, P.PATTERN)
     stream, fed = c.decode_stream, []
     monkeypatch.setattr(c, "decode_stream", lambda ids, n: stream(fed.append(len(ids)) or ids, n))
     for at_a_time in (1, 3, bpe_codec.DECODE_IDS):  # characters are cut between portions
         monkeypatch.setattr(bpe_codec, "DECODE_IDS", at_a_time)
-        for s in [*strings, "\U0001f9ff\u6f22\u5b57\U00012345 e\u0301" * 5]:
-            n, _, decoded = bpe_codec.round_trip(c, s)
+        some = [*strings[:300], "\U0001f9ff\u6f22\u5b57\U00012345 e\u0301" * 5]
+        for s, ids in zip(some, c.encode_all(some), strict=True):
+            n, _, decoded = bpe_codec.digests(c, ids)
             assert fed.pop() == n and decoded == hashlib.sha256(s.encode()).hexdigest()
-            assert "".join(stream(c.encode(s), at_a_time)) == s
+            assert "".join(stream(ids, at_a_time)) == s
 
 
 def test_ids_equal_the_library(strings):
