@@ -30,7 +30,6 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_codec import Memo
 from .common import own_columns, staged
 
 WORDS, PERCENT = 5, 80
@@ -46,13 +45,6 @@ CHUNK = 4096
 SKETCH = "doc_id long, n_shingles long, node binary, sig binary, bands array<long>"
 
 
-@functools.cache
-def _word_hashes() -> Memo:
-    import xxhash
-
-    return Memo(xxhash.xxh3_64_intdigest, most=500_000)
-
-
 @functools.cache
 def _coefficients():
     """Odd multipliers and offsets of the hash functions, from a fixed seed."""
@@ -75,11 +67,12 @@ def _mixed(x):
 def shingle_set(text: str | None, words: int):
     """Sorted distinct 64-bit hashes of a text's runs of words."""
     import numpy as np
+    import xxhash
 
     parts = (text or "").encode().lower().split()  # bytes: A-Z only, and the six ASCII white space characters
     if not parts:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_word_hashes().__getitem__, parts), np.uint64, len(parts))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts))
     n = max(1, len(h) - words + 1)
     run = np.full(n, min(words, len(h)), np.uint64)
     for i in range(min(words, len(h))):
