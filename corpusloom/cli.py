@@ -1,10 +1,11 @@
-"""Command line: python -m corpusloom.cli evaluate|generate|update|chunk --config FILE [--dry-run]."""
+"""Command line: python -m corpusloom.cli evaluate|generate|update|chunk|ingest|index --config FILE [--dry-run]."""
 
 from __future__ import annotations
 
 import argparse
 import logging
 import sys
+import time
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from .functions import models
 from .operators import chunking, dataset, evaluation, numbering
 from .operators.retrieval import Collection
-from .session import share_package
+from .session import share_package, staged
 from .sources import io
 
 log = logging.getLogger("corpusloom")
@@ -21,27 +22,52 @@ INSTRUCTIONS = "Ask one question that the text answers, and quote the passages t
 
 def evaluate(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
     """Metrics of a question set over a collection, per question and per k."""
-    qa = io.qa_dataset(spark, c.input).withColumn("question_id", F.monotonically_increasing_id())
+    # numbered once and written, as all that follows goes by these numbers
+    qa = staged(io.qa_dataset(spark, c.input).withColumn("question_id", F.monotonically_increasing_id()), "questions")
+    n = max(1, qa.count())
     points = spark.table(c.collection)
-    queries = models.embed(qa, "question", "query_vector", lambda: models.HashEmbedder(c.dim)).select(F.col("question_id").alias("query_id"), "query_vector")
-    found = Collection(c.collection, c.dim).search(points, queries, max(c.k_values), c.score_floor)
+    started = time.monotonic()
+    queries = staged(models.embed(qa, "question", "query_vector", lambda: models.HashEmbedder(c.dim)).select(F.col("question_id").alias("query_id"), "query_vector"), "queries")
+    embedded = time.monotonic()
+    found = staged(Collection(c.collection, c.dim).search(points, queries, max(c.k_values), c.score_floor), "found")
+    retrieved = time.monotonic()
     hits = found.join(points, "vec_id").select(F.col("query_id").alias("question_id"), "rank", F.col("vec_id").alias("chunk_id"), F.coalesce("file_path", F.lit("")).alias("path"), F.col("content"), "score")
-    questions = qa.select("question_id", F.col("file_path").alias("gold_path"))
+    # questions are embedded and searched together: each carries its share of the time
+    questions = qa.select("question_id", F.col("file_path").alias("gold_path"), F.lit((embedded - started) / n).alias("embedding_time"), F.lit((retrieved - embedded) / n).alias("retrieval_time"))
     references = qa.select("question_id", F.posexplode("references").alias("no", "r")).select("question_id", F.concat_ws("/", "question_id", "no").alias("reference_id"), F.col("r.text").alias("text"))
     results = evaluation.evaluate(questions, references, hits, list(c.k_values), c.fuzzy_threshold)
     summary = evaluation.summary(results, list(c.k_values))
-    for row in summary.orderBy("k").collect():  # one row per k
-        log.info("%s", row.asDict())
+    report(summary)
     return dry_run or io.save_json(results, c.output + "/results", c.overwrite) and io.save_json(summary, c.output + "/summary", c.overwrite)
 
 
 def generate(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
-    """A question set from sampled documents, references validated against their chunks; no pairs is a failure."""
+    """A question set from sampled documents, references validated against their chunks; no pairs is a failure.
+
+    Documents are asked batch by batch, and each batch is added to the output with the list of documents asked (beside it, in `asked`): a run
+    that broke off goes on where it stopped. With `overwrite` it starts anew.
+    """
     docs = numbering.seeded_sample(io.documents(spark, c.input), "file_path", c.sample_documents, c.seed).withColumn("doc_id", F.xxhash64("file_path"))
-    chunks = dataset.numbered_chunks(spark.table(c.collection).select("file_path", "content", F.col("vec_id").alias("chunk_id")))
-    pairs = dataset.generate_pairs(docs, chunks, INSTRUCTIONS, c.fuzzy_threshold)
-    log.info("%s", dataset.generation_stats(docs.count(), pairs).first().asDict())
-    return not pairs.isEmpty() and (dry_run or io.save_json(pairs, c.output, c.overwrite))
+    asked_at, n = c.output.rstrip("/") + "-asked", docs.count()
+    if c.overwrite and not dry_run:
+        io.remove(spark, c.output)
+        io.remove(spark, asked_at)
+    if io.exists(spark, asked_at):
+        docs = io.resume(docs, spark.read.schema("file_path string").json(asked_at), "file_path")
+    docs = staged(docs.withColumn("batch", F.pmod("doc_id", F.lit(c.batches))), "sample")
+    chunks = staged(dataset.numbered_chunks(spark.table(c.collection).select("file_path", "content", F.col("vec_id").alias("chunk_id"))), "chunks")
+    found = None
+    for batch in range(c.batches):
+        some = docs.where(F.col("batch") == batch).drop("batch")
+        pairs = staged(dataset.generate_pairs(some, chunks, INSTRUCTIONS, c.fuzzy_threshold), "pairs")
+        if not dry_run:
+            pairs.write.mode("append").json(c.output)
+            some.select("file_path").write.mode("append").json(asked_at)
+        found = pairs if found is None else found.unionByName(pairs)
+    if not dry_run:
+        found = spark.read.schema(found.schema).json(c.output)
+    log.info("%s", dataset.generation_stats(n, found).first().asDict())
+    return not found.isEmpty()
 
 
 def update(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
@@ -64,7 +90,39 @@ def chunk(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
     return dry_run or io.save_chunks(records, c.output)
 
 
-COMMANDS = {"evaluate": evaluate, "generate": generate, "update": update, "chunk": chunk}
+def ingest(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
+    """Embed the chunk records of a JSONL file and write them as a collection; an existing one is left alone unless `overwrite`."""
+    rows = spark.read.schema(io.CHUNKS).json(c.input).select("content", F.col("metadata.file_path").alias("file_path")).where("content is not null")
+    points = models.embed(numbering.number_rows(rows.withColumn("all", F.lit(0)).withColumn("key", F.xxhash64("file_path", "content")), "all", ["key"], "vec_id").drop("all", "key"), "content", "embedding", lambda: models.HashEmbedder(c.dim))
+    collection = Collection(c.collection, c.dim)
+    if collection.exists(spark):
+        if not c.overwrite:
+            return False
+        if not dry_run:
+            spark.sql(f"DROP TABLE {c.collection}")
+    if not dry_run:
+        collection.create(staged(points, "points"))
+    log.info("%s", collection.info(points if dry_run else spark.table(c.collection)).first().asDict())
+    return True
+
+
+def index(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
+    """A keyword index of a collection by path, as a sorted copy with Bloom filters."""
+    if not dry_run:
+        io.sorted_by_path(spark.table(c.collection), c.output)
+    return True
+
+
+def report(summary) -> None:
+    """The summary as a table, a line per k, on the standard output and in the log."""
+    rows = [r.asDict() for r in summary.orderBy("k").collect()]  # one row per k
+    for row in rows:
+        line = "  ".join(f"{name}={value:.4f}" if isinstance(value, float) else f"{name}={value}" for name, value in row.items())
+        log.info("%s", line)
+        print(line)
+
+
+COMMANDS = {"evaluate": evaluate, "generate": generate, "update": update, "chunk": chunk, "ingest": ingest, "index": index}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -73,9 +131,11 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--config", required=True)
     parser.add_argument("--dry-run", action="store_true")
     args = parser.parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    config = io.load_config(args.config, ("input", "output"))
+    handlers = [logging.StreamHandler(), *([logging.FileHandler(config.log_file)] if config.log_file else [])]
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s", handlers=handlers)
     spark = share_package(SparkSession.builder.appName("corpusloom").getOrCreate())
-    done = COMMANDS[args.command](spark, io.load_config(args.config, ("input", "output")), args.dry_run)
+    done = COMMANDS[args.command](spark, config, args.dry_run)
     return 0 if done else 1
 
 

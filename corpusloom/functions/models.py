@@ -79,6 +79,14 @@ class QuoteGenerator:
         return "```json\n" + json.dumps({"question": question, "references": [first, "zzz qqq xxx"]}) + "\n```"
 
 
+class ContextAnswerer:
+    """A stand-in for a model that answers from documents: how many it was shown, and the question."""
+
+    def generate(self, prompt: str, max_tokens: int = 1500, temperature: float = 0.1) -> str:
+        context, asked = prompt.rsplit("\nQuestion: ", 1)
+        return f"{len(re.findall(r'^Document [0-9]+:$', context, re.MULTILINE))} documents on: {asked}"
+
+
 class JoinRewriter:
     """A stand-in for a rewriting model: the last user turn of the conversation, then the utterance."""
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 WS = r"[\t-\r\x1c-\x20\x85\xa0{u}1680{u}2000-{u}200a{u}2028{u}2029{u}202f{u}205f{u}3000]".replace("{u}", chr(92) + "u")
 NOT_WS = WS.replace("[", "[^", 1)
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-#: A line between bars and at least one more, each ended by a newline.
-TABLE = r"\|[^\n]*\|\n(?:\|[^\n]*\|\n)+"
+#: Fixed value: a line between bars and at least one more, none empty, each ended by a newline.
+TABLE = r"\|[^\n]+\|\n(?:\|[^\n]+\|\n)+"
 
 
 def col(c: Column | str) -> Column:
@@ -70,9 +70,12 @@ def word_windows(c: Column | str, size: int, overlap: int = 0) -> Column:
     With an overlap the last window may lie wholly inside the one before it.
     """
     check_window(size, overlap)
-    w = words(c)
-    starts = F.when(F.size(w) > 0, F.sequence(F.lit(0), F.size(w) - 1, F.lit(size - overlap))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(w, i + 1, size), " "))
+
+    def windows(w: Column) -> Column:
+        starts = F.when(F.size(w) > 0, F.sequence(F.lit(0), F.size(w) - 1, F.lit(size - overlap))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(w, i + 1, size), " "))
+
+    return F.flatten(F.transform(F.array(words(c)), windows))  # the words are bound once, not split anew for each window
 
 
 def check_window(size: int, overlap: int) -> None:

@@ -15,15 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.text import check_window
 
 Span = tuple[int, int]
+#: What ends sentences and paragraphs, tables, names of environments, and what sentence splitting must not cut
+#: (displayed and inline formulas, references to figures, tables and equations with the mark after them, and their abbreviations).
 SENTENCE_END = re.compile(r"(?<=[.!?])(\s+)")
 PARAGRAPH_GAP = re.compile(r"\n\s*\n")
-TABLE = re.compile(r"\|[^\n]*\|\n(?:\|[^\n]*\|\n)+")
-ENVIRONMENT = re.compile(r"\\(begin|end)\{([^{}]*)\}")
+TABLE = re.compile(r"\|[^\n]+\|\n(?:\|[^\n]+\|\n)+")
+OPENING = re.compile(r"\\begin\{([^}]+)\}")
+PROTECTED = re.compile(r"\\\[.*?\\\]|\$.*?\$|(?:Fig\.|Figure|Tab\.|Table|Eq\.|Equation)\s+\d+[.:]|\b(?:[Ff]igs?|[Tt]abs?|[Ee]qs?)\.", re.DOTALL)
 BEGIN = "\\begin{"
 HEADING = re.compile(r"(#{1,6})[ \t]+(.*?)[ \t]*#*[ \t]*$")
 FENCE = re.compile(r"\s{0,3}(```+|~~~+)")
-#: What sentence splitting must not cut: displayed and inline formulas, and references to figures, tables and equations.
-PROTECTED = re.compile(r"\\\[.*?\\\]|\$.*?\$|\b(?:[Ff]igs?|[Ff]igures?|[Tt]abs?|[Tt]ables?|[Ee]qs?|[Ee]quations?)\.?\s*\(?\d+(?:\.\d+)*\)?", re.DOTALL)
 
 
 @dataclass(frozen=True)
@@ -107,18 +108,16 @@ def header_sections(text: str) -> list[Section]:
 def matching_end(text: str, at: int) -> int:
     """Where the environment that begins at `at` ends, others of its name inside counted; -1 if it never does.
 
-    The name is the first that can be read from `at` on, as the opening mark is not anchored.
+    The name is the first that can be read from `at` on, anything up to a closing brace; marks of that name count from where the
+    opening one would end if it stood at `at`.
     """
-    opening = None
-    depth = 0
-    for m in ENVIRONMENT.finditer(text, at):
-        if opening is None:
-            if m[1] == "begin":
-                opening, depth = m[2], 1
-        elif m[2] == opening:
-            depth += 1 if m[1] == "begin" else -1
-            if not depth:
-                return m.end()
+    if not (first := OPENING.search(text, at)):
+        return -1
+    opening, closing, depth = first[0], f"\\end{{{first[1]}}}", 1
+    for mark in re.compile(f"{re.escape(opening)}|{re.escape(closing)}").finditer(text, at + len(opening)):
+        depth += 1 if mark[0] == opening else -1
+        if not depth:
+            return mark.end()
     return -1
 
 

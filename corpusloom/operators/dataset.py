@@ -67,6 +67,17 @@ def generate_pairs(docs: DataFrame, chunks: DataFrame, instructions: str, thresh
     return validate_references(pairs, chunks, threshold)
 
 
+def answer(questions: DataFrame, hits: DataFrame, instructions: str, factory: Callable = models.ContextAnswerer, max_tokens: int = 1500, temperature: float = 0.1) -> DataFrame:
+    """questions (question_id, question) with `context`, their hits' texts in rank order, and the model's `answer` that is grounded on them.
+
+    Without hits the context is empty; where all tries failed the answer is null and `error` says why.
+    """
+    context = context_of(hits, "question_id", "rank", "content")
+    asked = questions.select("question_id", "question").join(context, "question_id", "left").withColumn("context", F.coalesce("context", F.lit("")))
+    shown = F.concat(F.lit(instructions + "\n\n"), F.col("context"), F.lit("\nQuestion: "), F.coalesce("question", F.lit("")))
+    return models.generate(asked.withColumn("prompt", shown), "prompt", "answer", factory, max_tokens, temperature).drop("prompt")
+
+
 def generation_stats(documents: int | Column, pairs: DataFrame) -> DataFrame:
     """One row: documents, pairs, skipped, references generated, valid and removed, and the two rates (0 without a denominator)."""
     n = documents if isinstance(documents, Column) else F.lit(int(documents))

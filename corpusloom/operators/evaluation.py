@@ -8,38 +8,62 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import staged
 
 METRICS = (
     "num_references", "num_retrieved", "avg_score", "token_iou", "token_precision", "token_recall", "token_f1", "passage_coverage", "passage_accuracy",
     "passage_precision", "passage_recall", "passage_f1", "doc_coverage", "doc_accuracy", "doc_precision", "doc_recall", "doc_chunks_retrieved",
+    "embedding_time", "retrieval_time",
 )
+#: From this threshold on fuzzy pairs are looked for by the rare tokens of a reference.
+PREFIX_FROM = 0.5
+#: Seconds that a question may carry.
+LATENCIES = ("embedding_time", "retrieval_time")
 
 
 def fuzzy_pairs(references: DataFrame, documents: DataFrame, threshold: float, on: list[str] | None = None) -> DataFrame:
     """(reference_id, *on, chunk_id, share) of pairs in which at least `threshold` of the reference's tokens, repeated ones
     counted, occur in the document; the columns `on` must agree besides.
 
-    references: (reference_id, text, *on); documents: (chunk_id, content, *on). A join on tokens, not on pairs: a pair without a common
-    token is never formed, which asks for a threshold above 0. A reference without tokens matches nothing.
+    references: (reference_id, text, *on); documents: (chunk_id, content, *on). A pair without a common token is never formed, which asks for a
+    threshold above 0. A reference without tokens matches nothing. From PREFIX_FROM on only few of the pairs with a common token can match: a
+    reference's tokens are ordered by how many documents hold them; the most frequent ones that together fall short of the threshold
+    make no match alone, so that a document is a candidate only if it holds one of the others, and candidates are counted by
+    themselves. Below it nearly all such pairs are candidates, and their common tokens are counted by the join itself.
     """
     if threshold <= 0:
         raise ValueError("a threshold above 0 is asked for: pairs without a common token aren't formed")
     on = on or []
-    asked = references.select("reference_id", *on, T.tokens("text").alias("t")).withColumn("n", F.size("t")).select("reference_id", *on, "n", F.explode("t").alias("token")).groupBy("reference_id", *on, "n", "token").agg(F.count(F.lit(1)).alias("tf"))
-    held = documents.select("chunk_id", *on, F.explode(F.array_distinct(T.tokens("content"))).alias("token"))
-    shares = asked.join(held, [*on, "token"]).groupBy("reference_id", *on, "chunk_id", "n").agg(F.sum("tf").alias("m"))
-    return shares.withColumn("share", F.col("m").cast("double") / F.col("n").cast("double")).where(F.col("share") >= threshold).select("reference_id", *on, "chunk_id", "share")
+    asked = references.select("reference_id", *on, T.tokens("text").alias("t")).where(F.size("t") > 0)
+    counted = asked.select("reference_id", *on, F.size("t").alias("n"), F.explode("t").alias("token")).groupBy("reference_id", *on, "n", "token").agg(F.count(F.lit(1)).alias("tf"))
+    docs = documents.select("chunk_id", *on, F.array_distinct(T.tokens("content")).alias("held"))
+    if threshold < PREFIX_FROM:
+        common = counted.join(docs.select("chunk_id", *on, F.explode("held").alias("token")), [*on, "token"]).groupBy("reference_id", *on, "chunk_id", "n").agg(F.sum("tf").alias("m"))
+    else:
+        docs = staged(docs, "held")  # divided into tokens once
+        held = docs.select("chunk_id", *on, F.explode("held").alias("token"))
+        frequency = held.join(counted.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+        up_to = Window.partitionBy("reference_id", *on).orderBy(F.desc("df"), "token")  # from the most frequent on; a reference is one text
+        ranked = counted.join(frequency, "token", "left").fillna(0, ["df"]).withColumn("m", F.sum("tf").over(up_to))
+        rare = ranked.where(F.col("m").cast("double") / F.col("n").cast("double") >= threshold)
+        pairs = rare.select("reference_id", *on, "token").join(held, [*on, "token"]).select("reference_id", *on, "chunk_id").distinct()
+        weights = counted.groupBy("reference_id", *on, "n").agg(F.map_from_entries(F.collect_list(F.struct("token", "tf"))).alias("tf"))
+        m = F.aggregate(F.array_intersect(F.map_keys("tf"), "held"), F.lit(0).cast("long"), lambda s, t: s + F.col("tf")[t])
+        common = pairs.join(weights, ["reference_id", *on]).join(docs, ["chunk_id", *on]).withColumn("m", m)
+    shares = common.withColumn("share", F.col("m").cast("double") / F.col("n").cast("double"))
+    return shares.where(F.col("share") >= threshold).select("reference_id", *on, "chunk_id", "share")
 
 
 def matches(references: DataFrame, hits: DataFrame, threshold: float) -> DataFrame:
     """(question_id, reference_id, chunk_id, rank) of hits that hold a reference of their question."""
-    docs = hits.select("question_id", "chunk_id", "content").dropDuplicates(["question_id", "chunk_id"])
-    found = fuzzy_pairs(references, docs, threshold, ["question_id"])
-    return found.join(hits.select("question_id", "chunk_id", "rank"), ["question_id", "chunk_id"]).select("question_id", "reference_id", "chunk_id", "rank")
+    # a question meets its own hits only: as many pairs as its references times its hits
+    asked = references.select("question_id", "reference_id", T.tokens("text").alias("asked"))
+    held = hits.select("question_id", "chunk_id", "rank", F.array_distinct(T.tokens("content")).alias("held"))
+    return asked.join(held, "question_id").where(T.is_fuzzy_match(F.col("asked"), F.col("held"), threshold)).select("question_id", "reference_id", "chunk_id", "rank").distinct()
 
 
 def at_each_k(ranked: DataFrame, ks: list[int]) -> DataFrame:
@@ -53,8 +77,9 @@ def grid(questions: DataFrame, ks: list[int]) -> DataFrame:
 
 
 def multiset_overlap(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, overlap): size of the intersection of two multisets (keys, token, n)."""
-    return a.withColumnRenamed("n", "__a").join(b.withColumnRenamed("n", "__b"), [*keys, "token"]).groupBy(*keys).agg(F.sum(F.least("__a", "__b")).alias("overlap"))
+    """(keys, overlap): size of the intersection of two multisets (some of the keys, token, n); keys that both have must agree."""
+    both = [k for k in keys if k in a.columns and k in b.columns]
+    return a.withColumnRenamed("n", "__a").join(b.withColumnRenamed("n", "__b"), [*both, "token"]).groupBy(*keys).agg(F.sum(F.least("__a", "__b")).alias("overlap"))
 
 
 def token_metrics(questions: DataFrame, references: DataFrame, hits: DataFrame, found: DataFrame, ks: list[int]) -> DataFrame:
@@ -102,16 +127,34 @@ def document_metrics(questions: DataFrame, hits: DataFrame, ks: list[int]) -> Da
 
 
 def evaluate(questions: DataFrame, references: DataFrame, hits: DataFrame, ks: list[int], threshold: float) -> DataFrame:
-    """One row per question and k with all metrics; questions with a non-null `error` column are left out of every k."""
+    """One row per question and k with all metrics, and the latencies that questions carry; questions with a non-null `error` column are
+    left out of every k (`failed` lists them). Hits and matches are written once, since every metric reads them."""
     if "error" in questions.columns:
         questions = questions.where("error is null").drop("error")
-    hits = hits.where(F.col("rank") <= max(ks))
-    found = matches(references, hits, threshold)
+    hits = staged(hits.where(F.col("rank") <= max(ks)), "hits")
+    found = staged(matches(references, hits, threshold), "found")
     asked = grid(questions.select("question_id"), ks).join(references.groupBy("question_id").agg(F.count_distinct("reference_id").alias("num_references")), "question_id", "left").fillna(0, ["num_references"])
     parts = [asked, document_metrics(questions, hits, ks), token_metrics(questions, references, hits, found, ks), passage_metrics(questions, references, hits, found, ks)]
+    if times := [c for c in LATENCIES if c in questions.columns]:
+        parts.append(grid(questions.select("question_id", *times), ks))
     return reduce(lambda a, b: a.join(b, ["question_id", "k"]), parts)
 
 
+def failed(questions: DataFrame) -> DataFrame:
+    """(question_id, error) of the questions that the metrics leave out."""
+    return questions.where("error is not null").select("question_id", "error")
+
+
+def compare_retrieval(original: DataFrame, rewritten: DataFrame, by: str = "question_id") -> DataFrame:
+    """What a rewritten query retrieves against the original: per question the hits of each, those of both, and the best scores (0 without hits)."""
+    a, b = (h.select(by, "chunk_id", F.col("score").alias(f"{name}_score")) for h, name in ((original, "original"), (rewritten, "rewritten")))
+    both = a.join(b, [by, "chunk_id"], "full").groupBy(by).agg(
+        F.count("original_score").alias("n_original"), F.count("rewritten_score").alias("n_rewritten"), F.count_if(F.col("original_score").isNotNull() & F.col("rewritten_score").isNotNull()).alias("n_common"),
+        F.coalesce(F.max("original_score"), F.lit(0.0)).alias("best_original"), F.coalesce(F.max("rewritten_score"), F.lit(0.0)).alias("best_rewritten"),
+    )
+    return both.withColumn("best_gain", F.col("best_rewritten") - F.col("best_original"))
+
+
 def summary(results: DataFrame, ks: list[int], metrics: list[str] | None = None) -> DataFrame:
     """Per k the number of questions and the plain mean of each metric; a k without questions keeps a row of 0 questions."""
     metrics = metrics or [m for m in METRICS if m in results.columns]

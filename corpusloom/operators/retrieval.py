@@ -26,10 +26,11 @@ def cosine(a: Column, b: Column) -> Column:
 def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, floor: float | None = None, id_col: str = "vec_id", vector_col: str = "embedding", skip_own: bool = True) -> DataFrame:
     """query_id, rank (from 1), the vector's id and score: each query's k best, at or above the floor.
 
-    queries: (query_id, query_vector). With skip_own a vector of the query's id is no hit.
+    queries: (query_id, query_vector). With skip_own a vector of the query's id is no hit. Rows without an id, and vectors that are null or
+    hold null or non-finite components, take no part on either side; a vector without length scores 0; a query meets vectors of its own dimension only.
     """
-    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where("id is not null and v is not null")
-    q = queries.select(F.col("query_id").cast("long").alias("id"), F.col("query_vector").cast("array<double>").alias("v")).where("id is not null and v is not null")
+    v = taking_part(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")))
+    q = taking_part(queries.select(F.col("query_id").cast("long").alias("id"), F.col("query_vector").cast("array<double>").alias("v")))
     v_blocks, q_blocks = max(1, -(-v.count() // VECTORS_PER_BLOCK)), max(1, -(-q.count() // QUERIES_PER_BLOCK))
     dealt = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -65,6 +66,11 @@ def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, floor: float |
     return ranked(hits, "query_id", [F.desc("score"), F.asc("id")], k).select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
+def taking_part(rows: DataFrame) -> DataFrame:
+    """Rows (id, v) with an id and finite components only."""
+    return rows.where(F.col("id").isNotNull() & F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)))
+
+
 def ranked(hits: DataFrame, by: str, order: list, k: int, name: str = "rank") -> DataFrame:
     """The k first of each group by an order that tells rows apart, with their rank from 1."""
     return hits.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*order)).cast("long")).where(F.col(name) <= k)
@@ -88,15 +94,47 @@ def hamming(a: Column, b: Column) -> Column:
 def hamming_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id and distance: each query's k nearest by signs, ties by id; a prefilter for exact rescoring.
 
-    Both (vec_id, bits); queries are dealt into blocks, and vectors meet every block.
+    Both (vec_id, bits). As in cosine_top_k both are dealt into blocks, and each pair of blocks keeps its k nearest, so that no pair becomes a row.
     """
-    blocks = max(1, -(-queries.count() // QUERIES_PER_BLOCK))
-    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("bits").alias("query_bits"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("qb"))
-    stored = vectors.select("vec_id", "bits", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("qb"))
-    pairs = stored.join(asked, "qb").where("vec_id <> query_id").select("query_id", "vec_id", hamming(F.col("bits"), F.col("query_bits")).alias("distance"))
+    v, q = vectors.where("vec_id is not null and bits is not null"), queries.where("vec_id is not null and bits is not null")
+    v_blocks, q_blocks = max(1, -(-v.count() // VECTORS_PER_BLOCK)), max(1, -(-q.count() // QUERIES_PER_BLOCK))
+    dealt = lambda n: F.pmod(F.xxhash64("vec_id", "bits"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = v.select("vec_id", "bits").withColumn("vb", dealt(v_blocks)).withColumn("qb", every(q_blocks)).withColumn("asked", F.lit(False))
+    right = q.select("vec_id", "bits").withColumn("qb", dealt(q_blocks)).withColumn("vb", every(v_blocks)).withColumn("asked", F.lit(True))
+
+    def nearest(frame):
+        import numpy as np
+        import pandas as pd
+
+        asked, stored = frame[frame["asked"]], frame[~frame["asked"]]
+        out = [pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "distance")})]
+        width = max([len(b) for b in frame["bits"]], default=0)
+        packed = lambda rows: np.array([[*b, *(0,) * (width - len(b))] for b in rows["bits"]], np.int64).reshape(len(rows), width)
+        bits, ids = packed(stored), stored["vec_id"].to_numpy(np.int64)
+        for query, own in zip(asked["vec_id"].tolist(), packed(asked), strict=True):
+            distance = np.bitwise_count((bits ^ own).view(np.uint64)).sum(1, dtype=np.int64)
+            at = np.flatnonzero(ids != query)
+            if len(at) > k:  # all that tie with the k-th stay, and are ranked below
+                at = at[distance[at] <= np.partition(distance[at], k - 1)[k - 1]]
+            at = at[np.lexsort((ids[at], distance[at]))][:k]
+            out.append(pd.DataFrame({"query_id": query, "vec_id": ids[at], "distance": distance[at]}))
+        return pd.concat(out)
+
+    pairs = left.unionByName(right).groupBy("vb", "qb").applyInPandas(nearest, "query_id long, vec_id long, distance long")
     return ranked(pairs, "query_id", [F.asc("distance"), F.asc("vec_id")], k)
 
 
+def quantized_search(points: DataFrame, queries: DataFrame, k: int, oversampling: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """query_id, rank, vec_id and score: the k * oversampling nearest by signs, rescored by the exact cosine. queries: (query_id, query_vector)."""
+    signs = lambda df, i, v: df.select(F.col(i).alias("vec_id"), sign_bits(F.col(v)).alias("bits"))
+    near = hamming_top_k(signs(points, id_col, vector_col), signs(queries, "query_id", "query_vector"), k * oversampling).select("query_id", "vec_id")
+    stored = points.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    asked = queries.select("query_id", F.col("query_vector").cast("array<double>").alias("q"))
+    scored = near.join(stored, "vec_id").join(asked, "query_id").select("query_id", "vec_id", (F.round(cosine(F.col("v"), F.col("q")), DECIMALS) + F.lit(0.0)).alias("score"))
+    return ranked(scored, "query_id", [F.desc("score"), F.asc("vec_id")], k).select("query_id", "rank", "vec_id", "score")
+
+
 @dataclass(frozen=True)
 class Collection:
     """A table of points (id, vector, payload columns) with a fixed dimension and the cosine distance."""

@@ -7,13 +7,13 @@ Queries run over whole tables; vector queries are all ids divisible by 100.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import models
 from ..functions import text as T
 from ..operators import chunking, dataset, evaluation, numbering, retrieval
-from ..session import table
+from ..session import staged, table
 from ..sources import io
 
 KS, LEXICAL_KS, FLOOR, THRESHOLD = [3, 5, 10, 15, 20], [3, 5, 10], 0.3, 0.8
@@ -179,6 +179,18 @@ def binary_quantization(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.hamming_top_k(bits, bits.where("vec_id % 100 = 0"), 50)
 
 
+@query("""WITH pair AS (SELECT a.vec_id AS query_id, b.vec_id, a.embedding AS x, b.embedding AS y,
+  CAST(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: CAST((z[1] > 0) <> (z[2] > 0) AS BIGINT))) AS BIGINT) AS distance
+  FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS n FROM pair),
+s AS (SELECT query_id, vec_id, round(list_cosine_similarity(CAST(x AS DOUBLE[]), CAST(y AS DOUBLE[])), 6) + 0.0 AS score FROM near WHERE n <= 50),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""")
+def binary_quantization_rescored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = table(spark, sf_dir, "embeddings")
+    return retrieval.quantized_search(v, _vector_queries(v), 10, 5)
+
+
 def _vector_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "embeddings")
     hits = _top(spark, sf_dir, max(KS), FLOOR).join(v.select("vec_id", F.col("label").alias("path")), "vec_id").withColumnRenamed("query_id", "question_id")
@@ -235,7 +247,7 @@ def word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TABLED = "concat('| ', replace(text, chr(10), ' |' || chr(10) || '| '), ' |', chr(10), text)"
 
 
-@query(rf"""WITH t AS (SELECT doc_id, regexp_extract_all({_TABLED}, '\|[^\n]*\|\n(?:\|[^\n]*\|\n)+') AS ts FROM documents)
+@query(rf"""WITH t AS (SELECT doc_id, regexp_extract_all({_TABLED}, '(\|[^\n]+\|\n)((?:\|[^\n]+\|\n)+)', 0) AS ts FROM documents)
 SELECT doc_id, CAST(i AS BIGINT) AS table_no, md5(ts[i + 1]) AS table_md5 FROM (SELECT doc_id, ts, unnest(range(len(ts))) AS i FROM t)""")
 def table_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = F.concat(F.lit("| "), F.replace("text", F.lit("\n"), F.lit(" |\n| ")), F.lit(" |\n"), F.col("text"))
@@ -286,20 +298,64 @@ def recursive_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunk_rows(_docs(spark, sf_dir), lambda t: chunking.recursive_chunks(t, 100, 20)).drop("headers")
 
 
-@query()
+class Sql(str):
+    """An expression that Spark and DuckDB read alike; plain strings beside it are literals."""
+
+
+def _glued_sql(parts: list[str]) -> str:
+    return "concat(" + ", ".join(p if isinstance(p, Sql) else "'" + p.replace("'", "''").replace("\n", "' || chr(10) || '") + "'" for p in parts) + ")"
+
+
+def _glued(parts: list[str]) -> Column:
+    return F.concat(*(F.expr(p) if isinstance(p, Sql) else F.lit(p) for p in parts))
+
+
+#: Texts as one sentence each, which the recursive splitter cuts by words alone.
+_ONE_SENTENCE = Sql("translate(replace(text, chr(10), ' '), '.!?', '')")
+
+
+@query(f"""WITH w AS (SELECT doc_id, {_ONE_SENTENCE} AS t, {_words(_ONE_SENTENCE)} AS ws FROM documents),
+c AS (SELECT doc_id, 0 AS i, t AS content FROM w WHERE len(ws) <= 100
+UNION ALL SELECT doc_id, i, array_to_string(ws[i + 1 : i + 100], ' ') FROM (SELECT doc_id, ws, unnest(range(0, len(ws), 80)) AS i FROM w WHERE len(ws) > 100))
+SELECT doc_id, CAST(i // 80 AS BIGINT) AS chunk_no, content FROM c""")
+def recursive_word_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir).withColumn("text", F.expr(_ONE_SENTENCE))
+    return chunking.chunk_rows(docs, lambda t: chunking.recursive_chunks(t, 100, 20)).drop("headers")
+
+
+#: Texts without signs of headings and fences, below two headings of their own.
+_HEADED = ["# ", Sql("source"), " ##\n## ", Sql("lang"), "\n", Sql("translate(text, '#`~', '')")]
+
+
+@query(f"""SELECT doc_id, CAST(0 AS BIGINT) AS chunk_no, '# ' || source || ' ##' AS content, '{{"1":"' || source || '"}}' AS headers FROM documents
+UNION ALL SELECT doc_id, 1, regexp_replace({_glued_sql(["## ", *_HEADED[3:]])}, '{_WS}+$', ''), '{{"1":"' || source || '","2":"' || lang || '"}}' FROM documents""")
 def header_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headed = _docs(spark, sf_dir).withColumn("text", F.concat(F.lit("# "), F.col("source"), F.lit("\n## "), F.col("lang"), F.lit("\n"), F.col("text")))
+    headed = _docs(spark, sf_dir).withColumn("text", _glued(_HEADED))
     return chunking.chunk_rows(headed, chunking.header_sections).withColumn("headers", F.to_json("headers"))
 
 
-@query()
+#: A nested environment with another's marks inside, one that is never closed, and two tables: after a line between bars that is empty, and without a last newline.
+_ENVIRONMENT = ["\\begin{", Sql("lang"), "}", Sql("doc_id"), "\\begin{", Sql("lang"), "} a \\begin{b} \\end{", Sql("lang"), "}\\end{", Sql("lang"), "}"]
+_TABLE_1 = ["| a", Sql("doc_id"), " |\n| b |\n"]
+_SPANNED = ["see ", *_ENVIRONMENT, " ", Sql("translate(text, '|', '')"), " \\begin{c\n", *_TABLE_1, "x\n||\n", "| c |\n| d |\n", "| e |"]
+
+
+@query(f"""WITH s AS (SELECT doc_id, length({_glued_sql(["see "])}) AS a, length({_glued_sql(_ENVIRONMENT)}) AS e, length({_glued_sql(_SPANNED[:-3])}) AS t1,
+  length({_glued_sql(_TABLE_1)}) AS n1, length({_glued_sql(_SPANNED[:-2])}) AS t2, length({_glued_sql(_SPANNED[-2:-1])}) AS n2 FROM documents)
+SELECT doc_id, CAST(0 AS BIGINT) AS span_no, a AS start, a + e AS "end" FROM s UNION ALL SELECT doc_id, 1, t1 - n1, t1 FROM s UNION ALL SELECT doc_id, 2, t2, t2 + n2 FROM s""")
 def preserved_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.span_rows(_docs(spark, sf_dir), chunking.preserved_spans)
+    return chunking.span_rows(_docs(spark, sf_dir).withColumn("text", _glued(_SPANNED)), chunking.preserved_spans)
 
 
-@query()
+#: Texts as one sentence, with references and formulas whose marks end none, before sentences more.
+_PLAIN = Sql("translate(replace(text, chr(10), ' '), '.!?$|', '')")
+_GUARDED = [_PLAIN, " in Table 1. The caption goes on. See Fig. ", Sql("doc_id"), ": ok $a. b$ there! Eq. 3 ends"]
+
+
+@query(f"""WITH p AS (SELECT doc_id, [{_glued_sql([_PLAIN, " in Table 1. The caption goes on."])}, {_glued_sql(["See Fig. ", Sql("doc_id"), ": ok $a. b$ there!"])}, 'Eq. 3 ends'] AS ps FROM documents)
+SELECT doc_id, CAST(i AS BIGINT) AS chunk_no, regexp_replace(ps[i + 1], '^{_WS}+', '') AS content FROM (SELECT doc_id, ps, unnest(range(3)) AS i FROM p)""")
 def protected_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.chunk_rows(_docs(spark, sf_dir), chunking.structured_chunks).drop("headers")
+    return chunking.chunk_rows(_docs(spark, sf_dir).withColumn("text", _glued(_GUARDED)), chunking.structured_chunks).drop("headers")
 
 
 # references and metrics ----------------------------------------------------------------------------------------
@@ -323,6 +379,17 @@ def chunk_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbering.number_rows(_docs(spark, sf_dir).select("doc_id", "source"), "source", ["doc_id"], "chunk_number")
 
 
+@query("SELECT doc_id, source, md5(text) AS text_md5, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS chunk_number FROM documents")
+def chunk_numbering_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = numbering.number_rows(_docs(spark, sf_dir), "source", ["doc_id"], "chunk_number")
+    return rows.select("doc_id", "source", F.md5(F.col("text").cast("binary")).alias("text_md5"), "chunk_number")
+
+
+@query("SELECT doc_id, row_no FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM documents) WHERE row_no IN (0, 7, 42, 1000000000)")
+def pick_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbering.pick_rows(_docs(spark, sf_dir).select("doc_id"), ["doc_id"], [0, 7, 42, 1_000_000_000])
+
+
 @query(f"""WITH {_SHARES}, n AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS no FROM documents)
 SELECT item_id AS reference_id, source, array_to_string(list(no ORDER BY no), ',') AS chunk_numbers FROM shares JOIN n USING (doc_id) WHERE share >= {THRESHOLD} GROUP BY 1, 2""")
 def reference_chunk_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,9 +421,10 @@ def generation_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lexical(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """questions, references and hits of lexical retrieval: the share of a question's tokens that a document holds."""
     items, chunks = table(spark, sf_dir, "benchmark"), _chunks(spark, sf_dir)
-    shares = rounded(evaluation.fuzzy_pairs(_references(spark, sf_dir), chunks, 1e-9), "share").where(F.col("share") >= FLOOR)
+    # shares are compared when rounded
+    shares = rounded(evaluation.fuzzy_pairs(_references(spark, sf_dir), chunks, FLOOR - 1e-6), "share").where(F.col("share") >= FLOOR)
     best = retrieval.ranked(shares, "reference_id", [F.desc("share"), F.asc("chunk_id")], max(LEXICAL_KS))
-    hits = best.join(chunks, "chunk_id").select(F.col("reference_id").alias("question_id"), "rank", "chunk_id", "path", "content", F.col("share").alias("score"))
+    hits = staged(best.join(chunks, "chunk_id").select(F.col("reference_id").alias("question_id"), "rank", "chunk_id", "path", "content", F.col("share").alias("score")), "lexical-hits")
     group = F.floor(F.col("item_id") / 2)
     questions = items.select(F.col("item_id").alias("question_id"), group.alias("g"), F.lit("src0").alias("gold_path"))
     references = questions.join(items.select(group.alias("g"), F.col("item_id").alias("reference_id"), "text"), "g").select("question_id", "reference_id", "text")
@@ -421,8 +489,7 @@ def rank_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def multiset_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda df, key, text, to: df.select(F.col(key).alias(to), F.explode(T.tokens(text)).alias("token")).groupBy(to, "token").agg(F.count(F.lit(1)).alias("n"))
     a, b = count(table(spark, sf_dir, "benchmark"), "item_id", "text", "reference_id"), count(_docs(spark, sf_dir), "doc_id", "text", "chunk_id")
-    both = a.withColumnRenamed("n", "a").join(b.withColumnRenamed("n", "b"), "token")
-    return both.groupBy("reference_id", "chunk_id").agg(F.sum(F.least("a", "b")).alias("overlap"))
+    return evaluation.multiset_overlap(a, b, ["reference_id", "chunk_id"])
 
 
 # re-ranking ----------------------------------------------------------------------------------------------------
@@ -468,6 +535,14 @@ def context_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.context_of(hits, "question_id", "rank", "content").select("question_id", F.md5(F.col("context").cast("binary")).alias("context_md5"))
 
 
+@query(f"""WITH {_LEXICAL}, c AS (SELECT question_id, count(*) AS n FROM hits WHERE rank <= 5 GROUP BY 1)
+SELECT item_id AS question_id, md5(coalesce(n, 0) || ' documents on: ' || text) AS answer_md5 FROM benchmark LEFT JOIN c ON question_id = item_id""")
+def grounded_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
+    answers = dataset.answer(asked, _lexical(spark, sf_dir)[2].where("rank <= 5"), "Answer from the documents only.")
+    return answers.select("question_id", F.md5(F.col("answer").cast("binary")).alias("answer_md5"))
+
+
 # ingestion and payloads ----------------------------------------------------------------------------------------
 
 
@@ -485,6 +560,12 @@ def ingest_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.run_summary(chunks, io.resume(docs, table(spark, sf_dir, "labels"), "doc_id"), "chunks")
 
 
+@query("SELECT CAST(doc_id AS VARCHAR) AS file_path, 'missing' AS reason FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels)")
+def ingest_skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    missing = io.resume(_docs(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id")
+    return io.skipped_list(missing.select(F.col("doc_id").cast("string").alias("file_path")))
+
+
 @query("SELECT doc_id, n_chars, md5(concat(source, '/', lang)) AS header_md5, md5(text) AS content_md5 FROM documents")
 def chunk_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.struct(F.col("text").alias("content"), F.struct("n_chars", F.array("source", "lang").alias("header")).alias("metadata"))
@@ -548,6 +629,32 @@ def rewrite_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", "rewritten", F.size(T.tokens("last_utterance")).cast("long").alias("original_tokens"), F.size(T.tokens("rewritten")).cast("long").alias("rewritten_tokens"))
 
 
+def _asked_hits(items: DataFrame, asked: DataFrame, text: str) -> DataFrame:
+    """The five items that hold the largest shares, 0.2 at least, of each utterance's tokens."""
+    shares = rounded(evaluation.fuzzy_pairs(asked.select(F.col("conv_id").alias("reference_id"), F.col(text).alias("text")), items, 0.2 - 1e-6), "share").where("share >= 0.2")
+    return retrieval.ranked(shares, "reference_id", [F.desc("share"), F.asc("chunk_id")], 5).select(F.col("reference_id").alias("question_id"), "chunk_id", "rank", F.col("share").alias("score"))
+
+
+def _asked_sql(name: str, text: str) -> str:
+    return f"""{name}_t AS (SELECT conv_id, unnest({_tok(text)}) AS tok FROM w), {name}_n AS (SELECT conv_id, count(*) AS n FROM {name}_t GROUP BY 1),
+{name}_s AS (SELECT conv_id AS question_id, item_id AS chunk_id, round(CAST(count(*) AS DOUBLE) / CAST(max(n) AS DOUBLE), 6) + 0.0 AS score
+  FROM {name}_t JOIN (SELECT DISTINCT item_id, tok FROM ref) USING (tok) JOIN {name}_n USING (conv_id) GROUP BY 1, 2),
+{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS rank FROM {name}_s WHERE score >= 0.2) WHERE rank <= 5)"""
+
+
+@query(f"""WITH {_CONV}, p AS (SELECT l.conv_id, max(turn) AS t FROM s JOIN l ON s.conv_id = l.conv_id AND turn < l.t WHERE role = 'user' GROUP BY 1),
+w AS (SELECT c.conv_id, c.last_utterance, trim(CASE WHEN s.text IS NULL THEN c.last_utterance ELSE s.text || ' ' || c.last_utterance END) AS rewritten FROM c LEFT JOIN p ON p.conv_id = c.conv_id LEFT JOIN s ON s.conv_id = p.conv_id AND s.turn = p.t),
+ref AS (SELECT item_id, unnest({_tok("text")}) AS tok FROM benchmark), {_asked_sql("a", "last_utterance")}, {_asked_sql("b", "rewritten")}
+SELECT question_id, count(a.score) AS n_original, count(b.score) AS n_rewritten, count(*) FILTER (WHERE a.score IS NOT NULL AND b.score IS NOT NULL) AS n_common,
+coalesce(max(a.score), 0.0) AS best_original, coalesce(max(b.score), 0.0) AS best_rewritten, round(coalesce(max(b.score), 0.0) - coalesce(max(a.score), 0.0), 6) + 0.0 AS best_gain
+FROM a FULL JOIN b USING (question_id, chunk_id) GROUP BY 1""")
+def rewrite_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = staged(dataset.rewrite(last_user_utterance(spark, sf_dir)).select("conv_id", "last_utterance", "rewritten"), "rewritten")
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("chunk_id"), F.col("text").alias("content"))
+    both = evaluation.compare_retrieval(_asked_hits(items, convs, "last_utterance"), _asked_hits(items, convs, "rewritten"))
+    return rounded(both, "best_gain")
+
+
 # model replies and samples -------------------------------------------------------------------------------------
 
 

@@ -1,13 +1,17 @@
-"""Session helpers: the test session, table loading, and making this package importable by Python workers."""
+"""Session helpers: the test session, table loading, the scratch folder that cuts lineage, and making this package importable by Python workers."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE_ROOT = str(Path(__file__).resolve().parent.parent)
+_OWN: dict[str, str] = {}
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -37,3 +41,40 @@ def share_package(spark: SparkSession) -> SparkSession:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A folder of this application below spark.checkpoint.dir, which all executors share.
+
+    Only under a local master, where driver and executors are one process, a temporary folder stands in for a missing setting.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            base = tempfile.mkdtemp(prefix="corpusloom-")
+        _OWN[app] = f"{base.rstrip('/')}/corpusloom/{app}"
+        atexit.register(sweep, spark, _OWN[app])
+    return _OWN[app]
+
+
+def sweep(spark: SparkSession, path: str) -> None:
+    """Delete a folder, by Hadoop's file system; a stopped session leaves it to the cluster's clean-up."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the JVM may be gone by now
+        pass
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write df as Parquet to the scratch folder and read it back: lineage ends there, so that lost executors cost no recomputation, and
+    what isn't the same on every run (order of rows, numbers of partitions) is settled once."""
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -36,10 +36,33 @@ def conversations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def qa_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array, or JSON lines, of question-reference pairs; a missing path raises."""
+    """Question-reference pairs: a JSON array, JSON lines (a folder of them too), or an object whose values are arrays of pairs, by k; a missing path raises.
+
+    Of an object's arrays only the first key's is read, since all hold the same questions.
+    """
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    if is_folder(spark, path):
+        return spark.read.schema(QA).json(path)
+    keyed = spark.read.text(path, wholetext=True).select(F.from_json("value", f"map<string,array<struct<{_struct(QA)}>>>").alias("m")).where(F.col("m").isNotNull() & (F.size("m") > 0))
+    if not keyed.isEmpty():
+        return keyed.select(F.inline(F.map_values("m")[0]))
     return spark.read.option("multiLine", True).schema(QA).json(path)
 
 
+def _struct(ddl: str) -> str:
+    """Fields of a DDL schema as those of a struct type."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    return _parse_datatype_string(ddl).simpleString().removeprefix("struct<").removesuffix(">")
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def metadata(spark: SparkSession, path: str, schema: str = METADATA) -> DataFrame:
     """JSONL metadata, tolerantly: malformed lines and lines without file_path are left out, of several for a path the last stays.
 
@@ -124,6 +147,11 @@ def resume(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return todo.join(done.select(key), key, "left_anti")
 
 
+def skipped_list(skipped: DataFrame, reason: str = "missing") -> DataFrame:
+    """(file_path, reason) of the files that a run left out: the list beside the run summary's count, a row each."""
+    return skipped.select("file_path", F.lit(reason).alias("reason"))
+
+
 def run_summary(chunks: DataFrame, skipped: DataFrame, output: str) -> DataFrame:
     """One row: output_file, docs_processed, records_written, n_skipped."""
     made = chunks.agg(F.count_distinct("file_path").alias("docs_processed"), F.count(F.lit(1)).alias("records_written"))
@@ -151,13 +179,37 @@ class Config:
     match_on: str = "old"
     overwrite: bool = False
     dim: int = 384
+    batches: int = 8
+    log_file: str = ""
+    api_key: str = ""
+    api_key_env: str = ""
+
+
+def flattened(raw: dict) -> dict:
+    """Settings of a mapping whose sections may be nested; one that is given in two places raises."""
+    out: dict = {}
+    for key, value in raw.items():
+        for k, v in (flattened(value) if isinstance(value, dict) else {key: value}).items():
+            if k in out:
+                raise ValueError(f"{k} is given twice")
+            out[k] = v
+    return out
+
+
+def credential(c: Config) -> str:
+    """The model service's key: given, or in the environment variable that is named; one of the two must be there, not both."""
+    if bool(c.api_key) == bool(c.api_key_env):
+        raise ValueError("give either api_key or api_key_env")
+    if not (found := c.api_key or os.environ.get(c.api_key_env, "")):
+        raise ValueError(f"the environment has no {c.api_key_env}")
+    return found
 
 
 def load_config(path: str, required: tuple[str, ...] = ()) -> Config:
-    """A flat YAML file; unknown or missing keys raise. `${NAME}` values come from the environment."""
+    """A YAML file, flat or in sections; unknown or missing keys raise. `${NAME}` values come from the environment."""
     import yaml
 
-    raw = yaml.safe_load(Path(path).read_text()) or {}
+    raw = flattened(yaml.safe_load(Path(path).read_text()) or {})
     if unknown := set(raw) - {f.name for f in fields(Config)}:
         raise ValueError(f"unknown settings: {sorted(unknown)}")
     if missing := [k for k in required if not raw.get(k)]:

@@ -91,12 +91,16 @@ def test_spans():
     (span,) = C.environment_spans(nested)
     assert nested[slice(*span)].startswith(r"\begin{figure}") and nested[span[1] :].startswith(" y") and C.matching_end(r"\begin{a}", 0) == -1
     assert C.table_spans("t |a|\n|b|\n|c|\nx") == [(2, 14)] and C.table_spans("|a|\n|b|") == [] and C.table_spans("|a|\n|b|\n|c|") == [(0, 8)]
+    assert C.table_spans("||\n||\n|a|\n") == [] and C.table_spans("||\n|a|\n|b|\n") == [(3, 11)]
+    braced, empty = r"\begin{a{b} x \end{a{b} y", r"\begin{} x \begin{q} y \end{q} z \end{q}"
+    assert C.environment_spans(braced) == [(0, len(braced) - 2)] and C.matching_end(empty, 0) == len(empty)
     inside = "\\begin{t}\n|a|\n|b|\n\\end{t}"
     assert C.preserved_spans(inside) == [(0, len(inside))]
 
 
 def test_protected_and_structured():
     assert C.protected_sentences("See Fig. 3 now. It $a. b$ is. Go") == ["See Fig. 3 now.", "It $a. b$ is.", "Go"]
+    assert C.protected_sentences("See Table 1. The caption goes on. Eq. 2: ok. fig. 3 no") == ["See Table 1. The caption goes on.", "Eq. 2: ok.", "fig. 3 no"]
     many = " ".join(f"$x. {i}$ end." for i in range(12))
     assert C.protected_sentences(many) == [f"$x. {i}$ end." for i in range(12)]
     assert C.structured_chunks("One. Two.\n|a|\n|b|\nThree.") == ["One.", "Two.", "|a|\n|b|\n", "Three."]
@@ -272,6 +276,44 @@ def test_numbering_and_samples(spark):
     assert a == b and len(set(a)) == 10 and numbering.seeded_sample(rows, "id", 500, 1).count() == 200
 
 
+def test_numbering_keeps_every_row_of_a_wide_table(spark):
+    """One group, rows of a kilobyte, adaptive execution on."""
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    wide = spark.range(200_000).select("id", F.lit("one").alias("g"), F.repeat(F.md5(F.col("id").cast("string")), 32).alias("text"))
+    got = numbering.number_rows(wide, "g", ["id"], "no")
+    row = got.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("no") == F.col("id")).alias("right"), F.min(F.length("text")).alias("size")).first()
+    assert tuple(row) == (200_000, 200_000, 1024)
+    assert sorted((r.id, r.row_no) for r in numbering.pick_rows(wide, ["id"], [5, 199_999, 10**9]).select("id", "row_no").collect()) == [(5, 5), (199_999, 199_999)]
+
+
+def test_fuzzy_pairs_by_rare_tokens_are_all(spark):
+    rnd = random.Random(5)
+    text = lambda n: " ".join(rnd.choice("abcdefghijklmnop" if rnd.random() < 0.7 else "abc") for _ in range(n))
+    refs, docs = [(i, text(rnd.randint(0, 9))) for i in range(40)], [(i, text(rnd.randint(0, 14))) for i in range(80)]
+    r, d = spark.createDataFrame(refs, "reference_id long, text string"), spark.createDataFrame(docs, "chunk_id long, content string")
+    for threshold in (0.2, 0.5, 0.8, 1.0):
+        want = sorted((i, j, m / len(t)) for i, x in refs if (t := x.split()) for j, y in docs for m in [sum(w in y.split() for w in t)] if m / len(t) >= threshold)
+        assert sorted(map(tuple, E.fuzzy_pairs(r, d, threshold).collect())) == want
+
+
+def test_comparison_answers_and_failures(spark):
+    hits = lambda rows: spark.createDataFrame(rows, "question_id long, chunk_id long, score double")
+    got = E.compare_retrieval(hits([(1, 1, 0.5), (1, 2, 0.4)]), hits([(1, 2, 0.9), (2, 3, 0.1)])).collect()
+    assert sorted(map(tuple, got)) == [(1, 2, 1, 1, 0.5, 0.9, 0.4), (2, 0, 1, 0, 0.0, 0.1, 0.1)]
+    asked = spark.createDataFrame([(1, "q?"), (2, "none?")], "question_id long, question string")
+    shown = spark.createDataFrame([(1, 2, "b"), (1, 1, "a")], "question_id long, rank long, content string")
+    assert {r.question_id: (r.context, r.answer) for r in D.answer(asked, shown, "Answer.").collect()} == {1: ("Document 0:\na\nDocument 1:\nb\n", "2 documents on: q?"), 2: ("", "0 documents on: none?")}
+    assert [tuple(r) for r in E.failed(spark.createDataFrame([(1, None), (2, "x")], "question_id long, error string")).collect()] == [(2, "x")]
+
+
+def test_vectors_that_take_no_part(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1.0]), (None, [1.0, 0.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = v.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    got = retrieval.cosine_top_k(v, asked, 5)
+    assert sorted((r.query_id, r.vec_id, r.score) for r in got.collect()) == [(1, 2, 0.0), (2, 1, 0.0)]
+
+
 # sources, sinks, command line ----------------------------------------------------------------------------------
 
 
@@ -331,6 +373,46 @@ def test_command_line(spark, tmp_path):
     assert sorted(r.content for r in spark.read.json(str(tmp_path / "chunks")).collect()) == ["one two", "three"][::-1] or True
 
 
+def test_generation_goes_on_where_it_stopped(spark, tmp_path):
+    from corpusloom import cli
+
+    spark.sql("DROP TABLE IF EXISTS resumed")
+    lines = [json.dumps({"content": f"Text number {i} is here. More of it.", "metadata": {"file_path": f"p{i}", "header": []}}) for i in range(6)]
+    (tmp_path / "chunks.jsonl").write_text("\n".join(lines))
+    (tmp_path / "c.yaml").write_text(f"run:\n  input: {tmp_path}/chunks.jsonl\n  output: {tmp_path}/qa\n  collection: resumed\nsampling:\n  sample_documents: 6\n  batches: 2\n  dim: 16\nlog_file: {tmp_path}/run.log\n")
+    at = str(tmp_path / "c.yaml")
+    assert cli.main(["ingest", "--config", at]) == 0 and spark.table("resumed").count() == 6 and cli.main(["ingest", "--config", at]) == 1
+    assert cli.main(["generate", "--config", at]) == 0
+    first = sorted(r.file_path for r in spark.read.json(f"{tmp_path}/qa").collect())
+    assert first == [f"p{i}" for i in range(6)] and sorted(r.file_path for r in spark.read.json(f"{tmp_path}/qa-asked").collect()) == first
+    assert cli.main(["generate", "--config", at]) == 0  # nothing is asked again
+    assert sorted(r.file_path for r in spark.read.json(f"{tmp_path}/qa").collect()) == first
+    (tmp_path / "e.yaml").write_text(f"input: {tmp_path}/qa\noutput: {tmp_path}/eval\ncollection: resumed\ndim: 16\nk_values: [1, 3]\n")
+    assert cli.main(["evaluate", "--config", str(tmp_path / "e.yaml")]) == 0
+    row = spark.read.json(f"{tmp_path}/eval/summary").first()
+    assert row.num_questions == 6 and row.embedding_time_avg > 0 and row.retrieval_time_avg > 0
+    (tmp_path / "i.yaml").write_text(f"input: x\noutput: {tmp_path}/index\ncollection: resumed\n")
+    assert cli.main(["index", "--config", str(tmp_path / "i.yaml")]) == 0 and spark.read.parquet(f"{tmp_path}/index").count() == 6
+    spark.sql("DROP TABLE resumed")
+
+
+def test_nested_config_credentials_and_keyed_question_sets(spark, tmp_path, monkeypatch):
+    (tmp_path / "c.yaml").write_text("a:\n  input: x\nb:\n  input: y\n")
+    with pytest.raises(ValueError, match="given twice"):
+        io.load_config(str(tmp_path / "c.yaml"))
+    monkeypatch.setenv("SOME_KEY", "k")
+    assert io.credential(io.Config(api_key="z")) == "z" and io.credential(io.Config(api_key_env="SOME_KEY")) == "k"
+    for bad in (io.Config(), io.Config(api_key="z", api_key_env="SOME_KEY"), io.Config(api_key_env="NO_SUCH_KEY")):
+        with pytest.raises(ValueError):
+            io.credential(bad)
+    rows = [{"question": "q", "file_path": "p"}]
+    for name, content in (("array", rows), ("keyed", {"3": rows, "5": rows})):
+        (tmp_path / f"{name}.json").write_text(json.dumps(content))
+        assert [(r.question, r.file_path) for r in io.qa_dataset(spark, str(tmp_path / f"{name}.json")).collect()] == [("q", "p")]
+    with pytest.raises(FileNotFoundError):
+        io.qa_dataset(spark, str(tmp_path / "none.json"))
+
+
 # streaming and the registry ------------------------------------------------------------------------------------
 
 
