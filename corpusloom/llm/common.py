@@ -1,47 +1,15 @@
-"""Shared by the operators of this folder: the scratch folder that cuts lineage, and small helpers."""
+"""Shared by the operators of this folder: small helpers; `staged` cuts lineage by a written table."""
 
 from __future__ import annotations
 
-import atexit
 import functools
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN: dict[str, str] = {}
+from ..session import staged
 
-
-def scratch_dir(spark: SparkSession) -> str:
-    """A folder of this application below spark.checkpoint.dir, which all executors share.
-
-    Only where that setting is absent (one machine, as in tests) a temporary folder is made.
-    """
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-")
-        _OWN[app] = f"{base.rstrip('/')}/corpusloom/{app}"
-        atexit.register(sweep, spark, _OWN[app])
-    return _OWN[app]
-
-
-def sweep(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder, by Hadoop's file system; a stopped session leaves it to the cluster's clean-up."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # the JVM may be gone by now
-        pass
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the scratch folder and read it back: lineage ends there, so lost executors cost no recomputation."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["documents", "own_columns", "split_pattern", "staged", "tokenizer_path"]
 
 
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
