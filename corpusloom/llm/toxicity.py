@@ -1,7 +1,8 @@
 """Operator 10, toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-A model is fitted on the driver from at most MAX_TRAIN labelled rows, taken in the order of a hash of doc_id, never
-from held-out ones (crc32 of doc_id as text divisible by 5). The lexicon's words and word beginnings are chosen by log-odds of the documents
+A model is fitted on the driver from at most MAX_TRAIN labelled rows of MAX_TRAIN_BYTES together, taken in the order of a hash of
+doc_id, never from held-out ones (crc32 of doc_id as text divisible by 5); folds go by another hash, so that they stay even however
+many labels there are. The lexicon's words and word beginnings are chosen by log-odds of the documents
 that hold them. Each half of the rows, by another hash, gets its features from the lexicon of the other half, so that no row is
 described by words that it helped to choose; on four fifths of them the trees are grown, on the last fifth scores are
 calibrated by pooling adjacent violators, and texts are then scored with the lexicon of all rows. Only texts are inputs of a score. Scoring is one pass over whole texts without a shuffle.
@@ -20,21 +21,23 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe_codec import Memo
 from .common import own_columns
 from .near_dedup import shingle_set
 
-#: Labelled rows that a model is fitted on, at most.
-MAX_TRAIN = 8_000
+#: Labelled rows that a model is fitted on, at most, and bytes of their texts.
+MAX_TRAIN, MAX_TRAIN_BYTES = 8_000, 64 << 20
 #: Lexicon: documents of class 1 that hold an entry, their least log-odds, and entries, at most.
 LEAST_DOCS, LEAST_LOG_ODDS, MAX_LEXICON = 5, 3.0, 4_000
 #: Lengths of word beginnings in the lexicon.
 BEGINNINGS = (4, 5, 6)
 #: Words within which a lexicon hit counts as near the second person.
 NEAR = 5
+#: Words whose codes are remembered, by task.
+MAX_WORDS = 200_000
 TREES, DEPTH, RATE, BINS, LEAST_LEAF, RIDGE = 40, 3, 0.2, 32, 10, 1.0
 #: Second-person words of the languages served.
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deiner deinen ihr euch euer tu te toi ton ta tes vous votre vos tú ti tuyo usted ustedes vosotros os".split())
@@ -101,7 +104,7 @@ def learn_lexicon(texts: list[str], toxic: list[int]) -> Lexicon:
 
 class Features:
     def __init__(self, lexicon: Lexicon) -> None:
-        self.codes = Memo(lexicon.code)
+        self.codes = Memo(lexicon.code, most=MAX_WORDS)
 
     def __call__(self, text: str) -> list[float]:
         import numpy as np
@@ -246,16 +249,17 @@ def fit(texts: list[str], toxic: list[int], folds: list[int]) -> Model:
     return Model(float(y.mean()), learn_lexicon(texts, toxic), trees, isotonic(trees(x[held]), y[held]))
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Model:
-    """Fit on at most `most` labelled rows that aren't held out, in the order of a hash of doc_id."""
+def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN, most_bytes: int = MAX_TRAIN_BYTES) -> Model:
+    """Fit on at most `most` labelled rows, and `most_bytes` of their texts, that aren't held out, in the order of a hash of doc_id."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     taught = own_columns(labels, "doc_id", "toxic").where(F.col("toxic").isin(0, 1) & (F.crc32(key.cast("binary")) % 5 != 0))
-    order = F.md5(key.cast("binary"))
     # the bounded sample of ids is taken from the small table, then joined with the texts
-    chosen = taught.withColumn("order", order).orderBy("order", "toxic").limit(most)
-    rows = own_columns(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("order", "toxic", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))).limit(most).select("text", "toxic", F.conv(F.substring("order", 1, 4), 16, 10).cast("int").alias("fold"))
-    table = rows.toArrow()
-    return fit([t or "" for t in table.column("text").to_pylist()], [int(t) for t in table.column("toxic").to_pylist()], [f % 10 for f in table.column("fold").to_pylist()])
+    chosen = taught.withColumn("order", F.md5(key.cast("binary"))).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), key), F.lit(10)).cast("int")).orderBy("order", "toxic").limit(most)
+    rows = own_columns(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    rows = rows.withColumn("crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))).orderBy("order", "toxic", "crc").limit(most)
+    until = Window.orderBy("order", "toxic", "crc").rowsBetween(Window.unboundedPreceding, 0)  # `most` rows, one task by its bound
+    table = rows.withColumn("size", F.sum("size").over(until)).where(F.col("size") <= most_bytes).select("text", "toxic", "fold").toArrow()
+    return fit([t or "" for t in table.column("text").to_pylist()], [int(t) for t in table.column("toxic").to_pylist()], table.column("fold").to_pylist())
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
