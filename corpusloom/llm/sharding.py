@@ -1,10 +1,11 @@
 """Operator 1, sharding by a hierarchical weighted hash tree (DataFrame functions only).
 
-A tree has regions, racks and shards; each shard has a weight. For a key every shard draws the arrival time of an
-exponential race, -ln(u) / weight with u hashed from key and shard. A subtree's draw is the least draw of its shards,
-which is exponential at the subtree's total weight, so that descending region, rack and shard by the least draw
-chooses each in proportion to its weight. A draw depends on one shard and the key alone: raising a weight or adding
-a shard moves keys only into that shard, and lowering one moves only its own keys away.
+A tree has regions, racks and shards; each shard has a weight, and a subtree the sum of its shards'. A key descends level by
+level: every child of the subtree reached draws the arrival time of an exponential race, -ln(u) / weight with u hashed from key and
+child, and the least draw goes on, so that each is chosen in proportion to its weight. Only children of chosen subtrees draw. A draw
+depends on one child, its weight and the key: where a weight changes, keys move only into or out of the subtrees that hold it,
+and all others keep theirs. A shard that is added comes in a region of its own (`grow`), so that no other
+subtree's weight changes and keys move only into that shard.
 
 Defined cases: a null key hashes as the text 'null'; a null text has no bytes and the CRC of an empty text; repeated
 rows share a shard and get slots of their own; an empty table gives an empty result; extra columns are ignored.
@@ -36,36 +37,41 @@ def even_tree(shards: int, per_rack: int = 2, racks_per_region: int = 2) -> list
     return [Shard(f"region{i // (per_rack * racks_per_region)}", f"rack{i // per_rack}", i) for i in range(shards)]
 
 
-def draw(key: Column, leaf: Shard) -> Column:
-    """Arrival time of a shard for a key."""
-    text = F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(f"/{leaf.region}/{leaf.rack}/{leaf.shard}"))
+def grow(tree: list[Shard], weight: float = 1.0) -> list[Shard]:
+    """The tree and one more shard, in a region of its own, which takes keys only into itself."""
+    n = 1 + max((x.shard for x in tree), default=-1)
+    return [*tree, Shard(f"grown{n}", f"grown{n}", n, weight)]
+
+
+def draw(key: Column, path: Column, weight: Column) -> Column:
+    """Arrival time of a subtree for a key."""
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit("/"), path)
     n = F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_DIGITS), 16, 10).cast("double")
-    return -F.ln((n + F.lit(0.5)) / F.lit(2.0 ** (4 * DRAW_DIGITS))) / F.lit(float(leaf.weight))
+    return -F.ln((n + F.lit(0.5)) / F.lit(2.0 ** (4 * DRAW_DIGITS))) / weight
+
+
+def _children(tree: list[Shard]) -> list[dict[str, dict[str, float]]]:
+    """By level: path of a subtree -> path of each of its children -> weight."""
+    levels: list[dict[str, dict[str, float]]] = [{}, {}, {}]
+    for x in tree:
+        paths = ["", x.region, f"{x.region}/{x.rack}", f"{x.region}/{x.rack}/{x.shard}"]
+        for level, (above, path) in zip(levels, zip(paths, paths[1:], strict=False), strict=True):
+            of = level.setdefault(above, {})
+            of[path] = of.get(path, 0.0) + float(x.weight)
+    return levels
 
 
 def descend(df: DataFrame, key: str, tree: list[Shard], to: str) -> DataFrame:
-    """Add the shard that the key reaches, level by level. Shards of weight 0 or less draw nothing."""
+    """Add the shard that the key reaches, level by level; the path breaks ties. Shards of weight 0 or less draw nothing."""
     leaves = [x for x in tree if x.weight > 0]
     if not leaves:
         raise ValueError("the tree has no shard of positive weight")
-    drawn = df.withColumn("__leaves", F.array(*(F.struct(draw(F.col(key), x).alias("draw"), F.lit(x.region).alias("region"), F.lit(x.rack).alias("rack"), F.lit(x.shard).alias("shard")) for x in leaves)))
-
-    regions = sorted({x.region for x in leaves})
-    racks = sorted({x.rack for x in leaves})
-
-    def pick(column: str, level: str, names: list[str]) -> Column:
-        """The name at this level whose subtree has the least draw (none left: behind all others); the name breaks ties."""
-        least = lambda n: F.array_min(F.transform(F.filter(column, lambda x: x[level] == n), lambda x: x["draw"]))
-        return F.array_min(F.array(*(F.struct(F.coalesce(least(n), F.lit(float("inf"))).alias("draw"), F.lit(n).alias("name")) for n in names))).getField("name")
-
-    return (
-        drawn.withColumn("__region", pick("__leaves", "region", regions))
-        .withColumn("__leaves", F.expr("filter(__leaves, x -> x.region = __region)"))
-        .withColumn("__rack", pick("__leaves", "rack", racks))
-        .withColumn("__leaves", F.expr("filter(__leaves, x -> x.rack = __rack)"))
-        .withColumn(to, F.array_min("__leaves").getField("shard"))
-        .drop("__leaves", "__region", "__rack")
-    )
+    rows = df.withColumn("__path", F.lit(""))
+    for level in _children(leaves):
+        entries = [x for above, of in level.items() for x in (F.lit(above), F.array(*(F.struct(F.lit(path).alias("path"), F.lit(weight).alias("weight")) for path, weight in of.items())))]
+        drawn = F.transform(F.create_map(*entries)[F.col("__path")], lambda c: F.struct(draw(F.col(key), c["path"], c["weight"]).alias("draw"), c["path"].alias("path")))
+        rows = rows.withColumn("__path", F.array_min(drawn)["path"])
+    return rows.withColumn(to, F.substring_index("__path", "/", -1).cast("int")).drop("__path")
 
 
 def with_slots(df: DataFrame, shard: str) -> DataFrame:
