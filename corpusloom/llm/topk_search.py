@@ -1,23 +1,23 @@
 """Operator 8, exact top-k inner products by an impact-ordered index, read a score at a time.
 
-Vectors are put into blocks. In a block each dimension's components are quantised linearly into at most LEVELS impacts, and
-its postings fall into segments of equal impact. For a query a segment's impact is what it gains over the dimension's worst
-segment: the query's component times the segment's greatest value (least, where the component is negative), less that of the
-worst. Segments of all dimensions are processed by descending impact, a share of EARLY first and then all; which of a dimension's segments
-are processed is a threshold on its levels, so a portion is processed for all vectors by one comparison. A vector's score
-is then known within the widths of its processed segments; a dimension in which it has not been met gives it at most the impact
-at the head of what is left, and at least the worst. The k-th best of the lower bounds is the floor. Processing stops only
-when the floor proves that all but a few vectors stay below it, or all is read. Where the first portion proved nothing for a query, the
-next PROBE queries of its block go without that check and read all at once, as one matrix product. Retained vectors, all whose upper bound
+Vectors are put into blocks. In a block each dimension's components are quantised linearly into at most LEVELS impacts, and the
+postings of a dimension, sorted by impact, fall into segments: the ids of the vectors of one dimension and impact. For a query a
+segment's impact is the most that its vectors gain there over the worst that the dimension holds: the query's component times the segment's
+greatest value (least, where the component is negative), less that of the worst. Segments of all dimensions are processed by
+descending impact, in PORTIONS of equally many postings; every posting adds its segment's impact to its vector's accumulator.
+After each portion a vector's score is at most its accumulator and the greatest impacts that are left in each dimension, and at least its
+accumulator less what quantising may have added. The k-th best of the least scores is the floor; processing stops only
+when it proves that all but a few vectors stay below it, or all is read. Possible members, all whose greatest score
 reaches the floor, are rescored exactly from their integer components.
 
-Queries go in blocks against all blocks of vectors; each pair of blocks is one unit of work and keeps its k best, and
+Every vector is indexed once for each block of QUERY_BLOCK queries; a pair of blocks is one unit of work and keeps its k best, and
 these are merged per query. Nothing is broadcast, and neither side is gathered in one task.
 
 Defined cases: vectors that are null or hold null or non-finite components, or rows without an id, take no part; empty
-vectors take no part either; a query is compared with vectors of its own length only;
-ties go to the smaller id; repeated ids are candidates each, but
-never of a query of the same id; an empty table gives an empty result; extra columns are ignored.
+vectors take no part either; a query is compared with vectors of its own length only; ties go to the smaller id; repeated ids are
+candidates each, but never of a query of the same id; components so large that sums may leave the whole numbers that
+doubles hold are all rescored, with numbers of any size, and scores beyond 64 bits stay at their ends; an empty
+table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,95 +32,92 @@ from .common import own_columns
 #: Impacts of a dimension in a block.
 LEVELS = 128
 #: Vectors and queries in a block; a pair of blocks is one unit of work.
-BLOCK, QUERY_BLOCK = 2048, 64
-#: Share of the segments, by descending impact, after which the bounds are checked first, and the queries that skip this check where it failed.
-EARLY, PROBE = 0.5, 16
-#: Below this share of a block's vectors the retained ones are rescored rather than narrowed further.
-RESCORE_SHARE = 0.05
+BLOCK, QUERY_BLOCK = 4096, 4096
+#: Portions of the postings after which the bounds are checked.
+PORTIONS = 8
+#: Possible members that are rescored rather than narrowed further: this many times k, or this share of the block.
+FEW, FEW_SHARE = 4, 0.02
+#: Sums up to here are exact in doubles.
+EXACT = 1 << 53
 
 
 class ImpactIndex:
-    """A block's postings by dimension and level; all numbers are whole and stay exact in doubles."""
+    """A block's postings by dimension and impact; all numbers are whole and stay exact in doubles."""
 
     def __init__(self, ids, vectors, levels: int = LEVELS) -> None:
         import numpy as np
 
         self.ids, self.vectors = ids, vectors
-        low, high = vectors.min(0), vectors.max(0)
-        width = (high - low) // levels + 1
-        self.level = ((vectors - low) // width).astype(np.int32)
         n, dims = vectors.shape
-        column = np.broadcast_to(np.arange(dims), (n, dims))
-        #: least and greatest value of each segment (level, dimension); +-infinity where it is empty
-        self.least, self.most = np.full((levels, dims), np.inf), np.full((levels, dims), -np.inf)
-        np.minimum.at(self.least, (self.level, column), vectors)
-        np.maximum.at(self.most, (self.level, column), vectors)
-        #: the same by vector
-        self.row_least, self.row_most = self.least[self.level, column], self.most[self.level, column]
-
-    def early(self, query, k: int, allowed):
-        """Vectors retained after the segments of most impact, by thresholds on the levels."""
+        self.size = int(np.abs(vectors.astype(float)).max(initial=0)) * dims
+        if self.size > EXACT:
+            return
+        low = vectors.min(0)
+        level = (vectors - low) // ((vectors.max(0) - low) // levels + 1)
+        order = np.argsort(level, axis=0, kind="stable")
+        #: postings of all segments, a dimension after the other, and where each segment begins
+        self.postings = order.T.ravel().astype(np.int32)
+        held = (level + np.arange(dims) * levels).ravel()
+        count = np.bincount(held, minlength=dims * levels)
+        least, most = np.full(dims * levels, np.iinfo(np.int64).max), np.full(dims * levels, np.iinfo(np.int64).min)
+        np.minimum.at(least, held, vectors.ravel())
+        np.maximum.at(most, held, vectors.ravel())
+        there = np.flatnonzero(count)
+        self.begins, self.count = (np.cumsum(count) - count)[there], count[there]
+        self.dim, self.least, self.most = there // levels, least[there].astype(float), most[there].astype(float)
+
+    def possible(self, query, k: int, allowed) -> tuple:
+        """(vectors that may be among the k best, portions read)."""
         import numpy as np
 
-        up = query >= 0
-        there = np.isfinite(self.least)
-        gives = np.where(there, np.where(up, self.most, self.least), 0) * query  # at most, by segment
-        worst = np.where(there, np.where(there, np.where(up, self.least, self.most), 0) * query, np.inf).min(0)
-        impact = np.where(there, gives - worst, -np.inf)
-        ranked = np.sort(impact[there])[::-1]
-        done = impact >= ranked[int(len(ranked) * EARLY)]  # equal impacts together
-        head = np.where(there & ~done, gives, -np.inf).max(0)
-        head = np.where(np.isfinite(head), head, worst)
-        sign = np.where(up, 1, -1).astype(np.int32)
-        edge = np.where(done, np.arange(len(impact), dtype=np.int32)[:, None] * sign, np.iinfo(np.int32).max).min(0)
-        met = (self.level * sign >= edge).astype(float)
-        low = (np.where(up, self.row_least, self.row_most) * met) @ query + (worst.sum() - met @ worst)
-        high = (np.where(up, self.row_most, self.row_least) * met) @ query + (head.sum() - met @ head)
-        return self._retained(low, high, k, allowed)
-
-    @staticmethod
-    def _retained(low, high, k: int, allowed):
-        """Vectors that the k-th best lower bound doesn't exclude."""
-        import numpy as np
-
-        floor = np.partition(low[allowed], -k)[-k]
-        return np.flatnonzero((high >= floor) & allowed)
+        weight = query.astype(float)[self.dim]
+        up = weight >= 0
+        best, poorest = np.where(up, self.most, self.least) * weight, np.where(up, self.least, self.most) * weight
+        dims = len(query)
+        worst = np.full(dims, np.inf)
+        np.minimum.at(worst, self.dim, poorest)
+        impact = best - worst[self.dim]
+        #: what quantising adds to a score at most
+        slack = np.zeros(dims)
+        np.maximum.at(slack, self.dim, best - poorest)
+        ranked = np.argsort(-impact, kind="stable")
+        cut = np.searchsorted(np.cumsum(self.count[ranked]), len(self.postings) * np.arange(1, PORTIONS) / PORTIONS, side="left") + 1
+        total = np.zeros(len(self.ids))
+        for portion, some in enumerate(np.split(ranked, np.minimum(cut, len(ranked))), 1):
+            count = self.count[some]
+            ends = np.cumsum(count)
+            at = np.repeat(self.begins[some] - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)
+            total += np.bincount(self.postings[at], np.repeat(impact[some], count), len(self.ids))
+            impact[some] = -1.0  # read
+            left = np.zeros(dims)
+            np.maximum.at(left, self.dim, np.maximum(impact, 0.0))
+            floor = np.partition(total[allowed], -k)[-k] - slack.sum()
+            found = np.flatnonzero((total + left.sum() >= floor) & allowed)
+            if len(found) <= max(FEW * k, FEW_SHARE * len(self.ids)):
+                break
+        return found, portion
 
     def search(self, queries, k: int, owns) -> list[tuple]:
         """Ids and scores of the k best for each integer query; its own id is left out. All, if fewer."""
         import numpy as np
 
-        found: dict[int, tuple] = {}
-        full, skip = [], 0
-        alloweds = [self.ids != own for own in owns]
-        for i, (query, allowed) in enumerate(zip(queries, alloweds, strict=True)):
+        out = []
+        for query, own in zip(queries, owns, strict=True):
+            allowed = self.ids != own
             most = min(k, int(allowed.sum()))
             if not most:
-                found[i] = self.ids[:0], self.ids[:0]
-            elif skip:
-                skip -= 1
-                full.append(i)
+                out.append((self.ids[:0], self.ids[:0]))
+                continue
+            span = int(np.abs(query.astype(float)).max()) * self.size
+            found = self.possible(query, most, allowed)[0] if span <= EXACT and self.size <= EXACT else np.flatnonzero(allowed)
+            if span <= EXACT:
+                scores = self.vectors[found] @ query
             else:
-                retained = self.early(query, most, allowed)
-                if len(retained) <= max(4 * k, RESCORE_SHARE * len(self.ids)):
-                    found[i] = self._rescored(query, most, retained)
-                else:
-                    skip = PROBE
-                    full.append(i)
-        if full:
-            plus, minus = np.maximum(queries[full], 0).T.astype(float), np.minimum(queries[full], 0).T.astype(float)
-            low, high = self.row_least @ plus + self.row_most @ minus, self.row_most @ plus + self.row_least @ minus
-            for c, i in enumerate(full):
-                most = min(k, int(alloweds[i].sum()))
-                found[i] = self._rescored(queries[i], most, self._retained(low[:, c], high[:, c], most, alloweds[i]))
-        return [found[i] for i in range(len(queries))]
-
-    def _rescored(self, query, k: int, retained) -> tuple:
-        import numpy as np
-
-        scores = self.vectors[retained] @ query
-        best = np.lexsort((self.ids[retained], -scores))[:k]
-        return self.ids[retained][best], scores[best]
+                whole = [sum(a * b for a, b in zip(v, query.tolist(), strict=True)) for v in self.vectors[found].tolist()]
+                scores = np.array([min(max(x, -(1 << 63)), (1 << 63) - 1) for x in whole], np.int64)
+            best = np.lexsort((self.ids[found], ~scores))[:most]
+            out.append((self.ids[found][best], scores[best]))
+        return out
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
