@@ -3,13 +3,15 @@
 A document's text, as UTF-8 and padded with bytes 255 to a positive multiple of 576, is a picture of 8-bit samples, 24 wide. A
 rolling gear hash cuts the payload into chunks where the hash of the last 32 bytes meets a mask, so that passages shared by documents give
 equal chunks. The stored form of a document is its recipe (a header and the ordered list of digest and length of its chunks)
-and the samples of these chunks; a chunk that occurs more than once in the table is stored once, for all.
+and, in that order, the samples of these chunks, which lie beside the recipe or, for a chunk that occurs more than once in the table,
+once for all in the chunk table; `media_bytes` and `media_sha256` are those of the form as it was read back from both.
 
 1. Digests alone, without bytes, are grouped by Spark to find those that more than one place holds.
-2. A Bloom filter of fixed size (FILTER_BITS) over these digests goes to all tasks. Chunks that it doesn't hold are certainly
-   single and are stored with their recipe, where the text is; the others go to the chunk table. More shared chunks than the
-   filter can tell apart only send more chunks there; nothing is lost.
-3. The chunk table is deduplicated by digest and written; only its chunks are shuffled.
+2. A Bloom filter over these digests goes to all tasks, with BITS_EACH bits for each of them, but MOST_BITS (64 MB) at most. Chunks
+   that it doesn't hold are certainly single and are stored with their recipe, where the text is; the others go to the chunk table.
+   More shared chunks than the largest filter can tell apart only send more chunks there; nothing is lost.
+3. One pass over the texts writes recipes and the filter's chunks; the latter are deduplicated by digest and written; only they
+   are shuffled.
 4. Reading back, recipes that name shared chunks are joined with the chunk table, all chunks are put in order,
    every digest is verified, and features are computed from the samples read.
 
@@ -32,11 +34,11 @@ from .common import own_columns, staged
 
 UNIT, PAD, WIDTH = 576, 255, 24
 LEAST, MASK_BITS, MOST = 512, 11, 8192
-#: Bits of the filter (2 MB), and how many are set for a digest.
-FILTER_BITS, FILTER_HASHES = 1 << 24, 4
+#: Bits of the filter: for each digest, at least (2 MB) and at most (64 MB); and how many are set for a digest.
+BITS_EACH, LEAST_BITS, MOST_BITS, FILTER_HASHES = 16, 1 << 24, 1 << 29, 4
 DIGEST = 16
 MAGIC = b"CLM1"
-STORED = "row long, doc_id long, n_bytes long, recipe binary, own binary, shared array<int>"
+STORED = "row long, doc_id long, n_bytes long, recipe binary, own binary, shared array<int>, digest binary, samples binary"
 RESULT = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
@@ -102,18 +104,18 @@ def read_recipe(recipe: bytes) -> tuple[int, list[tuple[bytes, int]]]:
 
 
 class Filter:
-    """A Bloom filter over digests; bits: 64-bit words by number."""
+    """A Bloom filter over digests; words: its bits, 64 by 64."""
 
     def __init__(self, words) -> None:
-        self.words = words
+        self.words, self.bits = words, 64 * len(words)
 
     @staticmethod
-    def places(digest: bytes) -> tuple[int, ...]:
-        return tuple(x % FILTER_BITS for x in struct.unpack("<4I", digest))[:FILTER_HASHES]
+    def places(digest: bytes, bits: int) -> tuple[int, ...]:
+        return tuple(x % bits for x in struct.unpack("<4I", digest))[:FILTER_HASHES]
 
     def __contains__(self, digest: bytes) -> bool:
         words = self.words
-        return all(words[p >> 6] >> (p & 63) & 1 for p in self.places(digest))
+        return all(words[p >> 6] >> (p & 63) & 1 for p in self.places(digest, self.bits))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -121,7 +123,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def shared_filter(docs: DataFrame):
-    """64-bit words of the filter over digests that more than one place holds; its size is fixed."""
+    """64-bit words of the filter over digests that more than one place holds."""
     import numpy as np
 
     def of(batches: Iterable) -> Iterator:
@@ -130,22 +132,23 @@ def shared_filter(docs: DataFrame):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([d for t in batch.column(1).to_pylist() for d, _ in chunks(payload_of(t)[1])], pa.binary())], names=["digest"])
 
-    many = _texts(docs).mapInArrow(of, "digest binary").groupBy("digest").count().where("count > 1").select("digest")
+    many = staged(_texts(docs).mapInArrow(of, "digest binary").groupBy("digest").count().where("count > 1").select("digest"), "shared")
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * many.count()).bit_length()))
 
     def bits(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        own = np.zeros(FILTER_BITS, bool)
+        own = np.zeros(size, bool)
         for batch in batches:
             for digest in batch.column(0).to_pylist():
-                own[list(Filter.places(digest))] = True
+                own[list(Filter.places(digest, size))] = True
         words = np.packbits(own, bitorder="little").view("<i8")
         at = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(words[at], pa.int64())], names=["word", "bits"])
 
-    # at most FILTER_BITS / 64 rows, whatever the table's size
+    # at most MOST_BITS / 64 rows, whatever the table's size
     rows = many.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    words = np.zeros(FILTER_BITS // 64, np.int64)
+    words = np.zeros(size // 64, np.int64)
     words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
     return words
 
@@ -155,39 +158,30 @@ def store(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(shared_filter(docs).tobytes())
 
-    def held() -> Filter:
-        return Filter(memoryview(sent.value).cast("Q"))
-
     def media(batches: Iterable) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        filter_, row = held(), TaskContext.get().partitionId() << 33
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()))
+        filter_, row = Filter(memoryview(sent.value).cast("Q")), TaskContext.get().partitionId() << 33
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.binary())
         for batch in batches:
-            out = []
+            out, found = [], {}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 n, payload = payload_of(text)
                 listed = chunks(payload)
                 shared = [i for i, (d, _) in enumerate(listed) if d in filter_]
-                own = payload if not shared else b"".join(p for i, (_, p) in enumerate(listed) if i not in set(shared))
-                out.append((row, doc_id, n, recipe_of(n, listed), own, shared))
+                apart = set(shared)
+                own = payload if not shared else b"".join(p for i, (_, p) in enumerate(listed) if i not in apart)
+                found.update(listed[i] for i in shared)
+                out.append((row, doc_id, n, recipe_of(n, listed), own, shared, None, None))
                 row += 1
+            out += [(None,) * 6 + (d, p) for d, p in found.items()]  # a chunk row
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["row", "doc_id", "n_bytes", "recipe", "own", "shared"])
-
-    def common(batches: Iterable) -> Iterator:
-        import pyarrow as pa
-
-        filter_ = held()
-        for batch in batches:
-            found = {d: p for t in batch.column(1).to_pylist() for d, p in chunks(payload_of(t)[1]) if d in filter_}
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], names=["digest", "samples"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=[c.split()[0] for c in STORED.split(", ")])
 
-    stored = staged(_texts(docs).mapInArrow(media, STORED), "media")
-    table = staged(_texts(docs).mapInArrow(common, "digest binary, samples binary").dropDuplicates(["digest"]), "chunks")
-    return stored, table
+    written = staged(_texts(docs).mapInArrow(media, STORED), "media")
+    table = staged(written.where("digest is not null").select("digest", "samples").dropDuplicates(["digest"]), "chunks")
+    return written.where("digest is null").drop("digest", "samples"), table
 
 
 def rebuilt(recipe: bytes, own: bytes, shared: dict[int, bytes]) -> tuple[int, bytes, bytes]:
