@@ -2,8 +2,9 @@
 
 Three patterns give the base spans. Beside them a linear-chain CRF tags a text's words as begin of a secret, inside, or
 outside, from the word's shape, the words beside it and features of the whole text; the best tagging is found by
-Viterbi. It is trained here, by stochastic gradient on the conditional likelihood with exact forward-backward, on lines
-that a generator makes from a seed: assignments, keys, hashes and tokens among ordinary words, numbers and addresses.
+Viterbi. It is trained here, by stochastic gradient on the conditional likelihood with exact forward-backward, on texts
+that a generator makes from a seed: assignments, keys, hashes and tokens among ordinary words, numbers and addresses, in prose,
+notes and settings, whose file features are computed as those of any text.
 
 Most words can't be part of a secret on any tagging: a word is settled as outside if, whatever tags the words beside it
 have, the tagging gains by making it outside (and, where the next word was inside, that one a begin). The scores compared
@@ -154,8 +155,8 @@ class Crf:
         return tags[::-1]
 
 
-def _made_lines(rng: random.Random) -> Iterator[tuple[list[str], list[int], tuple[str, ...]]]:
-    """Tagged lines of made-up text."""
+def made_texts(rng: random.Random) -> Iterator[tuple[str, list[int]]]:
+    """Made-up texts and the tags of their words: prose, notes, and settings, which name more secrets and put signs between them and their cues."""
     syllables = "the an er ing tion de la que en ver sch lich ment os ado or st re is".split()
     hexes, alnum = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     some = lambda letters, low, high: "".join(rng.choice(letters) for _ in range(rng.randint(low, high)))
@@ -170,22 +171,30 @@ def _made_lines(rng: random.Random) -> Iterator[tuple[list[str], list[int], tupl
     # known by the cue before them only
     weak = (lambda: "".join(word().capitalize() for _ in range(3)), lambda: some(alnum, 5, 7) + some("0123456789", 1, 1), lambda: word()[:5] + some("0123456789", 2, 4), lambda: word().capitalize() + some("0123456789", 2, 4) + "!")
     for _ in range(LINES):
-        words: list[str] = []
+        style = rng.choice(("prose", "notes", "notes", "settings"))
+        secrets, sign = {"prose": 0.12, "notes": 0.2, "settings": 0.3}[style], {"prose": [" "], "notes": [" ", ": "], "settings": ["=", ": ", " = "]}[style]
+        parts: list[str] = []
         tags: list[int] = []
         for _ in range(rng.randint(4, 14)):
-            if rng.random() < 0.2:
+            if rng.random() < secrets:
                 cued = rng.random() < 0.75
                 if cued:
-                    words.append(rng.choice(["password", "token", "api_key", "secret", "auth", "key", "Bearer"]))
+                    parts += [rng.choice(["password", "token", "api_key", "secret", "auth", "key", "Bearer"]), rng.choice(sign)]
                     tags.append(OUT)
                 for j in range(1 + (rng.random() < 0.15)):
-                    words.append(rng.choice(weak if cued and not j and rng.random() < 0.3 else secret)())
+                    parts += [rng.choice(weak if cued and not j and rng.random() < 0.3 else secret)(), " "]
                     tags.append(INSIDE if j else BEGIN)
             else:
-                new = rng.choice(harmless)() if rng.random() < 0.3 else [word()]
-                words += new
-                tags += [OUT] * len(new)
-        yield words, tags, (rng.choice(["file:prose", "file:some", "file:some", "file:code"]),)
+                for new in rng.choice(harmless)() if rng.random() < 0.3 else [word()]:
+                    parts += [new, rng.choice(sign) if style == "settings" and rng.random() < 0.5 else " "]
+                    tags.append(OUT)
+        yield "".join(parts), tags
+
+
+def _made_lines(rng: random.Random) -> Iterator[tuple[list[str], list[int], tuple[str, ...]]]:
+    """Words, tags and file features of made-up texts."""
+    for text, tags in made_texts(rng):
+        yield WORD.findall(text), tags, file_features(text)
 
 
 @functools.cache
