@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-__all__ = ["documents", "own_columns", "split_pattern", "staged", "tokenizer_path"]
+__all__ = ["documents", "own_columns", "split_pattern", "staged", "surrogate_key", "tokenizer_path"]
 
 
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -32,3 +32,8 @@ def split_pattern() -> str:
     import public_tokenizers
 
     return public_tokenizers.PATTERN
+
+
+def surrogate_key(spark: SparkSession) -> str:
+    """The key of surrogates: a deployment sets spark.corpusloom.surrogate.key; without it a key for tests, which protects nobody."""
+    return spark.conf.get("spark.corpusloom.surrogate.key", "for tests only")

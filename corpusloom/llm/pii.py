@@ -1,16 +1,21 @@
 """Operator 7, surrogates for personal data (SQL functions only, no shuffle).
 
-Entities (mail and network addresses, card, phone and social security numbers, names after a title) get keyed
-replacements of the same type and format. A surrogate is a keyed permutation of the entities of one format: the two halves
-of the entity's characters pass a four-round Feistel network in which each character moves within its own alphabet
-(digits, letters of one case; in names vowels and consonants of one script) and all others stay. So the same entity has
-the same surrogate in all documents, under one key, and two entities of a type never share one, whatever the corpus's
-size; no table of entities has to be gathered or joined. Kept are: a mail address's top-level domain, a phone's country
-code, a card's first digit and whether its check digit is right, a name's title and last letter (its gender), and all punctuation.
-A network address's four numbers are permuted as such and stay below 256.
-
-The checks of every row count, in that text, entities whose surrogate is another entity's too (`collisions`, none by construction),
-and entities left as they were (`unchanged`: formats of few characters can have fixed points).
+Entities (mail and network addresses, account, card, phone and social security numbers, names after a title, and later or earlier
+mentions of such names without one) get keyed replacements of the same type and format. A surrogate is a keyed permutation of the
+entities of one format: the two halves of the entity's characters pass a four-round Feistel network in which each character moves
+within its own alphabet (digits, letters of one case; in names vowels and consonants of one script) and all others
+stay; then the first character that has an alphabet goes one step on, and the rounds are undone. Such a
+permutation leaves no entity as it is. So the same entity has the same surrogate in all documents, under one key, and two
+entities of a type never share one, whatever the corpus's size; no table of entities has to be gathered or joined. Kept are: a mail
+address's top-level domain, a phone's and an account's country code, a card's first digit and whether its check digit is right, a
+name's title and the last letter of each of its words (its gender), and all punctuation.
+
+Every word of a name is permuted by itself, so that `Mrs Maria Lopez`, `Mrs Lopez` and `Maria` agree. A word of a titled name is
+replaced wherever it stands alone in the same text in the same case, with a title or without.
+
+The checks of every row count, in that text, entities whose surrogate is another entity's too (`collisions`) and entities left as
+they were (`unchanged`: those without a character of a known alphabet); `shared_surrogates` checks all texts together. All are
+none by construction.
 
 Defined cases: a null text stays null with no entities; texts without entities are returned as they are; repeated rows and ties change
 alike; an empty table gives an empty result; in `replace` extra columns stay, in `surrogates` they are ignored.
@@ -23,26 +28,35 @@ from pyspark.sql import functions as F
 
 from .common import own_columns
 
-#: Production parameter; a deployment sets its own.
-KEY = "corpusloom-surrogate-key"
 ROUNDS = 4
-#: Titles by gender, in the languages served.
-TITLES = {"f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"), "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος")}
+#: Titles by gender, in the languages served; those of either gender last.
+TITLES = {"f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Dra", "Госпожа", "Κυρία"), "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"), "any": ("Dr", "Prof", "Doctor", "Professor")}
 #: Longest first, so that Mrs is not read as Mr.
 _TITLE = "(?:" + "|".join(sorted((t for ts in TITLES.values() for t in ts), key=lambda t: (-len(t), t))) + r")\.?"
+#: A word of a name, with an apostrophe or a hyphen before another capital; and the parts of it that are permuted by themselves.
+_WORD = r"(?:\p{Lu}['’]\p{Lu}\p{L}{1,30}|\p{Lu}\p{L}{1,30})(?:['’-]\p{Lu}\p{L}{1,30})?"
+_PART = r"\p{L}+(?:['’]\p{L}+)*"
 #: Kinds in the order in which they are tried at a place. Repetitions are bounded or possessive, so that no text makes them slow or deep.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)",
+    "ipv6": r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "phone": r"(?<![\w.+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w])",
     "ssn": r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "name": rf"(?<![\w]){_TITLE} \p{{Lu}}[\p{{L}}'’]{{1,30}}(?: \p{{Lu}}[\p{{L}}'’]{{1,30}})?",
+    "name": rf"(?<![\w]){_TITLE} {_WORD}(?: {_WORD})?",
 }
 ANY = "|".join(PATTERNS.values())
+#: A capitalised word anywhere; looked at in texts with names only.
+BARE = rf"(?<![\p{{L}}\d_]){_WORD}"
 LETTERS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+HEX_LETTERS = ("0123456789", "abcdef", "ABCDEF")
 #: Vowels and consonants of each script served.
-NAME_LETTERS = ("aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "áéíóúàèìòùâêîôûäëïöü", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "АЕЁИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ", "αειουηω", "βγδζθκλμνξπρστφχψ", "ΑΕΙΟΥΗΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ")
+NAME_LETTERS = (
+    "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "áéíóúàèìòùâêîôûäëïöü", "ÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÄËÏÖÜ", "ñçß", "ÑÇ",
+    "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "АЕЁИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ", "αειουηω", "άέίόύήώ", "βγδζθκλμνξπρστφχψ", "ΑΕΙΟΥΗΩ", "ΆΈΊΌΎΉΏ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ",
+)
 
 
 def _text(value: str) -> str:
@@ -50,31 +64,42 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _let(value: str, name: str, then: str) -> str:
+    return f"transform(array({value}), {name} -> {then})[0]"
+
+
 def _hash(key: str, kind: str, salt: str) -> str:
     """16 bits for element i of a half in round r, from the other half `salt`."""
     return f"cast(conv(substring(md5(concat({_text(key + '/' + kind + '/')}, r, '/', {salt}, '/', i div 8)), cast(i % 8 as int) * 4 + 1, 4), 16, 10) as int)"
 
 
-def _feistel(first: str, second: str, moved: str, result: str) -> str:
-    """Fold the rounds over two halves; moved: SQL for element c, at i, of half acc.a, given acc.b and round r."""
-    return f"aggregate(sequence(0, {ROUNDS - 1}), named_struct('a', {first}, 'b', {second}), (acc, r) -> named_struct('a', acc.b, 'b', transform(acc.a, (c, i) -> {moved})), acc -> {result})"
+def _permuted(elements: str, half: str, moved, step: str, salt) -> str:
+    """SQL for an array permuted by the rounds, one step (of array x), and the rounds undone.
+
+    moved(n): element c moved by n; salt(x): text of a half.
+    """
+    halves = lambda x: f"named_struct('a', slice({x}, 1, {half}), 'b', slice({x}, {half} + 1, size({x})))"
+    on = f"aggregate(sequence(0, {ROUNDS - 1}), {halves('x0')}, (acc, r) -> named_struct('a', acc.b, 'b', transform(acc.a, (c, i) -> {moved(salt('acc.b'))})), acc -> concat(acc.a, acc.b))"
+    undone = f"aggregate(sequence({ROUNDS - 1}, 0, -1), {halves('x2')}, (acc, r) -> named_struct('a', transform(acc.b, (c, i) -> {moved('-' + salt('acc.a'))}), 'b', acc.a), acc -> concat(acc.a, acc.b))"
+    return _let(elements, "x0", _let(on, "x", _let(step, "x2", undone)))
 
 
 def permute(body: str, key: str, kind: str, alphabets: tuple[str, ...]) -> str:
     """SQL for the keyed permutation of a string among those of its format."""
-    chars = f"filter(split({body}, ''), c -> c <> '')"
-    half = f"cast(length({body}) div 2 as int)"
-    shift = _hash(key, kind, "array_join(acc.b, '')")
     sets = f"array({', '.join(map(_text, alphabets))})"
-    moved = f"coalesce(try_element_at(transform(filter({sets}, k -> instr(k, c) > 0), k -> substring(k, (instr(k, c) - 1 + {shift}) % length(k) + 1, 1)), 1), c)"
-    return _feistel(f"slice({chars}, 1, {half})", f"slice({chars}, {half} + 1, length({body}))", moved, "concat(array_join(acc.a, ''), array_join(acc.b, ''))")
+    moved = lambda n: f"coalesce(try_element_at(transform(filter({sets}, k -> instr(k, c) > 0), k -> substring(k, pmod(instr(k, c) - 1 + {n}, length(k)) + 1, 1)), 1), c)"
+    first = f"array_position(transform(x, c -> exists({sets}, k -> instr(k, c) > 0)), true) - 1"
+    step = _let(first, "p", f"transform(x, (c, i) -> if(i = p, {moved('1')}, c))")
+    whole = _permuted(f"filter(split({body}, ''), c -> c <> '')", f"cast(length({body}) div 2 as int)", moved, step, lambda x: _hash(key, kind, f"array_join({x}, '')"))
+    return f"array_join({whole}, '')"
 
 
 def _address(e: str, key: str) -> str:
     """SQL for a network address: its numbers, permuted modulo 256."""
-    numbers = f"transform(split({e}, '[.]'), x -> cast(x as int))"
-    moved = f"(c + {_hash(key, 'ip', 'array_join(transform(acc.b, x -> cast(x as string)), chr(46))')}) % 256"
-    return _feistel(f"slice({numbers}, 1, 2)", f"slice({numbers}, 3, 2)", moved, "array_join(transform(concat(acc.a, acc.b), x -> cast(x as string)), '.')")
+    numbers = f"transform(split({e}, '[.]'), n -> cast(n as int))"
+    salt = lambda x: _hash(key, "ip", f"array_join(transform({x}, n -> cast(n as string)), '.')")
+    whole = _permuted(numbers, "2", lambda n: f"pmod(c + {n}, 256)", "transform(x, (c, i) -> if(i = 3, pmod(c + 1, 256), c))", salt)
+    return f"array_join(transform({whole}, n -> cast(n as string)), '.')"
 
 
 def _check_digit(digits: str) -> str:
@@ -84,51 +109,78 @@ def _check_digit(digits: str) -> str:
     return f"((10 - aggregate(transform(filter({each}, d -> d <> ''), (d, i) -> cast({value} as int)), 0, (s, x) -> s + x) % 10) % 10)"
 
 
-def surrogate(e: str, key: str = KEY) -> str:
+def part(p: str, key: str) -> str:
+    """SQL for the surrogate of one part of a name; its last letter stays."""
+    body = f"substring({p}, 1, length({p}) - 1)"
+    return f"concat({permute(body, key, 'name', NAME_LETTERS)}, right({p}, 1))"
+
+
+def _by_parts(words: str, new: str) -> str:
+    """SQL for words whose parts w become `new`."""
+    pattern = _text(_PART)
+    return f"array_join(zip_with(split({words}, {pattern}, -1), transform(regexp_extract_all({words}, {pattern}, 0), w -> {new}), (g, n) -> concat(g, coalesce(n, ''))), '')"
+
+
+def surrogate(e: str, key: str) -> str:
     """SQL for the surrogate of the entity in column or lambda variable `e`."""
-    let = lambda value, name, then: f"transform(array({value}), {name} -> {then})[0]"
     body = lambda drop: f"regexp_replace({e}, {_text(drop)}, '')"
-    email = f"concat({permute(body('[.][^.]*$'), key, 'email', LETTERS)}, regexp_extract({e}, {_text('[.][^.]*$')}, 0))"
+    kept = lambda keep: f"regexp_extract({e}, {_text(keep)}, 0)"
+    email = f"concat({permute(body('[.][^.]*$'), key, 'email', LETTERS)}, {kept('[.][^.]*$')})"
     inner = f"substring({e}, 2, length({e}) - 2)"
     renewed = f"concat(substring({e}, 1, 1), {permute(inner, key, 'card', LETTERS)})"
     was = f"concat(substring({e}, 1, 1), {inner})"
-    card = let(renewed, "p", f"concat(p, ({_check_digit('p')} + cast(right({e}, 1) as int) - {_check_digit(was)} + 10) % 10)")
-    phone = f"concat(regexp_extract({e}, {_text('^([+][0-9]{1,2})?')}, 0), {permute(body('^[+][0-9]{1,2}'), key, 'phone', LETTERS)})"
-    title = _text(f"^{_TITLE} ")
-    name_body = f"regexp_replace(regexp_replace({e}, {title}, ''), '.$', '')"
-    name = f"concat(regexp_extract({e}, {title}, 0), {permute(name_body, key, 'name', NAME_LETTERS)}, right({e}, 1))"
+    card = _let(renewed, "q", f"concat(q, ({_check_digit('q')} + cast(right({e}, 1) as int) - {_check_digit(was)} + 10) % 10)")
+    phone = f"concat({kept('^([+][0-9]{1,2})?')}, {permute(body('^[+][0-9]{1,2}'), key, 'phone', LETTERS)})"
+    iban = f"concat({kept('^..')}, {permute(body('^..'), key, 'iban', LETTERS)})"
+    title = f"^{_TITLE} "
+    name = f"concat({kept(title)}, {_by_parts(body(title), part('w', key))})"
     is_a = lambda kind: f"{e} rlike {_text('^(?:' + PATTERNS[kind] + ')$')}"
-    return f"CASE WHEN {is_a('email')} THEN {email} WHEN {is_a('ip')} THEN {_address(e, key)} WHEN {is_a('card')} THEN {card} WHEN {is_a('phone')} THEN {phone} WHEN {is_a('ssn')} THEN {permute(e, key, 'ssn', LETTERS)} ELSE {name} END"
+    return f"CASE WHEN {is_a('email')} THEN {email} WHEN {is_a('ip')} THEN {_address(e, key)} WHEN {is_a('ipv6')} THEN {permute(e, key, 'ipv6', HEX_LETTERS)} WHEN {is_a('iban')} THEN {iban} WHEN {is_a('card')} THEN {card} WHEN {is_a('phone')} THEN {phone} WHEN {is_a('ssn')} THEN {permute(e, key, 'ssn', LETTERS)} ELSE {name} END"
 
 
-def _entities(text: str) -> Column:
-    return F.expr(f"regexp_extract_all({text}, {_text(ANY)}, 0)")
+def _is(kind: str, e: str = "e") -> str:
+    """SQL: an entity is of this kind, and of none before it."""
+    fits = lambda k: f"{e} rlike {_text('^(?:' + PATTERNS[k] + ')$')}"
+    return " and ".join([fits(kind), *(f"not {fits(k)}" for k in list(PATTERNS)[: list(PATTERNS).index(kind)])])
 
 
 def _rewritten(df: DataFrame, key: str) -> DataFrame:
-    """Add __found, __new and __text, the text with surrogates."""
-    found = df.withColumn("__found", F.coalesce(_entities("text"), F.array().cast("array<string>")))
-    found = found.withColumn("__new", F.expr(f"transform(__found, e -> {surrogate('e', key)})"))
-    return found.withColumn("__text", F.expr(f"if(size(__found) = 0, text, array_join(zip_with(split(text, {_text(ANY)}, -1), __new, (p, s) -> concat(p, coalesce(s, ''))), ''))"))
-
-
-def surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """doc_id, text with surrogates, entities by kind, and the checks, of every row."""
+    """Add __found, entities and in texts with names capitalised words too; __new, what takes their place; and __text, the text with it."""
+    none = F.array().cast("array<string>")
+    rows = df.withColumn("__entities", F.coalesce(F.expr(f"regexp_extract_all(text, {_text(ANY)}, 0)"), none))
+    words = f"regexp_replace(e, {_text('^' + _TITLE + ' ')}, '')"
+    rows = rows.withColumn("__parts", F.expr(f"array_distinct(flatten(transform(filter(__entities, e -> {_is('name')}), e -> regexp_extract_all({words}, {_text(_PART)}, 0))))"))
+    both = ANY + "|" + BARE
+    rows = rows.withColumn("__found", F.expr(f"if(size(__parts) = 0, __entities, regexp_extract_all(text, {_text(both)}, 0))"))
+    bare = f"e rlike {_text('^(?:' + BARE + ')$')} and not array_contains(__entities, e)"
+    repeat = _by_parts("e", f"if(array_contains(__parts, w), {part('w', key)}, w)")
+    rows = rows.withColumn("__new", F.expr(f"transform(__found, e -> CASE WHEN size(__parts) > 0 AND {bare} THEN {repeat} ELSE {surrogate('e', key)} END)"))
+    glued = lambda pattern: f"array_join(zip_with(split(text, {_text(pattern)}, -1), __new, (g, s) -> concat(g, coalesce(s, ''))), '')"
+    return rows.withColumn("__text", F.expr(f"CASE WHEN size(__found) = 0 THEN text WHEN size(__parts) = 0 THEN {glued(ANY)} ELSE {glued(both)} END"))
+
+
+def surrogates(docs: DataFrame, key: str) -> DataFrame:
+    """doc_id, text with surrogates, entities by kind, names repeated without a title, and the checks, of every row."""
     rows = _rewritten(own_columns(docs, "doc_id", "text"), key)
-    # a kind counts where no kind before it fits
-    earlier = lambda k: list(PATTERNS)[: list(PATTERNS).index(k)]
-    of_kind = lambda k: " and ".join([f"e rlike {_text('^(?:' + PATTERNS[k] + ')$')}", *(f"not e rlike {_text('^(?:' + PATTERNS[x] + ')$')}" for x in earlier(k))])
-    counts = [F.expr(f"cast(size(filter(__found, e -> {of_kind(k)})) as long)").alias(f"n_{k}") for k in PATTERNS]
+    counts = [F.expr(f"cast(size(filter(__entities, e -> {_is(k)})) as long)").alias(f"n_{k}") for k in PATTERNS]
+    changed = "filter(zip_with(__found, __new, (a, b) -> named_struct('a', a, 'b', b)), z -> z.a <> z.b)"
     return rows.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("__text").alias("text"),
         *counts,
-        F.expr("cast(size(array_distinct(__found)) - size(array_distinct(__new)) as long)").alias("collisions"),
-        F.expr("cast(size(filter(zip_with(__found, __new, (a, b) -> a = b), x -> x)) as long)").alias("unchanged"),
+        F.expr(f"cast(size(filter({changed}, z -> not array_contains(__entities, z.a))) as long)").alias("n_repeat"),
+        F.expr(f"cast(size(array_distinct(transform({changed}, z -> z.a))) - size(array_distinct(transform({changed}, z -> z.b))) as long)").alias("collisions"),
+        F.expr("cast(size(filter(zip_with(__found, __new, (a, b) -> a = b and array_contains(__entities, a)), x -> x)) as long)").alias("unchanged"),
     )
 
 
-def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
+def shared_surrogates(docs: DataFrame, key: str) -> DataFrame:
+    """(surrogate, n) of surrogates that several entities of the corpus have; none by construction."""
+    pairs = _rewritten(own_columns(docs, "doc_id", "text"), key).select(F.explode(F.arrays_zip("__found", "__new")).alias("z")).select(F.col("z.__found").alias("e"), F.col("z.__new").alias("surrogate"))
+    return pairs.where("e <> surrogate").distinct().groupBy("surrogate").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def replace(docs: DataFrame, key: str) -> DataFrame:
     """docs with surrogates in `text`, and `n_chars`, where there is one, of the new text; all other columns stay."""
     rows = _rewritten(docs, key)
     new = {"text": F.col("__text"), "n_chars": F.char_length("__text").cast("long")}

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_codec, media, near_dedup, packing, pii, secrets_crf, sharding, token_counts, topk_search, toxicity
-from .common import documents, split_pattern, tokenizer_path
+from .common import documents, split_pattern, surrogate_key, tokenizer_path
 
 
 def op1_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_documents(documents(spark, sf_dir), sharding.even_tree(8), sharding.even_tree(9))
+    return sharding.shard_documents(documents(spark, sf_dir), sharding.even_tree(8), sharding.grow(sharding.even_tree(8)))
 
 
 def op2_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def op6_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.surrogates(documents(spark, sf_dir))
+    return pii.surrogates(documents(spark, sf_dir), surrogate_key(spark))
 
 
 def op9_chunked_media(spark: SparkSession, sf_dir: str) -> DataFrame:

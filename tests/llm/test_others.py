@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from corpusloom.llm import media, near_dedup, pii, secrets_crf, topk_search, toxicity
@@ -96,6 +97,21 @@ def test_settled_words_change_no_tagging_of_any_word(scale):
     assert n > 100
 
 
+def test_crf_on_made_texts_that_it_has_not_seen():
+    """Precision and recall by words, on texts of another seed; and file features bear on the tags."""
+    tagger = secrets_crf.Tagger(secrets_crf.trained())
+    right = wrong = missed = 0
+    for text, tags in secrets_crf.made_texts(random.Random(1234)):
+        spans = tagger.spans(text)
+        for m, tag in zip(secrets_crf.WORD.finditer(text), tags, strict=True):
+            found = any(s <= m.start() and m.end() <= e for s, e in spans)
+            right, wrong, missed = right + (found and tag > 0), wrong + (found and not tag), missed + (not found and tag > 0)
+    print("precision", right / (right + wrong), "recall", right / (right + missed))
+    assert right / (right + wrong) >= 0.95 and right / (right + missed) >= 0.9
+    lead = {f: w[secrets_crf.BEGIN] - w[secrets_crf.OUT] for f, w in secrets_crf.trained().weights.items() if f.startswith("file:")}
+    assert set(lead) == {"file:prose", "file:some", "file:code"} and max(lead.values()) - min(lead.values()) > 0.1
+
+
 def test_crf_spans_beside_and_around_base_spans_stay():
     class Fixed:
         def spans(self, text):
@@ -202,21 +218,37 @@ def test_components_of_a_long_path(spark):
 
 # personal data -------------------------------------------------------------------------------------------------
 
+KEY = "a key"
+
+
+def permuted(elements, kind, alphabets, salt, step):
+    """The Feistel network, one step, and the network undone, in plain Python; alphabets(c): its alphabet as a list, or None."""
+    half = len(elements) // 2
 
-def permuted(body, kind, alphabets):
-    """The Feistel network, in plain Python."""
-    h = len(body) // 2
-    a, b = list(body[:h]), list(body[h:])
-    for r in range(pii.ROUNDS):
-        out = []
-        for i, c in enumerate(a):
-            k = next((x for x in alphabets if c in x), None)
-            if k:
-                digest = hashlib.md5(f"{pii.KEY}/{kind}/{r}/{''.join(b)}/{i // 8}".encode()).hexdigest()
-                c = k[(k.index(c) + int(digest[i % 8 * 4 : i % 8 * 4 + 4], 16)) % len(k)]
-            out.append(c)
-        a, b = b, out
-    return "".join(a + b)
+    def rounds(x, order, sign):
+        a, b = x[:half], x[half:]
+        for r in order:
+            moved, by = (a, b) if sign > 0 else (b, a)
+            out = []
+            for i, c in enumerate(moved):
+                if k := alphabets(c):
+                    digest = hashlib.md5(f"{KEY}/{kind}/{r}/{salt(by)}/{i // 8}".encode()).hexdigest()
+                    c = k[(k.index(c) + sign * int(digest[i % 8 * 4 : i % 8 * 4 + 4], 16)) % len(k)]
+                out.append(c)
+            a, b = (b, out) if sign > 0 else (out, a)
+        return a + b
+
+    x = rounds(list(elements), range(pii.ROUNDS), 1)
+    at = step(x)
+    if at is not None:
+        k = alphabets(x[at])
+        x[at] = k[(k.index(x[at]) + 1) % len(k)]
+    return rounds(x, reversed(range(pii.ROUNDS)), -1)
+
+
+def text_permuted(body, kind, sets):
+    of = lambda c: next((list(k) for k in sets if c in k), None)
+    return "".join(permuted(body, kind, of, "".join, lambda x: next((i for i, c in enumerate(x) if of(c)), None)))
 
 
 def luhn(digits):
@@ -224,59 +256,104 @@ def luhn(digits):
     return (10 - s % 10) % 10
 
 
+def part_brute(w):
+    return text_permuted(w[:-1], "name", pii.NAME_LETTERS) + w[-1]
+
+
+def entity_brute(kind, e):
+    if kind == "email":
+        at = e.rindex(".")
+        return text_permuted(e[:at], kind, pii.LETTERS) + e[at:]
+    if kind == "ip":
+        return ".".join(map(str, permuted([int(x) for x in e.split(".")], "ip", lambda c: list(range(256)), lambda x: ".".join(map(str, x)), lambda x: 3)))
+    if kind == "card":
+        inner = text_permuted(e[1:-1], kind, pii.LETTERS)
+        digits = lambda x: regex.sub("[^0-9]", "", x)
+        return e[0] + inner + str((luhn(digits(e[0] + inner)) + int(e[-1]) - luhn(digits(e[:-1]))) % 10)
+    if kind in ("phone", "iban"):
+        kept = regex.match(r"(\+\d{1,2})?" if kind == "phone" else "..", e)[0]
+        return kept + text_permuted(e[len(kept) :], kind, pii.LETTERS)
+    if kind == "name":
+        title = regex.match(pii._TITLE + " ", e)[0]
+        return title + regex.sub(pii._PART, lambda m: part_brute(m[0]), e[len(title) :])
+    return text_permuted(e, kind, pii.HEX_LETTERS if kind == "ipv6" else pii.LETTERS)
+
+
+def rewritten_brute(text):
+    """(new text, entities by kind, repeats)."""
+    kind_of = lambda e: next(k for k, p in pii.PATTERNS.items() if regex.fullmatch(p, e))
+    found = [m[0] for m in regex.finditer(pii.ANY, text)]
+    parts = {w for e in found if kind_of(e) == "name" for w in regex.findall(pii._PART, regex.sub("^" + pii._TITLE + " ", "", e))}
+    n, repeats = defaultdict(int), [0]
+
+    def new(m):
+        e = m[0]
+        if e in found:
+            n[kind_of(e)] += 1
+            return entity_brute(kind_of(e), e)
+        out = regex.sub(pii._PART, lambda w: part_brute(w[0]) if w[0] in parts else w[0], e)
+        repeats[0] += out != e
+        return out
+
+    return regex.sub(pii.ANY + ("|" + pii.BARE if parts else ""), new, text), [n[k] for k in pii.PATTERNS], repeats[0]
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    rnd = random.Random(6)
+    first, last = ["Maria", "Anna", "Liam", "Élodie", "Анна", "Jürgen", "Ο’Νειλ"], ["Lopez", "Berg", "O'Brien", "Smith-Jones", "Li", "Иванова", "Ñandú", "García"]
+    pick = rnd.choice
+    made = lambda: pick([
+        lambda: f"{pick(['Mrs', 'Mr', 'Dr', 'Prof.', 'Frau', 'Госпожа', 'Señora', 'Sr'])} {pick(first)} {pick(last)}", lambda: f"{pick(['Ms', 'Herr', 'Dr.'])} {pick(last)}", lambda: pick(first), lambda: f"{pick(last)}'s", lambda: f"the {pick(first)} {pick(last)}",
+        lambda: f"{pick(first).lower()}.{rnd.randrange(99)}@mail-{rnd.randrange(9)}.example.com", lambda: ".".join(str(rnd.randrange(256)) for _ in range(4)), lambda: f"+{rnd.randrange(1, 99)} ({rnd.randrange(100, 999)}) 555-{rnd.randrange(1000, 9999)}",
+        lambda: "".join(str(rnd.randrange(10)) for _ in range(16)), lambda: "4111 1111 1111 1111", lambda: "123-45-6789", lambda: ":".join(f"{rnd.randrange(65536):x}" for _ in range(8)), lambda: "DE44 5001 0517 5407 3249 31", lambda: "GB82WEST12345698765432",
+        lambda: "some words", lambda: "No. 12.5", lambda: "Monday", lambda: "Mrs", lambda: "v1.2.3",
+    ])()
+    texts = [pick([". ", ", ", " ", "\n"]).join(made() for _ in range(rnd.randint(1, 14))) for _ in range(400)]
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+
+
+def test_surrogates_of_whole_texts_by_brute_force(spark, odd, docs, people, none):
+    for df in (odd, docs, people):
+        rows = pii.surrogates(df, KEY).collect()
+        got = [(r.doc_id, r.text, *(r[f"n_{k}"] for k in pii.PATTERNS), r.n_repeat, r.collisions, r.unchanged) for r in rows]
+        want = []
+        for d, t in texts_of(df):
+            new, n, repeats = rewritten_brute(t) if t is not None else (None, [0] * len(pii.PATTERNS), 0)
+            want.append((d, new, *n, repeats, 0, 0))
+        assert sorted(got, key=key) == sorted(want, key=key)
+        assert pii.shared_surrogates(df, KEY).collect() == []
+    out = pii.replace(odd, KEY)
+    assert out.columns == odd.columns and out.count() == odd.count()
+    assert pii.surrogates(none, KEY).collect() == [] == pii.replace(none, KEY).collect()
+
+
 def surrogate_of(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "e string")
-    return [r.s for r in df.select(F.expr(pii.surrogate("e")).alias("s")).collect()]
+    return [r.s for r in df.select(F.expr(pii.surrogate("e", KEY)).alias("s")).collect()]
 
 
-def test_surrogates_by_brute_force(spark):
-    mails = ["ana.b-1@mail.example.com", "x@y.org", "Q9+z@a-b.c.de"]
-    assert surrogate_of(spark, mails) == [permuted(m[: m.rindex(".")], "email", pii.LETTERS) + m[m.rindex(".") :] for m in mails]
-    cards = ["4944339490429605", "4111 1111 1111 1111", "4012888888881881"]
-    for was, now in zip(cards, surrogate_of(spark, cards), strict=True):
-        inner = permuted(was[1:-1], "card", pii.LETTERS)
-        digits = re.sub(r"\D", "", was[0] + inner)
-        old = re.sub(r"\D", "", was)
-        assert now == was[0] + inner + str((luhn(digits) + int(old[-1]) - luhn(old[:-1])) % 10)
-        assert (luhn(old[:-1]) == int(old[-1])) == (luhn(digits) == int(now[-1]))
-    phone, ssn, name = surrogate_of(spark, ["+1 (366) 555-9807", "123-45-6789", "Mrs Maria Lopez"])
-    assert phone == "+1" + permuted(" (366) 555-9807", "phone", pii.LETTERS) and re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", phone)
-    assert ssn == permuted("123-45-6789", "ssn", pii.LETTERS)
-    assert name == "Mrs " + permuted("Maria Lope", "name", pii.NAME_LETTERS) + "z" and re.fullmatch(r"Mrs [A-Z][a-z]{4} [A-Z][a-z]{4}", name)
-    cyrillic = surrogate_of(spark, ["Госпожа Анна"])[0]
-    assert re.fullmatch(r"Госпожа [А-ЯЁ][а-яё]{2}а", cyrillic)
-
-
-def test_distinct_entities_stay_distinct(spark):
+def test_names_agree_with_a_title_and_without(spark):
+    texts = ["Mrs Maria Lopez met Dr Anna Berg. Mrs Lopez saw Maria and Berg's car.", "Mr Lopez"]
+    a, b = [r.text for r in pii.surrogates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), KEY).orderBy("doc_id").collect()]
+    maria, lopez, anna, berg = map(part_brute, ("Maria", "Lopez", "Anna", "Berg"))
+    assert a == f"Mrs {maria} {lopez} met Dr {anna} {berg}. Mrs {lopez} saw {maria} and {berg}'s car." and b == f"Mr {lopez}"
+    assert not {"Maria", "Lopez", "Anna", "Berg"} & set(re.findall(r"\w+", a)) and maria[-1] == "a" and re.fullmatch("[A-Z][a-z]{4}", lopez)
+
+
+def test_distinct_entities_stay_distinct_and_none_stays_as_it_is(spark):
     ips = [f"10.0.{i}.{j}" for i in range(40) for j in range(50)]
     got = surrogate_of(spark, ips)
     assert len(set(got)) == len(ips) and all(re.fullmatch(r"(\d{1,3}\.){3}\d{1,3}", g) and max(map(int, g.split("."))) < 256 for g in got)
     phones = [f"+1 (366) 555-{i:04d}" for i in range(2000)]
-    assert len(set(surrogate_of(spark, phones))) == len(phones)
-
-
-def test_rewriting(spark, odd, docs, none):
-    entity = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b|(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)")
-    for df in (odd, docs):
-        new = {}
-        for d, t in texts_of(df):
-            new.setdefault(d, []).append(t)
-        for r in pii.surrogates(df).collect():
-            assert r.collisions == 0 and r.unchanged == 0
-            olds = new[r.doc_id]
-            if r.text is None:
-                assert None in olds
-                continue
-            found = sum(r[c] for c in r.__fields__ if c.startswith("n_"))
-            old = min((o for o in olds if o is not None), key=lambda o: abs(len(o) - len(r.text)))
-            assert not set(entity.findall(old)) & set(entity.findall(r.text)) and found >= len(entity.findall(old))
-            if not found:
-                assert r.text in olds
-    two = [r.text for r in pii.surrogates(odd.where("doc_id in (12, 100)")).collect()]
-    assert len(two) == 2 and two[0] == two[1]
-    out = pii.replace(odd)
-    assert out.columns == odd.columns and out.count() == odd.count()
-    assert pii.surrogates(none).collect() == [] == pii.replace(none).collect()
+    names = [f"Mr {a}{b}x" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "abcdefghijklmnopqrstuvwxyz"]
+    for values in (ips, phones, names):
+        new = surrogate_of(spark, values)
+        assert len(set(new)) == len(values) and not any(x == y for x, y in zip(values, new, strict=True))
+    cards = ["4944339490429605", "4111 1111 1111 1111", "4012888888881881"]
+    for was, now in zip(cards, surrogate_of(spark, cards), strict=True):
+        right = lambda x: luhn(re.sub(r"\D", "", x)[:-1]) == int(x[-1])
+        assert now != was and right(was) == right(now)
 
 
 # search --------------------------------------------------------------------------------------------------------
@@ -302,6 +379,41 @@ def test_search(spark):
     assert topk_search.top_k(few, few.where("vec_id = 0"), 10).count() == 2
 
 
+def test_search_stops_on_proof_where_impacts_are_skewed():
+    """Few components of a vector matter: the best are certain long before all postings are read."""
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-3, 4, (2000, 32))
+    vectors[np.arange(40), rng.integers(0, 4, 40)] = rng.integers(600, 1000, 40)
+    query = rng.integers(0, 3, 32)
+    query[:4] = 900
+    index = topk_search.ImpactIndex(np.arange(2000), vectors.astype(np.int64))
+    found, portions = index.possible(query, 10, np.ones(2000, bool))
+    best = set(np.lexsort((np.arange(2000), -(vectors @ query)))[:10].tolist())
+    assert best <= set(found.tolist()) and portions < topk_search.PORTIONS and len(found) < 100
+    for _ in range(20):  # and where they are not, all is read, and nothing is lost
+        vectors, query = rng.integers(-500, 500, (300, 8)), rng.integers(-500, 500, 8)
+        index = topk_search.ImpactIndex(np.arange(300), vectors)
+        ((ids, scores),) = index.search([query], 10, [7])
+        exact = vectors @ query
+        want = [i for i in np.lexsort((np.arange(300), -exact)).tolist() if i != 7][:10]
+        assert ids.tolist() == want and scores.tolist() == exact[want].tolist()
+
+
+def test_search_with_huge_components_and_repeated_ids(spark):
+    rows = [(0, [1e300, 1.0]), (100, [1e12, -3.0]), (100, [5.0, 5.0]), (1, [2e12, 1.0]), (1, [2e12, 1.0]), (2, [-1e300, 0.5]), (3, [0.0, 0.0])]
+    v = topk_search.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding", 1024)
+    exact = [(r.vec_id, list(r.q)) for r in v.collect()]
+    got = topk_search.top_k(v, v.where("vec_id % 100 = 0"), 10).collect()
+    end = lambda x: min(max(x, -(1 << 63)), (1 << 63) - 1)
+    want = []
+    for own, q in exact:
+        if own % 100 == 0:
+            want += [(own, end(sum(a * b for a, b in zip(q, w, strict=True))), i) for i, w in exact if i != own]
+    assert sorted((r.query_id, r.score, r.vec_id) for r in got if r.query_id == 0) == sorted(w for w in want if w[0] == 0)
+    both = sorted((w for w in want if w[0] == 100), key=lambda w: (-w[1], w[2]))[:10]  # two queries of one id share its ten places
+    assert [(r.query_id, r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 100] == both
+
+
 # media ---------------------------------------------------------------------------------------------------------
 
 
@@ -325,15 +437,32 @@ def test_cuts():
             assert media.cuts(payload) == cuts_brute(payload)
 
 
+def media_brute(text):
+    """The row of a text but its id, by the definitions alone."""
+    data = (text or "").encode()
+    payload = data + b"\xff" * (576 * max(1, -(-len(data) // 576)) - len(data))
+    parts, start = [], 0
+    for end in cuts_brute(payload):
+        parts.append(payload[start:end])
+        start = end
+    form = b"CLM1" + (24).to_bytes(4, "little") + len(data).to_bytes(8, "little") + len(parts).to_bytes(4, "little")
+    form += b"".join(hashlib.blake2b(p, digest_size=16).digest() + len(p).to_bytes(4, "little") for p in parts) + payload
+    n = len(payload)
+    mean = sum(payload) / n
+    spread = math.sqrt(sum((x - mean) ** 2 for x in payload) / n)
+    contrast = sum(abs(a - b) for a, b in zip(payload, payload[1:], strict=False)) / (n - 1)
+    bins = [sum(x // 32 == k for x in payload) / n for k in range(8)]
+    feature = [mean, spread, contrast, *bins]
+    return len(data), n, hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(form), hashlib.sha256(form).hexdigest(), feature
+
+
 def test_media(odd, docs, none):
-    for df in (odd, docs):
-        want = []
-        for d, t in texts_of(df):
-            n, p = media.payload_of(t)
-            assert len(p) % 576 == 0 and len(p) >= 576 and p[:n] == (t or "").encode() and set(p[n:]) <= {255}
-            form = media.recipe_of(n, media.chunks(p)) + p
-            want.append((d, n, len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(form), hashlib.sha256(form).hexdigest(), media.feature(p)))
-        assert sorted(map(tuple, media.media_table(df).collect()), key=key) == sorted(want, key=key)
+    for df in (odd, docs.limit(60)):
+        want = sorted(((d, *media_brute(t)) for d, t in texts_of(df)), key=key)
+        got = sorted((tuple(r) for r in media.media_table(df).collect()), key=key)
+        assert [g[:7] for g in got] == [w[:7] for w in want]
+        for g, w in zip(got, want, strict=True):
+            assert np.allclose([float(x) for x in re.split("[;,]", g[7])], w[7], atol=1e-3)
     assert media.media_table(none).collect() == []
 
 
@@ -364,6 +493,59 @@ def test_toxicity_on_held_out_rows(spark):
     assert right >= 0.97 and caught >= 0.9
 
 
+def test_folds_stay_even_where_the_sample_is_the_first_of_many(spark):
+    """Labels whose order all begins alike, as the first of very many would."""
+    ids = [i for i in range(200_000) if hashlib.md5(str(i).encode()).hexdigest().startswith("00")]
+    ids = [i for i in ids if not toxicity.is_held_out(i)]
+    text = lambda i, bad: " ".join(f"w{(i * 7 + k) % 97}" for k in range(20)) + (" vile scum trash" if bad else " kind fair calm")
+    docs = spark.createDataFrame([(i, text(i, n % 2)) for n, i in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert {"vile", "scum", "trash"} & model.lexicon.words and model.trees is not None
+    scores = model.scorer()([text(i, n % 2) for n, i in enumerate(ids)])
+    assert sum((s >= 0.5) == bool(n % 2) for n, s in enumerate(scores)) == len(ids)
+    few = toxicity.train(docs, labels, most_bytes=1000)
+    assert few.trees is None or few.share in (0.0, 1.0) or len(few.curve[0]) <= 1000
+
+
+def trees_brute(trees, row):
+    total = trees.base
+    for feature, cut, leaf in zip(trees.features, trees.cuts, trees.leaves, strict=True):
+        node = 0
+        for _ in range(toxicity.DEPTH):
+            node = 2 * node + (2 if row[feature[node]] > cut[node] else 1)
+        total += leaf[node - (2**toxicity.DEPTH - 1)]
+    return total
+
+
+def features_brute(lexicon, text):
+    words = re.findall(r"[\w@$*]+", text.lower())
+    plain = [w.translate(toxicity.LOOKALIKES) for w in words]
+    masked = [p != w and p.isalpha() and any(c.isalpha() for c in w) for w, p in zip(words, plain, strict=True)]
+    begins = lambda w: any(len(w) >= n and w[:n] in lexicon.beginnings for n in toxicity.BEGINNINGS)
+    hit, begin = [w in lexicon.words for w in words], [begins(w) for w in words]
+    disguised = [m and (p in lexicon.words or any(p[:n] in lexicon.beginnings for n in toxicity.BEGINNINGS)) for m, p in zip(masked, plain, strict=True)]
+    person = [i for i, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+    bad = [i for i in range(len(words)) if hit[i] or begin[i] or disguised[i]]
+    near = sum(any(abs(i - j) <= toxicity.NEAR for j in person) for i in bad) / len(bad) if bad else 0.0
+    n, size, log = max(1, len(words)), max(1, len(text)), math.log1p
+    marks = sum(c in "\"#$%&'()*+,-./:;<=>@[\\]^_`{|}~!" for c in text)
+    return [
+        sum(hit) / n, log(sum(hit)), sum(begin) / n, log(sum(begin)), len(person) / n, near, sum(c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for c in text) / size, len(re.findall(r"\b[A-Z]{2,}\b", text)) / n,
+        text.count("!") / size, text.count("?") / size, (marks - text.count("!")) / size, len(re.findall(r"[!?.]{2,}", text)) / n, sum(masked) / n, log(sum(disguised)), log(len(words)),
+    ]
+
+
+def test_scores_by_brute_force(docs, sf_dir, spark):
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    features, texts = toxicity.Features(model.lexicon), [t or "" for _, t in texts_of(docs)] + ["You're a sc*m, U 1d10t!! WHAT?!", "", "@@ $$ ** 123"]
+    scores = model.scorer()(texts)
+    for text, score in zip(texts, scores.tolist(), strict=True):
+        want = features_brute(model.lexicon, text)
+        assert np.allclose(features(text), want)
+        assert model.trees is None or math.isclose(score, float(np.clip(np.interp(trees_brute(model.trees, want), *model.curve), 0, 1)), abs_tol=1e-9)
+
+
 def test_toxicity_defined_cases(spark, odd, none):
     y = spark.createDataFrame([(i, i % 2, "x") for i in range(12)] + [(13, None, "x"), (14, 7, "x"), (None, 1, "x")], "doc_id long, toxic int, text string")
     model = toxicity.train(odd, y)

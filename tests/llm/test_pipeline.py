@@ -3,6 +3,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
 from corpusloom.llm import pii, toxicity
+from corpusloom.llm.common import surrogate_key
 
 from .conftest import texts_of
 from .test_others import components_brute
@@ -21,7 +22,7 @@ def test_stages_against_brute_force(spark, docs, sf_dir):
     one = {(d, t) for (d, t), (_, _, _, kept) in zip(texts_of(first), components_brute(texts_of(first), 5, 80), strict=True) if kept}
     assert second.columns == docs.columns and sorted(texts_of(second)) == sorted(one)
     third = private(spark, second, sf_dir).cache()
-    changed = {r.doc_id: r.text for r in pii.surrogates(second).collect()}
+    changed = {r.doc_id: r.text for r in pii.surrogates(second, surrogate_key(spark)).collect()}
     assert third.columns == docs.columns and dict(texts_of(third)) == changed
     assert all(r.n_chars == len(r.text) for r in third.select("text", "n_chars").collect())
     lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
