@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import near_dedup, packing, pii, toxicity
-from corpusloom.llm.common import documents, split_pattern, staged, tokenizer_path
+from corpusloom.llm.common import documents, split_pattern, staged, surrogate_key, tokenizer_path
 from corpusloom.session import share_package
 
 
@@ -28,7 +28,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data; n_chars is that of the new text."""
-    return pii.replace(docs)
+    return pii.replace(docs, surrogate_key(spark))
 
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
