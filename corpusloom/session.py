@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -78,3 +79,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of what finished steps have left: plans that Python no longer holds, and, once the JVM has collected them, by Spark's cleaner
+    their shuffle files and broadcasts on all executors. Spark itself does so every half an hour; a job of many steps does well to do so between them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
