@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_columns, staged
+from .common import own_columns, release, staged, tidied
 
 WORDS, PERCENT = 5, 80
 BANDS, ROWS, HASHES = 25, 5, 128
@@ -123,7 +123,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                     node.append(None), sig.append(None), bands.append(None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "node", "sig", "bands"])
 
-    return own_columns(docs, "doc_id", "text").selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(of, SKETCH)
+    return own_columns(docs, "doc_id", "text").selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(tidied(of), SKETCH)
 
 
 @functools.cache
@@ -158,7 +158,7 @@ def _pruned(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
     sigs = nodes.select("node", "sig")
     both = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(of, "a binary, b binary")
+    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(tidied(of), "a binary, b binary")
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
@@ -182,7 +182,7 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], names=["node", "shingles"])
 
-    return texts.mapInArrow(of, "node binary, shingles binary").dropDuplicates(["node"])
+    return texts.mapInArrow(tidied(of), "node binary, shingles binary").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -200,7 +200,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(p) + len(q) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(of, "a binary, b binary")
+    return pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(tidied(of), "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -276,6 +276,7 @@ def _spanning(units: DataFrame, key: str, percent: int, exact: bool) -> DataFram
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
+    release(docs.sparkSession)
     sketched = staged(sketch(docs, words), "sketch")
     nodes = staged(sketched.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
     members = nodes.select("node", "size", F.explode("bands").alias("band"))
@@ -287,12 +288,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     left = staged(_pruned(pairs, nodes, percent), "survivors")
     links = staged(_confirmed(left, staged(_full_sets(docs, nodes, left, words), "sets"), percent), "links")
     roots = staged(components(links), "roots")
+    release(docs.sparkSession)
 
     rooted = members.join(roots, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
     mixed = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
     rest = rooted.join(mixed, "band", "left_semi").join(nodes.select("node", "sig"), "node")
     likely = staged(_spanning(_blocks(rest, "band"), "band", percent, exact=False), "likely")
     clusters = staged(components(links.union(likely)), "clusters").withColumnRenamed("root", "cluster")
+    release(docs.sparkSession)
     open_nodes = clusters.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_clusters = open_nodes.groupBy("cluster").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("cluster")
     open_nodes = staged(open_nodes.join(open_clusters, "cluster", "left_semi"), "open")

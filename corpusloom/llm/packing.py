@@ -23,7 +23,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_columns, staged
+from .common import own_columns, staged, tidied
 
 WINDOW, END_ID = 1024, 0
 #: Characters beyond Latin letters and common marks, whose classes may differ between versions of Unicode.
@@ -148,7 +148,7 @@ def pack(docs: DataFrame, tokenizer_file: str, ranks_file: str, pattern: str, si
             yield _batch(pa, rows)
 
     # written once: texts are tokenised once, and the windows stay what they are
-    packed = staged(own_columns(docs, "doc_id", "text").selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(of, PIECES), "packed")
+    packed = staged(own_columns(docs, "doc_id", "text").selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(tidied(of), PIECES), "packed")
     keep = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     done = packed.where(~F.col("left_open")).select(*keep, F.col("window").alias("sequence_id"), "offset")
 

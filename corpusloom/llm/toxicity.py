@@ -1,6 +1,6 @@
 """Operator 10, toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-A model is fitted on the driver from at most MAX_TRAIN labelled rows of MAX_TRAIN_BYTES together, taken in the order of a hash of
+A model is fitted in one task from at most MAX_TRAIN labelled rows of MAX_TRAIN_BYTES together, taken in the order of a hash of
 doc_id, never from held-out ones (crc32 of doc_id as text divisible by 5); folds go by another hash, so that they stay even however
 many labels there are. The lexicon's words and word beginnings are chosen by log-odds of the documents
 that hold them. Each half of the rows, by another hash, gets its features from the lexicon of the other half, so that no row is
@@ -15,6 +15,7 @@ repeated rows score alike; an empty table gives an empty result; extra columns a
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe_codec import Memo
-from .common import own_columns
+from .common import own_columns, tidied
 from .near_dedup import shingle_set
 
 #: Labelled rows that a model is fitted on, at most, and bytes of their texts.
@@ -258,8 +259,20 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN, most_bytes:
     rows = own_columns(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     rows = rows.withColumn("crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))).orderBy("order", "toxic", "crc").limit(most)
     until = Window.orderBy("order", "toxic", "crc").rowsBetween(Window.unboundedPreceding, 0)  # `most` rows, one task by its bound
-    table = rows.withColumn("size", F.sum("size").over(until)).where(F.col("size") <= most_bytes).select("text", "toxic", "fold").toArrow()
-    return fit([t or "" for t in table.column("text").to_pylist()], [int(t) for t in table.column("toxic").to_pylist()], table.column("fold").to_pylist())
+    taken = rows.withColumn("size", F.sum("size").over(until)).where(F.col("size") <= most_bytes).select("text", "toxic", "fold")
+
+    def fitted(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+
+        texts, toxic, folds = [], [], []
+        for batch in batches:
+            for column, values in zip((texts, toxic, folds), batch.columns, strict=True):
+                column += values.to_pylist()
+        model = fit([t or "" for t in texts], [int(t) for t in toxic], folds)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    made = taken.mapInArrow(tidied(fitted), "model binary").collect()  # a row; none of an empty table
+    return pickle.loads(made[0].model) if made else Model()
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -273,7 +286,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             s = scorer([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([is_held_out(i) for i in batch.column(0).to_pylist()], pa.bool_()), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype("int32"), pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
-    return own_columns(docs, "doc_id", "text").selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(of, SCHEMA)
+    return own_columns(docs, "doc_id", "text").selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(tidied(of), SCHEMA)
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -287,4 +300,4 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
         for batch in batches:
             yield batch.filter(pa.array(scorer([t or "" for t in batch.column(text_at).to_pylist()]) < threshold))
 
-    return docs.mapInArrow(of, docs.schema)
+    return docs.mapInArrow(tidied(of), docs.schema)
