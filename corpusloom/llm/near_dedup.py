@@ -6,10 +6,13 @@ MinHash signatures agree in a band of ROWS values meet in that band's bucket. Ca
 bucket's members with one another:
 
 1. Every member is a candidate with the bucket's least node: as many candidates as members.
-2. In buckets that then hold more than one component, blocks of at most BLOCK members are compared by their signatures,
-   in memory, across components; of the pairs that the bound leaves, a forest that spans them is written, and joins the
-   nodes into clusters. Within each cluster, blocks of members with their full sets are compared across components,
-   and again only a forest of the confirmed links is written. All pairs are looked at; none but forests become rows.
+2. In buckets that then hold more than one component, members are compared by their signatures, in memory, across
+   components: the largest component's blocks with those of all other members, and these with one another. Where the
+   others alone are more than BLOCK (a passage that many different texts share), the bucket gives way to rare values:
+   sets of the threshold must share one of their rarest values (a prefix filter, which loses nothing), and only nodes
+   that do so meet. Of the pairs that the bound leaves, a forest that spans them is written, and joins the nodes into
+   clusters. Within each cluster, blocks of members with their full sets are compared across components, and again
+   only a forest of the confirmed links is written. No pair is left out; none but forests become rows.
 
 A candidate's signatures are compared batch by batch; it is pruned as soon as the posterior probability, under a
 uniform prior, that its similarity reaches the threshold falls below `miss`. Survivors are confirmed on their full sets.
@@ -38,8 +41,8 @@ BANDS, ROWS, HASHES = 25, 5, 128
 BATCH, MISS = 32, 1e-7
 #: Ids up to this number are sent to all executors to fetch texts (some 50 MB); more are joined by shuffle.
 MAX_BROADCAST_IDS = 1_000_000
-#: Members compared in memory at a time.
-BLOCK = 512
+#: Members of a block, and values of their sets where these are compared too; two blocks are compared in memory at a time.
+BLOCK, VALUES = 512, 2_000_000
 #: Set values by hash at a time, which bounds memory on long texts.
 CHUNK = 4096
 SKETCH = "doc_id long, n_shingles long, node binary, sig binary, bands array<long>"
@@ -204,7 +207,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) of every node in links (a, b): the least node of its component, by alternating large and small stars."""
+    """(node, root) of every node in links (a, b): the least node of its component, by alternating large and small stars.
+
+    The least neighbours are written before they are joined: a hub's rows are then one side of a join of two shuffles, which adaptive
+    execution splits; an aggregation in the join's own stage would keep them in one task.
+    """
     edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     before = None
     while True:
@@ -213,20 +220,59 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = state
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = staged(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u")
         small = small.select("u", F.col("m").alias("v")).union(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
         edges = staged(small, "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _blocks(rows: DataFrame, key: str) -> DataFrame:
-    """rows dealt into units (key, lo, hi) of two blocks of a group, or one: any two rows of a group meet in a unit, and no unit grows with the group."""
-    n = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("__blocks"))
-    dealt = rows.join(n, key).withColumn("__own", F.pmod(F.xxhash64("node"), F.col("__blocks")).cast("int")).withColumn("__other", F.explode(F.expr("sequence(0, __blocks - 1)")))
-    return dealt.withColumn("lo", F.least("__own", "__other")).withColumn("hi", F.greatest("__own", "__other")).drop("__blocks", "__own", "__other")
+def _groups(rows: DataFrame, key: str, values: float = math.inf) -> DataFrame:
+    """Of the groups of rows (key, node, root, size) with several roots: `main`, the root with the most members, and into how many blocks
+    its members (`mains`; 0 where one block holds the whole group) and all others (`others`) are dealt, by number and by set values."""
+
+    def blocks(n, size):
+        return F.ceil(F.greatest(n / BLOCK, size / F.lit(values))).cast("int")
+
+    of_root = rows.groupBy(key, "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    whole = of_root.groupBy(key).agg(F.max(F.struct("n", "size", "root")).alias("top"), F.sum("n").alias("n"), F.sum("size").alias("size")).where("top.n < n")
+    n, size, top_n, top_size = (F.col(c) for c in ("n", "size", "top.n", "top.size"))
+    mains = F.when(blocks(n, size) <= 1, 0).otherwise(blocks(top_n, top_size))
+    return whole.select(key, F.col("top.root").alias("main"), mains.alias("mains"), blocks(n - top_n, size - top_size).alias("others"))
+
+
+def _blocks(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """rows of groups dealt into units (key, lo, hi) of two blocks, or one: any two rows of different roots meet in a unit. Blocks of the main
+    root's members meet only those of others, so that a large component with few strays costs a row for each member."""
+    dealt = rows.join(groups, key).withColumn("own", F.when((F.col("root") == F.col("main")) & (F.col("mains") > 0), F.expr("pmod(xxhash64(node), mains)")).otherwise(F.expr("mains + pmod(xxhash64(node), others)")).cast("int"))
+    dealt = dealt.withColumn("__other", F.explode(F.expr("sequence(if(own < mains, mains, 0), mains + others - 1)")))
+    return dealt.withColumn("lo", F.least("own", "__other")).withColumn("hi", F.greatest("own", "__other")).drop("main", "mains", "others", "__other")
+
+
+def _rare_values(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, band): the rarest values of each set that other sets hold too, as many as it takes that two sets of the threshold share one.
+
+    Two such sets have at least percent * size / 100 values in common, by the size of either; so, in one order of all values, they meet among
+    the first size - that + 1 of each. The order is by the number of sets, and values of one set alone, which come first, meet nothing.
+    """
+
+    def of(batches: Iterable) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            packed = batch.column(1).to_pylist()
+            ends = np.cumsum([0] + [len(x) // 8 for x in packed])
+            values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), values], names=["node", "held"])
+
+    each = sets.select("node", "shingles").mapInArrow(tidied(of), "node binary, held array<long>").select("node", F.size("held").alias("size"), F.explode("held").alias("value"))
+    counts = staged(each.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
+    common = each.join(counts, "value").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("common"))
+    first = F.expr(f"slice(common, 1, greatest(size(common) - ({percent} * size + 99) div 100 + 1, 0))")
+    return common.select("node", F.explode(first.getField("value")).alias("band"))
 
 
 def _spanning(units: DataFrame, key: str, percent: int, exact: bool) -> DataFrame:
@@ -242,6 +288,8 @@ def _spanning(units: DataFrame, key: str, percent: int, exact: bool) -> DataFram
         sig = np.frombuffer(b"".join(frame["sig"]), "<u4").reshape(-1, HASHES)
         size = frame["size"].to_numpy()
         root = pd.factorize(frame["root"])[0]
+        own = frame["own"].to_numpy()
+        across = n > 0 and frame["lo"].iat[0] != frame["hi"].iat[0]  # pairs within a block are another unit's, or of one root
         sets = [np.frombuffer(x, np.uint64) for x in frame["shingles"]] if exact else []
         joined = list(range(int(root.max()) + 1))
 
@@ -253,7 +301,8 @@ def _spanning(units: DataFrame, key: str, percent: int, exact: bool) -> DataFram
 
         out = []
         for i in range(1, n):
-            at = np.flatnonzero((root[:i] != root[i]) & (100 * np.minimum(size[:i], size[i]) >= percent * np.maximum(size[:i], size[i])))
+            apart = (root[:i] != root[i]) & (own[:i] != own[i]) if across else root[:i] != root[i]
+            at = np.flatnonzero(apart & (100 * np.minimum(size[:i], size[i]) >= percent * np.maximum(size[:i], size[i])))
             matches = np.zeros(len(at), int)
             for m, least in table.items():
                 matches += (sig[at, m - BATCH : m] == sig[i, m - BATCH : m]).sum(1)
@@ -281,7 +330,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     nodes = staged(sketched.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
     members = nodes.select("node", "size", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.min(F.struct("node", "size")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = staged(members.join(shared.select("band", "hub"), "band"), "members")  # of buckets with company only
+    shared = staged(shared.select("band", "hub"), "shared")  # written first, so that a hot band's join can be split
+    members = staged(members.join(shared, "band"), "members")  # of buckets with company only
 
     stars = members.where("node <> hub.node").where(f"100 * least(size, hub.size) >= {percent} * greatest(size, hub.size)")
     pairs = staged(stars.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct(), "pairs")
@@ -290,18 +340,27 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     roots = staged(components(links), "roots")
     release(docs.sparkSession)
 
-    rooted = members.join(roots, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
-    mixed = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
-    rest = rooted.join(mixed, "band", "left_semi").join(nodes.select("node", "sig"), "node")
-    likely = staged(_spanning(_blocks(rest, "band"), "band", percent, exact=False), "likely")
+    def rooted(rows):
+        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    rest = staged(rooted(members.select("band", "node", "size")), "rooted")
+    groups = staged(_groups(rest, "band"), "groups")
+    wide = staged(rest.join(groups.where("others > 1"), "band").select(F.col("node").alias("a"), F.col("node").alias("b")).distinct(), "wide")
+    sigs = nodes.select("node", "sig")
+    likely = staged(_spanning(_blocks(rest, groups.where("others <= 1"), "band").join(sigs, "node"), "band", percent, exact=False), "likely")
+    if not wide.isEmpty():
+        sets = staged(_full_sets(docs, nodes, wide, words), "sets")
+        rare = staged(rooted(_rare_values(sets, percent).join(nodes.select("node", "size"), "node")), "rare")
+        units = _blocks(rare, _groups(rare, "band"), "band").join(sigs, "node")
+        likely = likely.union(staged(_spanning(units, "band", percent, exact=False), "likely"))
     clusters = staged(components(links.union(likely)), "clusters").withColumnRenamed("root", "cluster")
     release(docs.sparkSession)
-    open_nodes = clusters.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_clusters = open_nodes.groupBy("cluster").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("cluster")
-    open_nodes = staged(open_nodes.join(open_clusters, "cluster", "left_semi"), "open")
+    open_nodes = rooted(clusters).join(nodes.select("node", "size", "sig"), "node")
+    groups = staged(_groups(open_nodes, "cluster", VALUES), "groups")
+    open_nodes = staged(open_nodes.join(groups.select("cluster"), "cluster", "left_semi"), "open")
     sets = staged(_full_sets(docs, nodes, open_nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), words), "sets")
-    rows = open_nodes.join(nodes.select("node", "size", "sig"), "node").join(sets, "node")
-    links = links.union(staged(_spanning(_blocks(rows, "cluster"), "cluster", percent, exact=True), "links"))
+    units = _blocks(open_nodes, groups, "cluster").join(sets, "node")
+    links = links.union(staged(_spanning(units, "cluster", percent, exact=True), "links"))
     roots = staged(components(links), "roots")
 
     ids = nodes.select("node", "doc").join(roots, "node")

@@ -195,6 +195,23 @@ def test_near_duplicates(odd, docs, planted, none):
     assert near_dedup.near_duplicates(none).collect() == []
 
 
+def test_near_duplicates_among_many_texts_that_share_a_passage(spark, monkeypatch):
+    """Buckets of many components are left for rare values; blocks of the main component meet the others only."""
+    rnd = random.Random(5)
+    new = lambda n: [f"v{rnd.randrange(10**6)}" for _ in range(n)]
+    passage, base = new(70), new(200)
+    texts = [" ".join(passage + new(30)) for _ in range(120)]
+    texts += [mutated(rnd, t.split(), rnd.randint(1, 2)) for t in texts[:30]]
+    texts += [mutated(rnd, base, rnd.randint(1, 9)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "VALUES", 1500)
+    taken, rare = [], near_dedup._rare_values
+    monkeypatch.setattr(near_dedup, "_rare_values", lambda *a: taken.append(1) or rare(*a))
+    got = near_dedup.near_duplicates(df).collect()
+    assert taken and sorted(map(tuple, got), key=key) == sorted(components_brute(texts_of(df), 5, 80), key=key)
+
+
 def test_one_of_each_keeps_columns_and_rows_of_one_id_once(odd, none):
     kept = near_dedup.one_of_each(odd)
     assert kept.columns == odd.columns
