@@ -209,8 +209,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in links (a, b): the least node of its component, by alternating large and small stars.
 
-    The least neighbours are written before they are joined: a hub's rows are then one side of a join of two shuffles, which adaptive
-    execution splits; an aggregation in the join's own stage would keep them in one task.
+    The least neighbours of the large star are written before they are joined: a hub's rows are then one side of a join of two shuffles,
+    which adaptive execution splits; an aggregation in the join's own stage would keep them in one task. The small star joins by the
+    greater end, whose lesser neighbours the large star has already drawn together.
     """
     edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     before = None
@@ -222,9 +223,8 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select("v", "u"))
         least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = staged(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
-        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u")
-        small = small.select("u", F.col("m").alias("v")).union(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u").select(F.explode(F.expr("array(struct(u, m as v), struct(v as u, m as v))")).alias("e"))
+        small = small.select("e.u", "e.v").where("u <> v").distinct()
         edges = staged(small, "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
