@@ -43,6 +43,8 @@ BATCH, MISS = 32, 1e-7
 MAX_BROADCAST_IDS = 1_000_000
 #: Members of a block, and values of their sets where these are compared too; two blocks are compared in memory at a time.
 BLOCK, VALUES = 512, 2_000_000
+#: Links of a split that are drawn together at a time.
+CONTRACT = 250_000
 #: Set values by hash at a time, which bounds memory on long texts.
 CHUNK = 4096
 SKETCH = "doc_id long, n_shingles long, node binary, sig binary, bands array<long>"
@@ -206,27 +208,66 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(tidied(of), "a binary, b binary")
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) as stars: of each CONTRACT edges of a split, every node but the least of those that they join, with that least one."""
+
+    def of(batches: Iterable) -> Iterator:
+        import numpy as np
+        import pandas as pd
+        import pyarrow as pa
+
+        def stars(parts):
+            u, v = (np.array([x for p in parts for x in p.column(c).to_pylist()], object) for c in (0, 1))
+            at, names = pd.factorize(np.concatenate((u, v)), sort=True)  # numbered in the order of nodes
+            root = list(range(len(names)))
+
+            def find(i: int) -> int:
+                while root[i] != i:
+                    root[i] = root[root[i]]
+                    i = root[i]
+                return i
+
+            for x, y in zip(at[: len(u)].tolist(), at[len(u) :].tolist(), strict=True):
+                x, y = find(x), find(y)
+                root[max(x, y)] = min(x, y)
+            own = [(names[i], names[r]) for i in range(len(names)) if (r := find(i)) != i]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in (zip(*own, strict=True) if own else ((), ()))], names=["u", "v"])
+
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= CONTRACT:
+                yield stars(held)
+                held, n = [], 0
+        if held:
+            yield stars(held)
+
+    return edges.mapInArrow(tidied(of), "u binary, v binary")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in links (a, b): the least node of its component, by alternating large and small stars.
 
-    The least neighbours of the large star are written before they are joined: a hub's rows are then one side of a join of two shuffles,
+    Before each round the edges of a split are drawn together by themselves, and the rounds end as soon as the edges are stars. The least neighbours
+    of the large star are written before they are joined: a hub's rows are then one side of a join of two shuffles,
     which adaptive execution splits; an aggregation in the join's own stage would keep them in one task. The small star joins by the
     greater end, whose lesser neighbours the large star has already drawn together.
     """
-    edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    before = None
+    first = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
+    edges = staged(contracted(first), "edges")
     while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
+        ends = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.lit(None).cast("binary")))  # a node's own edges, and a null for each that leads to it
+        at = ends.groupBy("u").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.max(F.col("v").isNull()).alias("met"))
+        if not at.where("least is not null and (least <> most or met)").count():
+            break  # all edges of a node lead to the same root
         both = edges.union(edges.select("v", "u"))
         least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = staged(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
         small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u").select(F.explode(F.expr("array(struct(u, m as v), struct(v as u, m as v))")).alias("e"))
         small = small.select("e.u", "e.v").where("u <> v").distinct()
-        edges = staged(small, "edges")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        edges = staged(contracted(staged(small, "edges")), "edges")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
 def _groups(rows: DataFrame, key: str, values: float = math.inf) -> DataFrame:
