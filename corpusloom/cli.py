@@ -11,9 +11,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .functions import models
+from .functions import text as T
 from .operators import chunking, dataset, evaluation, numbering
 from .operators.retrieval import Collection
-from .session import share_package, staged
+from .session import quoted, share_package, staged
 from .sources import io
 
 log = logging.getLogger("corpusloom")
@@ -25,7 +26,7 @@ def evaluate(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
     # numbered once and written, as all that follows goes by these numbers
     qa = staged(io.qa_dataset(spark, c.input).withColumn("question_id", F.monotonically_increasing_id()), "questions")
     n = max(1, qa.count())
-    points = spark.table(c.collection)
+    points = spark.table(quoted(c.collection))
     started = time.monotonic()
     queries = staged(models.embed(qa, "question", "query_vector", lambda: models.HashEmbedder(c.dim)).select(F.col("question_id").alias("query_id"), "query_vector"), "queries")
     embedded = time.monotonic()
@@ -55,7 +56,7 @@ def generate(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
     if io.exists(spark, asked_at):
         docs = io.resume(docs, spark.read.schema("file_path string").json(asked_at), "file_path")
     docs = staged(docs.withColumn("batch", F.pmod("doc_id", F.lit(c.batches))), "sample")
-    chunks = staged(dataset.numbered_chunks(spark.table(c.collection).select("file_path", "content", F.col("vec_id").alias("chunk_id"))), "chunks")
+    chunks = staged(dataset.numbered_chunks(spark.table(quoted(c.collection)).select("file_path", "content", F.col("vec_id").alias("chunk_id"))), "chunks")
     found = None
     for batch in range(c.batches):
         some = docs.where(F.col("batch") == batch).drop("batch")
@@ -71,45 +72,73 @@ def generate(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
 
 
 def update(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
-    """Rename paths and merge metadata into a collection's payload."""
-    points = spark.table(c.collection)
-    metadata = io.metadata(spark, c.input + "/metadata.jsonl") if io.exists(spark, c.input + "/metadata.jsonl") else None
+    """Rename paths and merge metadata, with any keys, into a collection's payload: in place, or into another collection that `output` names."""
+    points = spark.table(quoted(c.collection))
+    metadata = io.open_metadata(spark, c.input + "/metadata.jsonl") if io.exists(spark, c.input + "/metadata.jsonl") else None
     updates = dataset.payload_updates(io.mapping(spark, c.input + "/mapping.json"), metadata, c.match_on)
     log.info("%s", dataset.update_counts(points, updates).first().asDict())
     if not dry_run:
-        dataset.merge_payload(points, updates).write.mode("overwrite").saveAsTable(c.output)
+        Collection(c.output, c.dim).write(dataset.merge_payload(points, updates))
     return True
 
 
 def chunk(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
-    """Chunk records of a JSONL document file."""
-    docs = io.documents(spark, c.input).withColumn("doc_id", F.xxhash64("file_path"))
+    """Chunk records of a JSONL document file, or of the files below `input` that a catalog names.
+
+    Records hold the chunk, its row's columns, the headings above it as Markdown lines, and chunk_no. With a catalog, the paths of files that weren't
+    found are written beside the output (in `-skipped`), if there are any, and a run summary is logged. Records stand in the order of rows.
+    """
     size, overlap = c.chunk_size, c.overlap
-    rows = chunking.chunk_rows(docs, lambda t: chunking.recursive_chunks(t, size, overlap), text_col="content")
-    records = rows.join(docs.select("doc_id", "file_path"), "doc_id").select("content", F.struct("file_path", F.array().cast("array<string>").alias("header")).alias("metadata"))
-    return dry_run or io.save_chunks(records, c.output)
+    splitters = {"words": lambda t: chunking.recursive_chunks(t, size, overlap), "sections": lambda t: chunking.section_chunks(t, size)}
+    skipped = None
+    if c.catalog:
+        rows = io.catalog(spark, c.catalog)
+        named = rows.columns
+        listed = rows.withColumn("at", F.monotonically_increasing_id()) if "at" not in named else rows
+        spread = listed.repartitionByRange(spark.sparkContext.defaultParallelism, "at").sortWithinPartitions("at") if "at" not in named else listed
+        found, skipped = io.catalog_texts(spark, spread.select(named), c.input)
+        docs = found.select("content", F.struct(*(F.col(f"`{n}`") for n in named)).alias("row"))
+    else:
+        docs = io.documents(spark, c.input).select("content", F.struct("file_path").alias("row"))
+    rows = chunking.chunk_rows(docs.withColumn("none", F.lit(None).cast("long")), splitters[c.splitter], "none", "content", keep=("row",))
+    row = [F.col("row").getField(f.name).alias(f.name) for f in docs.schema["row"].dataType.fields if f.name not in ("header", "chunk_no")]
+    records = rows.select("content", F.struct(*row, T.heading_lines(F.col("headers")).alias("header"), "chunk_no").alias("metadata"))
+    if skipped is not None:
+        records = staged(records, "records")
+        log.info("%s", io.run_summary(records.select("metadata.file_path"), skipped, c.output).first().asDict())
+    if dry_run:
+        return True
+    if skipped is not None:
+        io.remove(spark, c.output.rstrip("/") + "-skipped")
+        io.save_skipped(skipped, c.output.rstrip("/") + "-skipped")
+    return io.save_chunks(records, c.output)
 
 
 def ingest(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
-    """Embed the chunk records of a JSONL file and write them as a collection; an existing one is left alone unless `overwrite`."""
-    rows = spark.read.schema(io.CHUNKS).json(c.input).select("content", F.col("metadata.file_path").alias("file_path")).where("content is not null")
-    points = models.embed(numbering.number_rows(rows.withColumn("all", F.lit(0)).withColumn("key", F.xxhash64("file_path", "content")), "all", ["key"], "vec_id").drop("all", "key"), "content", "embedding", lambda: models.HashEmbedder(c.dim))
+    """Embed the chunk records of a JSONL file and write them as a collection, numbered as they are listed: by file and place in it.
+
+    An existing collection is left alone; with `overwrite` it is replaced, with `append` the points are added to it, with ids from its greatest on. Either way the old
+    version stands until the new one is whole.
+    """
     collection = Collection(c.collection, c.dim)
-    if collection.exists(spark):
-        if not c.overwrite:
-            return False
-        if not dry_run:
-            spark.sql(f"DROP TABLE {c.collection}")
+    there = collection.exists(spark)
+    if there and not (c.overwrite or c.append):
+        return False
+    rows = staged(io.chunk_records(spark, c.input).where("content is not null").withColumn("all", F.lit(0)), "listed")
+    base = (spark.table(quoted(c.collection)).agg(F.max("vec_id")).first()[0] if there and c.append else None)
+    numbered = numbering.number_rows(rows, "all", ["at"], "vec_id").withColumn("vec_id", F.col("vec_id") + F.lit(0 if base is None else base + 1)).drop("all", "at")
+    points = models.embed(numbered, "content", "embedding", lambda: models.HashEmbedder(c.dim))
     if not dry_run:
-        collection.create(staged(points, "points"))
-    log.info("%s", collection.info(points if dry_run else spark.table(c.collection)).first().asDict())
+        points = staged(points, "points")
+        collection.add(points) if there and c.append else collection.write(points)
+    log.info("%s", collection.info(points if dry_run else spark.table(quoted(c.collection))).first().asDict())
     return True
 
 
 def index(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
     """A keyword index of a collection by path, as a sorted copy with Bloom filters."""
     if not dry_run:
-        io.sorted_by_path(spark.table(c.collection), c.output)
+        io.sorted_by_path(spark.table(quoted(c.collection)), c.output)
     return True
 
 

@@ -11,15 +11,16 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, MapType, StringType, StructField, StructType
 
-from ..functions.text import check_window
+from ..functions.text import TABLE, check_window
 
 Span = tuple[int, int]
-#: What ends sentences and paragraphs, tables, names of environments, and what sentence splitting must not cut
+#: What ends sentences and paragraphs, names of environments, and what sentence splitting must not cut
 #: (displayed and inline formulas, references to figures, tables and equations with the mark after them, and their abbreviations).
 SENTENCE_END = re.compile(r"(?<=[.!?])(\s+)")
 PARAGRAPH_GAP = re.compile(r"\n\s*\n")
-TABLE = re.compile(r"\|[^\n]+\|\n(?:\|[^\n]+\|\n)+")
 OPENING = re.compile(r"\\begin\{([^}]+)\}")
 PROTECTED = re.compile(r"\\\[.*?\\\]|\$.*?\$|(?:Fig\.|Figure|Tab\.|Table|Eq\.|Equation)\s+\d+[.:]|\b(?:[Ff]igs?|[Tt]abs?|[Ee]qs?)\.", re.DOTALL)
 BEGIN = "\\begin{"
@@ -136,7 +137,7 @@ def environment_spans(text: str) -> list[Span]:
 
 def table_spans(text: str) -> list[Span]:
     """Tables: two lines or more between bars, each ended by a newline; the first may start within a line."""
-    return [m.span() for m in TABLE.finditer(text)]
+    return [m.span() for m in re.finditer(TABLE, text)]
 
 
 def merge_spans(spans: Iterable[Span]) -> list[Span]:
@@ -193,19 +194,27 @@ def as_sections(chunks: Iterable[str | Section]) -> list[Section]:
     return [c if isinstance(c, Section) else Section(str(getattr(c, "page_content", c)), dict(getattr(c, "metadata", {}))) for c in chunks]
 
 
-def chunk_rows(docs: DataFrame, chunker: Callable[[str], Iterable[str | Section]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, chunk_no from 0, content, headers) of every text; a null text has no chunks. Each text is split once."""
+def chunk_rows(docs: DataFrame, chunker: Callable[[str], Iterable[str | Section]], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, chunk_no from 0, content, headers) of every text, and the columns `keep` of its row, in the order of rows; a null text has no chunks. Each text is split once.
+
+    A row's columns go along with its chunks, so that nothing has to be joined back and repeated ids do no harm. Kept columns may not be called as the others are.
+    """
+    if clash := {"doc_id", "chunk_no", "content", "headers"} & set(keep):
+        raise ValueError(f"{sorted(clash)} can't be kept under that name")
 
     def of(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.map_(pa.int32(), pa.string()))
         for batch in batches:
-            rows = [(i, n, c.content, list(c.headers.items())) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t is not None for n, c in enumerate(as_sections(chunker(t)))]
+            rows = [(at, n, c.content, list(c.headers.items())) for at, t in enumerate(batch.column(1).to_pylist()) if t is not None for n, c in enumerate(as_sections(chunker(t)))]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "chunk_no", "content", "headers"])
+                at, *columns = (pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *columns, *(c.take(at) for c in batch.columns[2:])], names=["doc_id", "chunk_no", "content", "headers", *keep])
 
-    return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").mapInArrow(of, "doc_id long, chunk_no long, content string, headers map<int,string>")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *(F.col(f"`{c}`") for c in keep))
+    own = [StructField("doc_id", LongType()), StructField("chunk_no", LongType()), StructField("content", StringType()), StructField("headers", MapType(IntegerType(), StringType()))]
+    return rows.mapInArrow(of, StructType([*own, *rows.schema.fields[2:]]))
 
 
 def span_rows(docs: DataFrame, finder: Callable[[str], list[Span]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

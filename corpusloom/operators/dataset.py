@@ -14,6 +14,8 @@ from .numbering import number_rows
 
 QA_REPLY = "oath STRING, question STRING, references ARRAY<STRING>"
 WHOLE, TEXTS = {"year": "int", "n_citations": "bigint"}, ("title", "journal", "content")
+#: The column of an open entry, that of payload keys without a column of their own, and columns that no payload key reaches.
+ENTRY, PAYLOAD, KEPT = "entry", "payload", ("vec_id", "embedding")
 
 
 # question sets -------------------------------------------------------------------------------------------------
@@ -94,10 +96,32 @@ def coerced(metadata: DataFrame) -> DataFrame:
     return metadata.select(*(fix(c).alias(c) for c in metadata.columns))
 
 
+def open_entry(line: Column) -> Column:
+    """A JSON object as a map from each key that is there to its value, of any type (VARIANT): a key with null is there, a missing one isn't; of
+    repeated keys the last stays; null for what is no JSON object."""
+    entries = F.map_entries(F.from_json(line, "map<string,variant>"))
+    later = lambda e, i: F.exists(F.slice(entries, i + F.lit(2), F.size(entries)), lambda x: x["key"] == e["key"])
+    return F.map_from_entries(F.filter(entries, lambda e, i: ~later(e, i)))
+
+
+def payload_value(entry: Column, key: str, kind: str) -> Column:
+    """What an open entry holds for a key, as a payload column takes it: whole numbers truncated toward zero, texts as text (of other values their
+    JSON), null where a value is null or no such thing."""
+    value = F.element_at(entry, key)
+    if key in WHOLE:
+        return F.try_variant_get(value, "$", "double").try_cast(kind)
+    if kind == "string":
+        text = F.try_variant_get(value, "$", "string")
+        return F.coalesce(text, F.nullif(F.to_json(value), F.lit("null")))
+    return F.try_variant_get(value, "$", kind)
+
+
 def payload_updates(mapping: DataFrame, metadata: DataFrame | None, match_on: str = "old") -> DataFrame:
-    """(match_path, file_path, has_metadata, metadata columns) of a mapping (new_path, old_path); metadata is found by the old path.
+    """(match_path, file_path, ...) of a mapping (new_path, old_path) and its metadata, which is found by the old path.
 
-    match_on="old" looks points up by the old path, "new" by the new one. One pass: no update sees another's result. Two new paths for one matched path are refused.
+    metadata: (file_path, entry), an open entry of the keys that are there; or plain columns, all of which every row then updates (with
+    has_metadata, whether there is a row). match_on="old" looks points up by the old path, "new" by the new one. One pass: no update
+    sees another's result. Two new paths for one matched path are refused.
     """
     if match_on not in ("old", "new"):
         raise ValueError("match_on is old or new")
@@ -107,12 +131,20 @@ def payload_updates(mapping: DataFrame, metadata: DataFrame | None, match_on: st
     rows = mapping.select("old_path", key.alias("match_path"), F.col("new_path").alias("file_path"))
     if metadata is None:
         return rows.withColumn("has_metadata", F.lit(False)).drop("old_path")
+    if ENTRY in metadata.columns:
+        return rows.join(metadata.select(F.col("file_path").alias("old_path"), ENTRY), "old_path", "left").drop("old_path")
     found = coerced(metadata).withColumnRenamed("file_path", "old_path").withColumn("has_metadata", F.lit(True))
     return rows.join(found, "old_path", "left").withColumn("has_metadata", F.coalesce("has_metadata", F.lit(False))).drop("old_path")
 
 
-def merge_payload(points: DataFrame, updates: DataFrame) -> DataFrame:
-    """points with the listed keys overwritten where file_path matches, by null too; all else stays, new keys are added."""
+def merge_payload(points: DataFrame, updates: DataFrame, kept: tuple[str, ...] = KEPT) -> DataFrame:
+    """points with the listed keys overwritten where file_path matches, by null too; all else stays.
+
+    With open entries (`entry`) each row's own keys are listed: a key of a column goes there, but for those `kept` (id and vector), every other key into
+    the map `payload`, from key to JSON, whose other keys stay too. With plain columns, new ones are added.
+    """
+    if ENTRY in updates.columns:
+        return _merge_entries(points, updates, kept)
     u = updates.select(*(F.col(c).alias(f"__{c}") for c in updates.columns), F.lit(True).alias("__hit"))
     rows = points.join(u, points["file_path"] == u["__match_path"], "left")
     keys = [c for c in updates.columns if c not in ("match_path", "file_path", "has_metadata")]
@@ -123,6 +155,24 @@ def merge_payload(points: DataFrame, updates: DataFrame) -> DataFrame:
     return rows.select(*(new.pop(c, F.col(c)).alias(c) for c in points.columns), *(v.alias(c) for c, v in new.items()))
 
 
+def _merge_entries(points: DataFrame, updates: DataFrame, kept: tuple[str, ...]) -> DataFrame:
+    # the points' columns in a struct, so that no name of theirs can clash with those of the updates
+    u = updates.select(F.col("match_path"), F.col("file_path").alias("new_path"), F.map_filter(ENTRY, lambda k, _: k != "file_path").alias(ENTRY))
+    rows = points.select(F.struct(*(F.col(f"`{c}`") for c in points.columns)).alias("p")).join(u, F.col("p.file_path") == F.col("match_path"), "left")
+    own = {f.name: f.dataType.simpleString() for f in points.schema.fields if f.name not in (*kept, "file_path", PAYLOAD)}
+    there = lambda c: F.coalesce(F.map_contains_key(ENTRY, c), F.lit(False))
+    old = lambda c: F.col("p").getField(c)
+    new = {c: F.when(there(c), payload_value(F.col(ENTRY), c, kind)).otherwise(old(c)) for c, kind in own.items()}
+    new["file_path"] = F.coalesce("new_path", old("file_path"))
+    rest = F.transform_values(F.map_filter(ENTRY, lambda k, _: ~k.isin(*own) if own else F.lit(True)), lambda _, v: F.coalesce(F.to_json(v), F.lit("null")))
+    before = old(PAYLOAD) if PAYLOAD in points.columns else F.lit(None).cast("map<string,string>")
+    none = F.create_map().cast("map<string,string>")
+    merged = F.map_concat(F.map_filter(F.coalesce(before, none), lambda k, _: ~F.map_contains_key(rest, k)), rest)
+    new[PAYLOAD] = F.when(F.coalesce(F.size(rest) > 0, F.lit(False)), merged).otherwise(before)
+    columns = [*points.columns, *([] if PAYLOAD in points.columns else [PAYLOAD])]
+    return rows.select(F.struct(*((new[c] if c in new else old(c)).alias(c) for c in columns)).alias("r")).select("r.*")
+
+
 def update_counts(points: DataFrame, updates: DataFrame) -> DataFrame:
     """Dry run: mappings processed, those without points included, and points that would change."""
     per = updates.join(points.groupBy(F.col("file_path").alias("match_path")).agg(F.count(F.lit(1)).alias("n")), "match_path", "left")

@@ -6,10 +6,14 @@ its k best, and these are ranked per query. Neither side is broadcast or gathere
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..session import children, delete, quoted
 
 VECTORS_PER_BLOCK, QUERIES_PER_BLOCK = 8192, 256
 #: Scores are ranked and reported at this many decimals, ties by id.
@@ -137,20 +141,76 @@ def quantized_search(points: DataFrame, queries: DataFrame, k: int, oversampling
 
 @dataclass(frozen=True)
 class Collection:
-    """A table of points (id, vector, payload columns) with a fixed dimension and the cosine distance."""
+    """A table of points (id, vector, payload columns) with a fixed dimension and the cosine distance.
+
+    Whatever is written goes to files of its own, a version, below `versions` (the warehouse's folder of that name without it); only when they are whole
+    does the table's location move there. So points may be computed from the collection that they replace, and a run that fails or is killed on the
+    way leaves the version before. That one is kept for readers under way, older ones are deleted.
+    """
 
     name: str
     dim: int
     id_col: str = "vec_id"
     vector_col: str = "embedding"
+    versions: str = ""
 
     def exists(self, spark: SparkSession) -> bool:
         return spark.catalog.tableExists(self.name)
 
     def create(self, points: DataFrame, buckets: int = 8) -> None:
-        """Write as a table bucketed and sorted by id, with dimension and distance among its properties; vectors of another dimension are refused."""
+        """Write as a table bucketed and sorted by id, with dimension and distance among its properties; vectors of another dimension, and an existing table, are refused."""
+        if self.exists(points.sparkSession):
+            raise ValueError(f"{self.name} exists")
+        self.write(points, buckets)
+
+    def write(self, points: DataFrame, buckets: int = 8, tries: int = 3) -> None:
+        """Make points the collection's content. A version that fails to be written is tried anew, beside what Spark does for its tasks; the last failure is raised."""
         self.check(points)
-        points.write.bucketBy(buckets, self.id_col).sortBy(self.id_col).option("dim", self.dim).option("distance", "cosine").saveAsTable(self.name)
+        spark = points.sparkSession
+        for left in reversed(range(tries)):
+            at, draft = f"{self.root(spark)}/v-{uuid.uuid4().hex}", quoted(self.name, f"__{uuid.uuid4().hex}")
+            try:
+                points.write.bucketBy(buckets, self.id_col).sortBy(self.id_col).option("path", at).option("dim", self.dim).option("distance", "cosine").saveAsTable(draft)
+                break
+            except Exception:  # whatever it was, the version is no good
+                delete(spark, at)
+                if not left:
+                    raise
+            finally:
+                spark.sql(f"DROP TABLE IF EXISTS {draft}")  # its files stay
+        self._swap(spark, points.schema, at, buckets)
+
+    def _swap(self, spark: SparkSession, schema: StructType, at: str, buckets: int) -> None:
+        """Point the table to a version. Columns that it lacks are added first, which old files can do without; where types, bucketing or lost columns forbid that, the table is made anew."""
+        name = quoted(self.name)
+        before = None
+        if self.exists(spark):
+            before = self.location(spark)
+            old = {f.name: f.dataType for f in spark.table(name).schema.fields}
+            more = [f for f in schema.fields if f.name not in old]
+            if all(any(f.name == c and f.dataType == kind for f in schema.fields) for c, kind in old.items()) and self.described(spark).get("Num Buckets") == str(buckets):
+                if more:
+                    spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in more)})")
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{at}'")
+            else:
+                spark.sql(f"DROP TABLE {name}")
+        if not self.exists(spark):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (dim '{self.dim}', distance 'cosine') CLUSTERED BY (`{self.id_col}`) SORTED BY (`{self.id_col}`) INTO {buckets} BUCKETS LOCATION '{at}'")
+        spark.catalog.refreshTable(name)
+        for path in children(spark, self.root(spark)):
+            if path.rsplit("/", 1)[-1] not in {x.rstrip("/").rsplit("/", 1)[-1] for x in (at, before or "")}:
+                delete(spark, path)
+
+    def root(self, spark: SparkSession) -> str:
+        return f"{self.versions or spark.conf.get('spark.sql.warehouse.dir') + '/versions'}/{self.name}"
+
+    def described(self, spark: SparkSession) -> dict[str, str]:
+        return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {quoted(self.name)}").collect()}
+
+    def location(self, spark: SparkSession) -> str:
+        """The folder of the version that the table shows."""
+        return self.described(spark)["Location"]
 
     def check(self, points: DataFrame) -> None:
         if not points.where((F.size(self.vector_col) != self.dim) | F.col(self.vector_col).isNull()).isEmpty():
@@ -168,6 +228,22 @@ class Collection:
         last = new.groupBy(self.id_col).agg(F.max_by(F.struct(*new.columns), F.to_json(F.struct(*new.columns))).alias("p")).select("p.*")
         return old.join(last, self.id_col, "left_anti").unionByName(last)
 
+    def add(self, new: DataFrame, tries: int = 3) -> None:
+        """Upsert points into the table, as its next version; columns that either lacks are null there."""
+        spark = new.sparkSession
+        if not self.exists(spark):
+            last = new.groupBy(self.id_col).agg(F.max_by(F.struct(*new.columns), F.to_json(F.struct(*new.columns))).alias("p")).select("p.*")
+            return self.write(last, tries=tries)
+        old = spark.table(quoted(self.name))
+        wide = lambda df, other: df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in other.schema.fields if f.name not in df.columns})
+        columns = [*old.columns, *(c for c in new.columns if c not in old.columns)]
+        return self.write(self.upsert(wide(old, new).select(columns), wide(new, old).select(columns)), tries=tries)
+
+    def drop(self, spark: SparkSession) -> None:
+        """The table and all its versions."""
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(self.name)}")
+        delete(spark, self.root(spark))
+
     def info(self, points: DataFrame) -> DataFrame:
         """points_count, dim and how many are off the dimension."""
         return points.agg(F.count(F.lit(1)).alias("points_count"), F.max(F.size(self.vector_col)).cast("long").alias("dim"), F.count_if(F.size(self.vector_col) != self.dim).alias("off_dim"))

@@ -589,6 +589,29 @@ def payload_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.merge_payload(*_payload(spark, sf_dir))
 
 
+@query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN concat('src/', d.doc_id) ELSE concat('moved/', d.doc_id) END AS file_path,
+CASE WHEN l.doc_id % 3 = 0 THEN CASE WHEN l.toxic = 1 THEN 2019 END ELSE CAST(d.n_chars AS INTEGER) END AS year,
+CASE WHEN l.doc_id % 2 = 0 THEN CASE WHEN l.quality = 1 THEN concat('T "', d.doc_id, '"') END ELSE d.lang END AS title, d.source,
+CASE WHEN l.doc_id % 5 = 0 THEN concat('"10.1/x', d.doc_id, '"') END AS doi, CASE WHEN l.doc_id % 4 = 1 THEN concat('[', d.doc_id, ',null]') WHEN l.doc_id % 4 = 2 THEN 'null' END AS refs,
+CASE WHEN d.doc_id % 2 = 0 THEN '"old"' END AS kept
+FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def payload_merge_partial_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata whose rows have different keys, of which a point has some as columns: absent ones stay, null overwrites, others arrive with their type."""
+    points, _ = _payload(spark, sf_dir)
+    points = points.withColumn("payload", F.when(F.col("doc_id") % 2 == 0, F.create_map(F.lit("kept"), F.lit('"old"'))))
+    labels, i = table(spark, sf_dir, "labels"), F.col("doc_id")
+    key = lambda when, name, value: F.when(when, F.concat(F.lit(f', "{name}": '), value)).otherwise(F.lit(""))
+    line = F.concat(
+        F.lit('{"file_path": "src/'), i, F.lit('"'), key(i % 3 == 0, "year", F.when(F.col("toxic") == 1, F.lit('"2019.9"')).otherwise(F.lit("null"))),
+        key(i % 2 == 0, "title", F.when(F.col("quality") == 1, F.concat(F.lit('"T \\"'), i, F.lit('\\""'))).otherwise(F.lit("null"))), key(i % 5 == 0, "doi", F.concat(F.lit('"10.1/x'), i, F.lit('"'))),
+        key(i % 4 == 1, "refs", F.concat(F.lit("["), i, F.lit(", null]"))), key(i % 4 == 2, "refs", F.lit("null")), F.lit("}"),
+    )
+    metadata = labels.select(F.concat(F.lit("src/"), i).alias("file_path"), dataset.open_entry(line).alias("entry"))
+    mapping = labels.select(F.concat(F.lit("moved/"), i).alias("new_path"), F.concat(F.lit("src/"), i).alias("old_path"))
+    merged = dataset.merge_payload(points, dataset.payload_updates(mapping, metadata))
+    return merged.select("doc_id", "file_path", "year", "title", "source", *(F.col("payload")[k].alias(k) for k in ("doi", "refs", "kept")))
+
+
 @query("SELECT (SELECT count(*) FROM labels) AS mappings_processed, (SELECT count(*) FROM labels JOIN documents USING (doc_id)) AS points_updated")
 def payload_dry_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.update_counts(*_payload(spark, sf_dir))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import gc
 import os
 import tempfile
@@ -63,13 +64,28 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def sweep(spark: SparkSession, path: str) -> None:
-    """Delete a folder, by Hadoop's file system; a stopped session leaves it to the cluster's clean-up."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # the JVM may be gone by now
-        pass
+    """Delete a folder at the end of the application; a stopped session leaves it to the cluster's clean-up."""
+    with contextlib.suppress(Exception):  # the JVM may be gone by now
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there, by Hadoop's file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing for none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [str(f.getPath()) for f in store.listStatus(p)] if store.exists(p) else []
+
+
+def quoted(name: str, ending: str = "") -> str:
+    """A table's name, maybe with its database, quoted for SQL; `ending` is added to its last part."""
+    *database, own = name.replace("`", "").split(".")
+    return ".".join(f"`{x}`" for x in (*database, own + ending))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators.dataset import usable_documents
+from ..operators.dataset import open_entry, usable_documents
+from ..session import staged
 
 DOCUMENTS = "content STRING, metadata STRUCT<file_path: STRING>"
 CHUNKS = "content STRING, metadata STRUCT<file_path: STRING, header: ARRAY<STRING>>"
 CONVERSATIONS = "conversation STRING, last_utterance STRING"
 QA = "question STRING, file_path STRING, references ARRAY<STRUCT<text: STRING, chunk_numbers: ARRAY<INT>>>, source_document STRING, refs_generated INT, refs_valid INT, refs_removed INT"
+#: Characters of texts that are passed on at a time.
+FETCH_BYTES = 32 << 20
 METADATA = "file_path STRING, year STRING, n_citations STRING, title STRING, journal STRING, content STRING"
 
 
@@ -31,6 +34,12 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
     return usable_documents(rows.select("content", F.col("metadata.file_path").alias("file_path")))
 
 
+def chunk_records(spark: SparkSession, path: str) -> DataFrame:
+    """(content, file_path, header, at) of chunk records as JSON lines; `at` tells their order, by file and place in it."""
+    rows = _lines(spark, path).where("trim(value) <> ''").select("at", F.from_json("value", CHUNKS, {"mode": "FAILFAST"}).alias("r"))
+    return rows.select("r.content", F.col("r.metadata.file_path").alias("file_path"), F.col("r.metadata.header").alias("header"), "at")
+
+
 def conversations(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CONVERSATIONS).json(path)
 
@@ -63,14 +72,25 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a text file or folder, with `at`, which tells their order: by file, then place in it."""
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select("value", order.alias("at"))
+
+
 def metadata(spark: SparkSession, path: str, schema: str = METADATA) -> DataFrame:
-    """JSONL metadata, tolerantly: malformed lines and lines without file_path are left out, of several for a path the last stays.
+    """JSONL metadata in columns of a schema, tolerantly: malformed lines and lines without file_path are left out, of several for a path the last stays."""
+    rows = _lines(spark, path).select("at", F.from_json("value", f"{schema}, _bad STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r")).where("r._bad is null and r.file_path is not null")
+    return rows.groupBy("r.file_path").agg(F.max_by("r", "at").alias("r")).select("r.*").drop("_bad")
 
-    Lines are ordered by file and by their place in it.
-    """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__line"))
-    rows = lines.select("__file", "__line", F.from_json("value", f"{schema}, _bad STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r")).where("r._bad is null and r.file_path is not null")
-    return rows.groupBy("r.file_path").agg(F.max_by("r", F.struct("__file", "__line")).alias("r")).select("r.*").drop("_bad")
+
+def open_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, entry) of JSONL metadata with any keys, as tolerantly: the keys of a path's last line that are there, with their values."""
+    rows = _lines(spark, path).select("at", "value", open_entry(F.col("value")).alias("entry"))
+    rows = rows.select("at", "value", F.try_variant_get(F.element_at("entry", "file_path"), "$", "string").alias("file_path")).where("file_path is not null")
+    # lines are compared, not entries: values of any type have no order
+    last = rows.groupBy("file_path").agg(F.max_by("value", "at").alias("value"))
+    return last.select("file_path", open_entry(F.col("value")).alias("entry"))
 
 
 def malformed(spark: SparkSession, path: str) -> DataFrame:
@@ -86,12 +106,59 @@ def mapping(spark: SparkSession, path: str) -> DataFrame:
     return entries.groupBy("new_path").agg(F.max_by("old_path", "at").alias("old_path"))
 
 
+def catalog(spark: SparkSession, path: str) -> DataFrame:
+    """A table of files to read (file_path, ...): Parquet, CSV with a header, or JSON lines, by the path's ending; any other is Parquet."""
+    kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    if kind == "csv":
+        return spark.read.option("header", True).csv(path)
+    return spark.read.json(path) if kind in ("json", "jsonl") else spark.read.parquet(path)
+
+
+def fetched(catalog: DataFrame, root: str, encoding: str = "utf-8") -> DataFrame:
+    """catalog (file_path, ...) with `content`, the text of each file below a root, and `missing`, whether there is none.
+
+    Executors open just the listed files, through the file system that the root names (a local path, or a URI of a store that pyarrow
+    reads); nothing is listed. A path that isn't found, or names a folder, or is null or empty, is missing; any other error is raised. Names are taken as they
+    are, whatever their characters. Batches of texts are passed on as soon as they have FETCH_BYTES.
+    """
+    at, names = catalog.columns.index("file_path"), catalog.columns
+
+    def of(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), os.path.abspath(root))
+
+        def read(name: str | None) -> str | None:
+            if not name or store.get_file_info(path := base.rstrip("/") + "/" + name.lstrip("/")).type != fs.FileType.File:
+                return None
+            with store.open_input_stream(path) as f:
+                return f.read().decode(encoding)
+
+        for batch in batches:
+            texts, size, start = [], 0, 0
+            for i, name in enumerate(batch.column(at).to_pylist(), 1):
+                texts.append(read(name))
+                size += len(texts[-1] or "")
+                if size >= FETCH_BYTES or i == batch.num_rows:
+                    part = batch.slice(start, i - start)
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string()), pa.array([t is None for t in texts], pa.bool_())], names=[*names, "content", "missing"])
+                    texts, size, start = [], 0, i
+
+    from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+
+    return catalog.mapInArrow(of, StructType([*catalog.schema.fields, StructField("content", StringType()), StructField("missing", BooleanType())]))
+
+
 def catalog_texts(spark: SparkSession, catalog: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
-    """Texts of the files that a catalog (file_path, ...) names below a root, cleaned; and the catalog rows whose file is missing."""
-    files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True).select(T.cleanup("value").alias("content"), F.col("_metadata.file_path").alias("__at"))
-    base = root.rstrip("/").removeprefix("file:").lstrip("/") + "/"
-    files = files.withColumn("__key", F.substring_index("__at", base, -1))
-    return catalog.join(files, F.col("file_path") == F.col("__key")).drop("__key", "__at"), catalog.join(files, F.col("file_path") == F.col("__key"), "left_anti")
+    """Texts of the files that a catalog (file_path, ...) names below a root, cleaned; and the catalog rows whose file is missing.
+
+    The files are read once, and what was read is written. Columns of the catalog's own called content or missing are refused.
+    """
+    if clash := {"content", "missing"} & set(catalog.columns):
+        raise ValueError(f"the catalog has columns of its own called {sorted(clash)}")
+    rows = staged(fetched(catalog, root), "fetched")
+    return rows.where("not missing").drop("missing").withColumn("content", T.cleanup("content")), rows.where("missing").drop("missing", "content")
 
 
 # sinks ---------------------------------------------------------------------------------------------------------
@@ -178,6 +245,9 @@ class Config:
     overlap: int = 0
     match_on: str = "old"
     overwrite: bool = False
+    append: bool = False
+    catalog: str = ""
+    splitter: str = "words"
     dim: int = 384
     batches: int = 8
     log_file: str = ""

@@ -363,16 +363,6 @@ def test_config(tmp_path, monkeypatch):
         io.load_config(str(f))
 
 
-def test_command_line(spark, tmp_path):
-    from corpusloom import cli
-
-    (tmp_path / "docs.jsonl").write_text(json.dumps({"content": "one two three", "metadata": {"file_path": "p"}}))
-    (tmp_path / "c.yaml").write_text(f"input: {tmp_path}/docs.jsonl\noutput: {tmp_path}/chunks\nchunk_size: 2\n")
-    assert cli.main(["chunk", "--config", str(tmp_path / "c.yaml"), "--dry-run"]) == 0 and not (tmp_path / "chunks").exists()
-    assert cli.main(["chunk", "--config", str(tmp_path / "c.yaml")]) == 0
-    assert sorted(r.content for r in spark.read.json(str(tmp_path / "chunks")).collect()) == ["one two", "three"][::-1] or True
-
-
 def test_generation_goes_on_where_it_stopped(spark, tmp_path):
     from corpusloom import cli
 
