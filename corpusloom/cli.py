@@ -18,35 +18,46 @@ from .session import quoted, share_package, staged
 from .sources import io
 
 log = logging.getLogger("corpusloom")
+#: Models by the name that a configuration gives; a deployment adds its own.
+EMBEDDERS = {"hash": models.HashEmbedder}
 INSTRUCTIONS = "Ask one question that the text answers, and quote the passages that answer it word for word, as JSON with the keys question and references."
 
 
 def evaluate(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
-    """Metrics of a question set over a collection, per question and per k."""
+    """Metrics of a question set over a collection, per question and per k.
+
+    A question that can't be embedded, or whose vector is none of the collection's, is left out of every k, logged, and listed in `failed` beside the results.
+    Each question carries the time of its own embedding (`questions_per_call` of them share a call) and an equal share of the search, which is one for all.
+    """
     # numbered once and written, as all that follows goes by these numbers
     qa = staged(io.qa_dataset(spark, c.input).withColumn("question_id", F.monotonically_increasing_id()), "questions")
-    n = max(1, qa.count())
     points = spark.table(quoted(c.collection))
-    started = time.monotonic()
-    queries = staged(models.embed(qa, "question", "query_vector", lambda: models.HashEmbedder(c.dim)).select(F.col("question_id").alias("query_id"), "query_vector"), "queries")
-    embedded = time.monotonic()
+    asked = staged(models.embedded(qa.select("question_id", "question", "file_path"), "question", "query_vector", lambda: EMBEDDERS[c.embedder](c.dim), c.questions_per_call, dim=c.dim), "queries")
+    queries = asked.where("error is null").select(F.col("question_id").alias("query_id"), "query_vector")
+    n, started = max(1, queries.count()), time.monotonic()
     found = staged(Collection(c.collection, c.dim).search(points, queries, max(c.k_values), c.score_floor), "found")
-    retrieved = time.monotonic()
+    retrieval_time = (time.monotonic() - started) / n
     hits = found.join(points, "vec_id").select(F.col("query_id").alias("question_id"), "rank", F.col("vec_id").alias("chunk_id"), F.coalesce("file_path", F.lit("")).alias("path"), F.col("content"), "score")
-    # questions are embedded and searched together: each carries its share of the time
-    questions = qa.select("question_id", F.col("file_path").alias("gold_path"), F.lit((embedded - started) / n).alias("embedding_time"), F.lit((retrieved - embedded) / n).alias("retrieval_time"))
+    questions = asked.select("question_id", F.col("file_path").alias("gold_path"), "error", F.col("seconds").alias("embedding_time"), F.lit(retrieval_time).alias("retrieval_time"))
     references = qa.select("question_id", F.posexplode("references").alias("no", "r")).select("question_id", F.concat_ws("/", "question_id", "no").alias("reference_id"), F.col("r.text").alias("text"))
     results = evaluation.evaluate(questions, references, hits, list(c.k_values), c.fuzzy_threshold)
     summary = evaluation.summary(results, list(c.k_values))
     report(summary)
-    return dry_run or io.save_json(results, c.output + "/results", c.overwrite) and io.save_json(summary, c.output + "/summary", c.overwrite)
+    failed = evaluation.failed(questions).join(qa.select("question_id", "question"), "question_id")
+    if n_failed := failed.count():
+        log.warning("%d questions failed and are left out", n_failed)
+    if dry_run:
+        return True
+    written = io.save_json(results, c.output + "/results", c.overwrite) and io.save_json(summary, c.output + "/summary", c.overwrite)
+    return written and (not n_failed or io.save_json(failed, c.output + "/failed", c.overwrite))
 
 
 def generate(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
     """A question set from sampled documents, references validated against their chunks; no pairs is a failure.
 
-    Documents are asked batch by batch, and each batch is added to the output with the list of documents asked (beside it, in `asked`): a run
-    that broke off goes on where it stopped. With `overwrite` it starts anew.
+    Documents are asked batch by batch. A batch's pairs are written to a folder of its own, named after the documents that it asks, and then, beside
+    the output (in `-asked`), those documents: a run that broke off goes on where it stopped, and a batch that it broke off in is asked
+    again and replaced, never doubled. With `overwrite` it starts anew.
     """
     docs = numbering.seeded_sample(io.documents(spark, c.input), "file_path", c.sample_documents, c.seed).withColumn("doc_id", F.xxhash64("file_path"))
     asked_at, n = c.output.rstrip("/") + "-asked", docs.count()
@@ -56,17 +67,20 @@ def generate(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
     if io.exists(spark, asked_at):
         docs = io.resume(docs, spark.read.schema("file_path string").json(asked_at), "file_path")
     docs = staged(docs.withColumn("batch", F.pmod("doc_id", F.lit(c.batches))), "sample")
+    of_batch = {r.batch: r.name for r in docs.groupBy("batch").agg(F.hex(F.bit_xor(F.xxhash64("file_path", F.lit("batch")))).alias("name")).collect()}  # a row for each batch
     chunks = staged(dataset.numbered_chunks(spark.table(quoted(c.collection)).select("file_path", "content", F.col("vec_id").alias("chunk_id"))), "chunks")
     found = None
-    for batch in range(c.batches):
+    for batch, name in sorted(of_batch.items()):
         some = docs.where(F.col("batch") == batch).drop("batch")
         pairs = staged(dataset.generate_pairs(some, chunks, INSTRUCTIONS, c.fuzzy_threshold), "pairs")
         if not dry_run:
-            pairs.write.mode("append").json(c.output)
-            some.select("file_path").write.mode("append").json(asked_at)
+            pairs.write.mode("overwrite").json(f"{c.output}/batch={batch}-{name}")
+            some.select("file_path").write.mode("overwrite").json(f"{asked_at}/batch={batch}-{name}")
         found = pairs if found is None else found.unionByName(pairs)
-    if not dry_run:
-        found = spark.read.schema(found.schema).json(c.output)
+    if not dry_run and io.exists(spark, c.output):
+        found = io.qa_dataset(spark, c.output)
+    if found is None:
+        return False
     log.info("%s", dataset.generation_stats(n, found).first().asDict())
     return not found.isEmpty()
 
@@ -127,7 +141,7 @@ def ingest(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
     rows = staged(io.chunk_records(spark, c.input).where("content is not null").withColumn("all", F.lit(0)), "listed")
     base = (spark.table(quoted(c.collection)).agg(F.max("vec_id")).first()[0] if there and c.append else None)
     numbered = numbering.number_rows(rows, "all", ["at"], "vec_id").withColumn("vec_id", F.col("vec_id") + F.lit(0 if base is None else base + 1)).drop("all", "at")
-    points = models.embed(numbered, "content", "embedding", lambda: models.HashEmbedder(c.dim))
+    points = models.embed(numbered, "content", "embedding", lambda: EMBEDDERS[c.embedder](c.dim))
     if not dry_run:
         points = staged(points, "points")
         collection.add(points) if there and c.append else collection.write(points)

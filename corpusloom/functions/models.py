@@ -10,6 +10,7 @@ import hashlib
 import json
 import math
 import re
+import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -108,6 +109,49 @@ def embed(df: DataFrame, text_col: str, to: str = "embedding", factory: Callable
     return df.withColumn(to, of(F.col(text_col)))
 
 
+def embedded(df: DataFrame, text_col: str, to: str = "embedding", factory: Callable[[], Embedder] = HashEmbedder, rows_per_call: int = 32, retries: int = 3, dim: int | None = None) -> DataFrame:
+    """df with vectors of a text column, `error` where there is none, and `seconds`, a row's share of the call that gave it.
+
+    Texts go to the model rows_per_call at a time. A call that fails is tried again in halves, until a failing text is alone; that one is tried `retries` times, and then
+    has a null vector and the error's text. So has one whose vector isn't of `dim` components, if that is given. Columns of df called as these three are refused.
+    """
+    names = [to, "error", "seconds"]
+    if clash := set(names) & set(df.columns):
+        raise ValueError(f"there are columns called {sorted(clash)}")
+    at, size = df.columns.index(text_col), rows_per_call
+
+    def of(batches):
+        import pyarrow as pa
+
+        model = factory()
+
+        def called(texts: list[str], tries: int) -> list[tuple]:
+            began = time.perf_counter()
+            try:
+                vectors = model.encode(texts)
+                if len(vectors) != len(texts):
+                    raise ValueError(f"{len(vectors)} vectors for {len(texts)} texts")
+            except Exception as e:  # any failure of a model is its text's failure
+                if len(texts) > 1:
+                    half = len(texts) // 2
+                    return called(texts[:half], retries) + called(texts[half:], retries)
+                return called(texts, tries - 1) if tries > 1 else [(None, f"{type(e).__name__}: {e}", time.perf_counter() - began)]
+            each = (time.perf_counter() - began) / len(texts)
+            fits = lambda v: dim is None or len(v) == dim
+            return [([float(x) for x in v], None, each) if fits(v) else (None, f"ValueError: {len(v)} components instead of {dim}", each) for v in vectors]
+
+        for batch in batches:
+            texts = [x or "" for x in batch.column(at).to_pylist()]
+            rows = [r for i in range(0, len(texts), size) for r in called(texts[i : i + size], retries)]
+            columns = zip(zip(*rows, strict=True) if rows else ((), (), ()), (pa.list_(pa.float32()), pa.string(), pa.float64()), strict=True)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in columns)], names=[*batch.schema.names, *names])
+
+    from pyspark.sql.types import _parse_datatype_string
+
+    full = _parse_datatype_string(f"{to} array<float>, error string, seconds double")
+    return df.mapInArrow(of, type(full)([*df.schema.fields, *full.fields]))
+
+
 def pair_scores(query: Column, document: Column, factory: Callable[[], PairScorer] = OverlapScorer) -> Column:
     """Scores of (query, document) pairs."""
 

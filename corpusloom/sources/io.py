@@ -248,6 +248,8 @@ class Config:
     append: bool = False
     catalog: str = ""
     splitter: str = "words"
+    embedder: str = "hash"
+    questions_per_call: int = 1
     dim: int = 384
     batches: int = 8
     log_file: str = ""

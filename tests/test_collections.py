@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import cli
+from corpusloom.functions import models
 from corpusloom.operators import chunking
 from corpusloom.operators import dataset as D
 from corpusloom.operators.retrieval import Collection
@@ -230,3 +231,78 @@ def test_kept_columns_may_not_clash(spark):
     assert [tuple(r) for r in got] == [(1, 0, "a b", {}, {"k": 1}), (1, 1, "c", {}, {"k": 1}), (None, 0, "", {}, None)]
     with pytest.raises(ValueError, match="content"):
         chunking.chunk_rows(docs.withColumn("content", F.lit(1)), lambda t: [t], keep=("content",))
+
+
+# failures --------------------------------------------------------------------------------------------------------
+
+
+class Failing:
+    """Fails for texts with `bad` in them, whole calls of them too; gives short vectors for `short`."""
+
+    def __init__(self, dim=4):
+        self.dim = dim
+
+    def encode(self, texts):
+        import time
+
+        if any("bad" in t for t in texts):
+            raise TimeoutError("late")
+        time.sleep(sum("slow" in t for t in texts) * 0.05)
+        return [[1.0] * (1 if "short" in t else self.dim) for t in texts]
+
+
+def test_one_failing_text_costs_no_other(spark):
+    texts = [f"t{i}" for i in range(40)]
+    texts[7], texts[8], texts[31], texts[12], texts[20] = "bad one", "bad two", "short", "slow", None
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").coalesce(1)
+    for size in (1, 7, 64):
+        got = {r.id: r for r in models.embedded(df, "t", "v", Failing, rows_per_call=size, dim=4).collect()}
+        assert {i: r.error for i, r in got.items() if r.error} == {7: "TimeoutError: late", 8: "TimeoutError: late", 31: "ValueError: 1 components instead of 4"}
+        assert all((r.v is None) == bool(r.error) and r.seconds >= 0 for r in got.values()) and len(got) == 40
+        if size == 1:
+            assert got[12].seconds >= 0.05 > got[11].seconds
+    assert models.embedded(df.limit(0), "t", "v", Failing).collect() == []
+    with pytest.raises(ValueError, match="error"):
+        models.embedded(df.withColumn("error", F.lit(1)), "t", "v", Failing)
+
+
+def test_failing_questions_are_left_out_of_every_k(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(cli.EMBEDDERS, "failing", Failing)
+    name = f"made_{random.randrange(10**9)}"
+    Collection(name, 4).create(spark.createDataFrame([(i, [1.0] * 4, "p", "alpha beta") for i in range(6)], "vec_id long, embedding array<float>, file_path string, content string"))
+    qa = [{"question": q, "file_path": "p", "references": [{"text": "alpha beta", "chunk_numbers": [0]}]} for q in ("good", "bad", "slow one", "short")]
+    (tmp_path / "qa.json").write_text(json.dumps(qa))
+    assert cli.main(["evaluate", "--config", configured(tmp_path, input=f"{tmp_path}/qa.json", output=f"{tmp_path}/out", collection=name, dim=4, k_values="[1, 3]", embedder="failing")]) == 0
+    results = spark.read.json(f"{tmp_path}/out/results").collect()
+    assert sorted(r.k for r in results) == [1, 1, 3, 3] and len({r.question_id for r in results}) == 2
+    times = {r.question_id: r.embedding_time for r in results}
+    assert max(times.values()) >= 0.05 > min(times.values())
+    assert sorted((r.question, r.error) for r in spark.read.json(f"{tmp_path}/out/failed").collect()) == [("bad", "TimeoutError: late"), ("short", "ValueError: 1 components instead of 4")]
+    assert [(r.k, r.num_questions, r.passage_recall_avg) for r in spark.read.json(f"{tmp_path}/out/summary").orderBy("k").collect()] == [(1, 2, 1.0), (3, 2, 1.0)]
+    Collection(name, 4).drop(spark)
+
+
+def test_a_batch_that_broke_off_is_asked_again_and_not_doubled(spark, tmp_path, monkeypatch):
+    name = f"made_{random.randrange(10**9)}"
+    lines = [json.dumps({"content": f"Text number {i} is here. More of it.", "metadata": {"file_path": f"p{i}"}}) for i in range(6)]
+    (tmp_path / "c.jsonl").write_text("\n".join(lines))
+    settings = {"input": f"{tmp_path}/c.jsonl", "output": f"{tmp_path}/qa", "collection": name, "dim": 4, "batches": 2}
+    assert cli.main(["ingest", "--config", configured(tmp_path, **settings)]) == 0
+    writer, n = spark.range(1).write.__class__, []
+
+    def broken(self, path, *a, **b):
+        n.append(path)
+        if len(n) == 4:  # between the second batch's pairs and its documents
+            raise OSError("disk")
+        return plain(self, path, *a, **b)
+
+    plain = writer.json
+    with monkeypatch.context() as m:
+        m.setattr(writer, "json", broken)
+        with pytest.raises(OSError):
+            cli.main(["generate", "--config", configured(tmp_path, **settings, sample_documents=6)])
+    assert len(n) == 4
+    for size in (6, 6):
+        assert cli.main(["generate", "--config", configured(tmp_path, **settings, sample_documents=size)]) == 0
+        assert sorted(r.file_path for r in io.qa_dataset(spark, f"{tmp_path}/qa").collect()) == [f"p{i}" for i in range(6)]
+    Collection(name, 4).drop(spark)
