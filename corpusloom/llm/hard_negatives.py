@@ -114,16 +114,20 @@ def coded(vectors: DataFrame, books: dict[int, object]) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            codes, norms = [], []
-            for q in batch.column(2).to_pylist():
-                parts = _split(np.array([q], float))[0]
-                if (book := books.get(len(q))) is None:
-                    code, rest = np.zeros(len(parts), np.uint8), parts
-                else:
-                    code = np.argmin(((parts[:, None] - book) ** 2).sum(2), 1).astype(np.uint8)
-                    rest = parts - book[np.arange(len(parts)), code]
-                codes.append(code.tobytes())
-                norms.append(np.nextafter(np.sqrt((rest * rest).sum(1)).astype(np.float32), np.float32(np.inf)).tobytes())
+            codes, norms = [None] * batch.num_rows, [None] * batch.num_rows
+            sizes = np.diff(batch.column(2).offsets.to_numpy())
+            whole = batch.column(2).flatten().to_numpy().astype(float)
+            begins = np.cumsum(sizes) - sizes
+            for d in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == d)
+                rest = _split(whole[begins[at][:, None] + np.arange(d)])
+                code = np.zeros(rest.shape[:2], np.uint8)
+                if (book := books.get(d)) is not None:
+                    code = np.stack([_nearest(rest[:, s], book[s]) for s in range(len(book))], 1)
+                    rest = rest - book[np.arange(len(book)), code]
+                norm = np.nextafter(np.sqrt((rest * rest).sum(2)).astype(np.float32), np.float32(np.inf))
+                for i, c, n in zip(at.tolist(), code, norm, strict=True):
+                    codes[i], norms[i] = c.tobytes(), n.tobytes()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary()), pa.array(norms, pa.binary())], names=["vec_id", "label", "q", "codes", "norms"])
 
     return vectors.select("vec_id", "label", "q").mapInArrow(of, "vec_id long, label long, q array<long>, codes binary, norms binary").withColumn("row", F.monotonically_increasing_id())
