@@ -11,8 +11,9 @@ their own size in common, which bounds every step; all bounds are exact, and no
    first goes to the block of the column of its prefix that most rows have, a bounded number at a time, each time with
    the column's least row; the product of a block with itself accumulates overlaps, column block by column block, rarest first, and drops pairs
    whose overlap and columns to come stay below what their sizes ask for. Of the links only a forest that spans them is written.
-3. Columns that hold several components after that have their rows multiplied across components: the largest component's blocks with
-   those of all others, and these with one another. Again only forests become rows; links are joined into components.
+3. Rows of columns that hold several components after that are multiplied across components: the largest component's blocks with
+   those of all others, and these with one another; rows that hang together by many columns meet once for all of them, others column by
+   column, whichever is less. Again only forests become rows; links are joined into components.
 
 Nothing is broadcast but the ids whose sets are asked for, up to MAX_BROADCAST_IDS (near_dedup); no column's or group's rows meet in one task beyond a block.
 Rows are told apart by their place in their scan's partition, which is the same each time that a file is read.
@@ -218,6 +219,25 @@ def _first_units(bands: DataFrame) -> DataFrame:
     return dealt.unionByName(hubs).select("*", F.col("own").alias("lo"), F.col("own").alias("hi"), F.col("node").alias("root"))
 
 
+def _later_groups(rest: DataFrame) -> DataFrame:
+    """(group, node, root, size): rows of rest (band, node, root, size) so grouped that any two of one column and different roots share a group.
+
+    Rows that hang together by columns are a family. Near copies share many columns, and meet once, as a family, where all its blocks with one another
+    are fewer rows than those of all its columns; families that hang together loosely meet by column.
+    """
+    open_bands = staged(rest.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("values"), F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").drop("a", "b"), "bands")
+    mine = staged(rest.join(open_bands.select("band", "hub"), "band"), "mixed")
+    family = staged(components(mine.select(F.col("node").alias("a"), F.col("hub").alias("b"))), "families").withColumnRenamed("root", "family")
+    cost = lambda n, values: n * F.ceil(F.greatest(n / BLOCK, values / VALUES))  # noqa: E731  rows of all pairs of blocks
+    by_band = open_bands.join(family, open_bands["hub"] == family["node"]).groupBy("family").agg(F.sum(cost(F.col("n"), F.col("values"))).alias("by_band"))
+    rows = mine.groupBy("node").agg(F.first("root").alias("root"), F.first("size").alias("size")).join(family, "node")
+    whole = rows.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("values")).select("family", cost(F.col("n"), F.col("values")).alias("whole"))
+    way = staged(by_band.join(whole, "family").select("family", (F.col("whole") <= F.col("by_band")).alias("together")), "ways")
+    together = rows.join(way.where("together"), "family").select(F.concat(F.lit("family "), F.hex("family")).alias("group"), "node", "root", "size")
+    apart = mine.join(family, "node").join(way.where("not together"), "family").select(F.concat(F.lit("column "), F.col("band")).alias("group"), "node", "root", "size")
+    return together.unionByName(apart)
+
+
 def links_of(sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): a forest that spans the links between sets (node, size, shingles)."""
     bands = staged(_rare_values(sets, percent).join(sets.select("node", "size"), "node"), "prefixes")
@@ -225,8 +245,9 @@ def links_of(sets: DataFrame, percent: int) -> DataFrame:
     links = staged(_product(_first_units(bands).join(full, "node"), ["band", "lo", "hi"], percent), "links")
     roots = staged(components(links), "roots")
     rest = staged(bands.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
-    units = _blocks(rest, staged(_groups(rest, "band", VALUES), "groups"), "band")
-    return links.union(staged(_product(units.join(full, "node"), ["band", "lo", "hi"], percent), "links"))
+    later = staged(_later_groups(rest), "later")
+    units = _blocks(later, staged(_groups(later, "group", VALUES), "groups"), "group")
+    return links.union(staged(_product(units.join(full, "node"), ["group", "lo", "hi"], percent), "links"))
 
 
 def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
