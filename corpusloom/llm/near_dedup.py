@@ -416,12 +416,16 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     """The rows of docs, with all their columns, that represent their group: its smallest doc_id, once.
 
     Only the ids that go, or that several rows have, are joined with the texts; up to MAX_BROADCAST_IDS of them are sent
-    to the texts, more are joined by shuffle. Rows of one id and text stay once.
+    to the texts, more are joined by shuffle. Rows of one id and text stay once. Rows without a doc_id are told apart by their texts, and come after all
+    ids: of near copies without one a single row stays, and none where a group has an id. The columns may have any names.
     """
-    ids = near_duplicates(docs, words, percent).groupBy(F.col("doc_id").alias("__id")).agg(F.max("kept").alias("__keep"), (F.count(F.lit(1)) > 1).alias("__many"))
-    special = staged(ids.where("not __keep or __many"), "special-ids")
+    id_ = F.col("`doc_id`").cast("long")
+    # beyond all usual ids
+    own = F.coalesce(id_, F.xxhash64("`text`").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), own.alias("own"), F.col("`text`").alias("text"))
+    ids = near_duplicates(rows.select(F.col("own").alias("doc_id"), "text"), words, percent).groupBy(F.col("doc_id").alias("own")).agg(F.max("kept").alias("keep"), (F.count(F.lit(1)) > 1).alias("many"))
+    special = staged(ids.where("not keep or many"), "special-ids")
     small = special.count() <= MAX_BROADCAST_IDS
-    rows = docs.join(F.broadcast(special) if small else special, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
-    once = rows.where("__many is null").select(docs.columns)
-    many = rows.where("__keep and __many").select(docs.columns).dropDuplicates(["doc_id", "text"])
-    return once.unionByName(many)
+    joined = rows.join(F.broadcast(special) if small else special, "own", "left")
+    once, many = joined.where("many is null").select("row"), joined.where("keep and many").dropDuplicates(["own", "text"]).select("row")
+    return once.unionByName(many).select("row.*")
