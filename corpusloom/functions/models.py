@@ -56,16 +56,48 @@ class HashEmbedder:
         return out
 
 
+def longest_first(a: int, b: int, limit: int) -> tuple[int, int]:
+    """How much of a pair's sides stays when one after the other is taken from the longer one, of equal ones from the second, until both fit."""
+    over = a + b - limit
+    if over <= 0:
+        return a, b
+    if a >= b:
+        cut = min(over, a - b)
+        a, over = a - cut, over - cut
+    else:
+        cut = min(over, b - a)
+        b, over = b - cut, over - cut
+    return max(0, a - over // 2), max(0, b - (over + 1) // 2)
+
+
+def file_tokens(path: str) -> Callable[[str], list]:
+    """Token ids by a tokenizer file, without special tokens."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def normal_tokens(text: str) -> list[str]:
+    """The words of a normalised text, as T.tokens has them."""
+    return text.lower().translate({ord(c): None for c in T.PUNCTUATION}).split()
+
+
 class OverlapScorer:
-    """Jaccard similarity of the token sets of query and document, each cut at `limit` tokens."""
+    """Jaccard similarity of the token sets of query and document, the pair cut together to `limit` tokens, longest side first.
+
+    tokens: what divides a text, such as file_tokens of a model's own vocabulary.
+    """
 
-    def __init__(self, limit: int = 512) -> None:
-        self.limit = limit
+    def __init__(self, limit: int = 512, tokens: Callable[[str], list] = plain_tokens) -> None:
+        self.limit, self.tokens = limit, tokens
 
     def score(self, pairs: list[tuple[str, str]]) -> list[float]:
         out = []
         for q, d in pairs:
-            a, b = set(plain_tokens(q)[: self.limit]), set(plain_tokens(d)[: self.limit])
+            x, y = self.tokens(q), self.tokens(d)
+            n, m = longest_first(len(x), len(y), self.limit)
+            a, b = set(x[:n]), set(y[:m])
             out.append(len(a & b) / len(a | b) if a | b else 0.0)
         return out
 
@@ -152,14 +184,23 @@ def embedded(df: DataFrame, text_col: str, to: str = "embedding", factory: Calla
     return df.mapInArrow(of, type(full)([*df.schema.fields, *full.fields]))
 
 
-def pair_scores(query: Column, document: Column, factory: Callable[[], PairScorer] = OverlapScorer) -> Column:
-    """Scores of (query, document) pairs."""
+def pair_scores(query: Column, document: Column, factory: Callable[[], PairScorer] = OverlapScorer, characters: int = 1 << 20) -> Column:
+    """Scores of (query, document) pairs; a call of the model takes pairs of at most so many characters, or one."""
 
     @pandas_udf("double")
     def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = factory()
         for q, d in batches:
-            yield pd.Series(model.score([(a or "", b or "") for a, b in zip(q, d, strict=True)]))
+            scores, held, size = [], [], 0
+            for pair in zip(q, d, strict=True):
+                pair = tuple(x or "" for x in pair)
+                n = len(pair[0]) + len(pair[1])
+                if held and size + n > characters:
+                    scores += model.score(held)
+                    held, size = [], 0
+                held.append(pair)
+                size += n
+            yield pd.Series([*scores, *(model.score(held) if held else [])], dtype="float64")
 
     return of(query, document)
 

@@ -33,8 +33,8 @@ def words(c: Column | str) -> Column:
 
 
 def tokens(c: Column | str) -> Column:
-    """Words of the normalised text."""
-    return words(normalize(c))
+    """Words of the normalised text; white space need not be collapsed first."""
+    return words(F.translate(F.lower(col(c)), PUNCTUATION, ""))
 
 
 def word_count(c: Column | str) -> Column:

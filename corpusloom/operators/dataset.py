@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import models
 from ..functions import text as T
+from ..functions.structured import instructions, structured
 from .evaluation import fuzzy_pairs
 from .numbering import number_rows
 
-QA_REPLY = "oath STRING, question STRING, references ARRAY<STRING>"
+QA_REPLY = "oath STRING, question STRING NOT NULL, references ARRAY<STRING> NOT NULL"
 WHOLE, TEXTS = {"year": "int", "n_citations": "bigint"}, ("title", "journal", "content")
 #: The column of an open entry, that of payload keys without a column of their own, and columns that no payload key reaches.
 ENTRY, PAYLOAD, KEPT = "entry", "payload", ("vec_id", "embedding")
@@ -44,8 +45,14 @@ def context_of(hits: DataFrame, by: str, order: str, content: str) -> DataFrame:
 
 def parse_reply(reply: Column | str) -> Column:
     """The reply's question and references, fences stripped; null where it is no JSON object with both."""
-    parsed = F.from_json(T.strip_fence(reply), QA_REPLY)
-    return F.when(parsed["question"].isNotNull() & parsed["references"].isNotNull(), parsed)
+    return structured(reply, QA_REPLY)["value"]
+
+
+def ask_structured(df: DataFrame, prompt_col: str, ddl: str, factory: Callable, max_tokens: int = 1500, temperature: float = 0.1) -> DataFrame:
+    """df with `value`, the model's reply to a prompt and the schema's instructions as a struct, and `reason` where there is none: of the reply, or the model's error."""
+    asked = df.withColumn("full_prompt", F.concat(F.coalesce(F.col(prompt_col), F.lit("")), F.lit("\n\n" + instructions(ddl))))
+    replies = models.generate(asked, "full_prompt", "reply", factory, max_tokens, temperature).withColumn("parsed", structured("reply", ddl))
+    return replies.select(*df.columns, "reply", "parsed.value", F.coalesce("error", "parsed.reason").alias("reason"))
 
 
 def validate_references(pairs: DataFrame, chunks: DataFrame, threshold: float) -> DataFrame:

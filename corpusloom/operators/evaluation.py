@@ -21,6 +21,8 @@ METRICS = (
 )
 #: From this threshold on fuzzy pairs are looked for by the rare tokens of a reference.
 PREFIX_FROM = 0.5
+#: A unit of lexical search: documents and their distinct tokens, and references; documents scored at a time.
+DOCUMENTS_PER_BLOCK, TOKENS_PER_BLOCK, REFERENCES_PER_BLOCK, DOCUMENTS_AT_A_TIME = 8192, 2_000_000, 2048, 256
 #: Seconds that a question may carry.
 LATENCIES = ("embedding_time", "retrieval_time")
 
@@ -58,12 +60,87 @@ def fuzzy_pairs(references: DataFrame, documents: DataFrame, threshold: float, o
     return shares.where(F.col("share") >= threshold).select("reference_id", *on, "chunk_id", "share")
 
 
+def lexical_top_k(references: DataFrame, documents: DataFrame, k: int, floor: float) -> DataFrame:
+    """(reference_id, chunk_id, share, rank): each reference's k documents of the greatest share at or above the floor, ties by chunk_id. Exact.
+
+    references: (reference_id, text); documents: (chunk_id, content); the share is that of fuzzy_pairs. Both are dealt into blocks; a pair of blocks is one unit of
+    work, in which a sparse product of the documents' tokens and the references' weights is cut to the k best. So no pair becomes a row, no token, however
+    frequent, is a key of a shuffle, and neither side is broadcast or gathered. Rows without an id, and texts without tokens, take no part.
+    """
+    asked = references.select(F.col("reference_id").alias("id"), T.tokens("text").alias("t")).where(F.col("id").isNotNull() & (F.size("t") > 0))
+    held = staged(documents.select(F.col("chunk_id").alias("id"), F.array_distinct(T.tokens("content")).alias("t")).where(F.col("id").isNotNull() & (F.size("t") > 0)), "held")
+    size = held.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("t")), F.lit(0)).alias("tokens")).first()
+    blocks, asked_blocks = max(1, -(-size.n // DOCUMENTS_PER_BLOCK), -(-size.tokens // TOKENS_PER_BLOCK)), max(1, -(-asked.count() // REFERENCES_PER_BLOCK))
+    dealt = lambda n: F.pmod(F.xxhash64("id", F.size("t")), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = held.withColumn("db", dealt(blocks)).withColumn("rb", every(asked_blocks)).withColumn("asked", F.lit(False))
+    right = asked.withColumn("rb", dealt(asked_blocks)).withColumn("db", every(blocks)).withColumn("asked", F.lit(True))
+
+    def best(table):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        names, kinds = ["reference_id", "chunk_id", "share"], (pa.int64(), pa.int64(), pa.float64())
+        sides = []
+        for rows in (table.filter(table["asked"]), table.filter(pc.invert(table["asked"]))):
+            lists = rows["t"].combine_chunks()
+            sizes = np.asarray(pc.list_value_length(lists), np.int64)
+            sides.append((rows["id"].to_numpy(), sizes, np.repeat(np.arange(len(sizes)), sizes), lists.flatten()))
+        (refs, n, ref_of, words), (docs, _, doc_of, tokens) = sides
+        if not len(refs) or not len(docs):
+            return pa.table([pa.array([], kind) for kind in kinds], names=names)
+        # the references' weights by token: their places in `order` from begin to end
+        known = pc.unique(words)
+        word = np.asarray(pc.index_in(words, known))
+        order = np.argsort(word, kind="stable")
+        count = np.bincount(word, minlength=len(known))
+        begin = np.cumsum(count) - count
+        found = pc.index_in(tokens, known)
+        there = np.asarray(found.is_valid())
+        word, doc_of = np.asarray(found.fill_null(0), np.int64)[there], doc_of[there]
+        out = []
+        for start in range(0, len(docs), DOCUMENTS_AT_A_TIME):
+            a, b = np.searchsorted(doc_of, [start, start + DOCUMENTS_AT_A_TIME])
+            some, rows = word[a:b], min(DOCUMENTS_AT_A_TIME, len(docs) - start)
+            times = count[some]
+            at = np.repeat(begin[some] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
+            m = np.bincount(np.repeat(doc_of[a:b] - start, times) * len(refs) + ref_of[order[at]], minlength=rows * len(refs)).reshape(rows, len(refs))
+            fit = m.astype(float) / n >= floor
+            m = np.where(fit, m, 0)
+            if rows > k:  # all that tie with the k-th stay, and are ranked below
+                fit &= m >= np.partition(m, rows - k, 0)[rows - k]
+            doc, ref = np.nonzero(fit)
+            out.append((ref, docs[start + doc], m[doc, ref]))
+        ref, doc, m = (np.concatenate(c) for c in zip(*out, strict=True))
+        order = np.lexsort((doc, -m, ref))
+        ref, doc, m = ref[order], doc[order], m[order]
+        place = np.arange(len(ref)) - np.searchsorted(ref, ref)
+        ref, doc, m = ref[place < k], doc[place < k], m[place < k]
+        return pa.table([pa.array(c, kind) for c, kind in zip((refs[ref], doc, m.astype(float) / n[ref]), kinds, strict=True)], names=names)
+
+    hits = left.unionByName(right).withColumn("id", F.col("id").cast("long")).groupBy("db", "rb").applyInArrow(best, "reference_id long, chunk_id long, share double")
+    ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("reference_id").orderBy(F.desc("share"), F.asc("chunk_id"))).cast("long"))
+    return ranked.where(F.col("rank") <= k)
+
+
+def hit_tokens(hits: DataFrame) -> DataFrame:
+    """hits with `tokens`, those of their texts, unless they have them."""
+    return hits if "tokens" in hits.columns else hits.withColumn("tokens", T.tokens("content"))
+
+
 def matches(references: DataFrame, hits: DataFrame, threshold: float) -> DataFrame:
-    """(question_id, reference_id, chunk_id, rank) of hits that hold a reference of their question."""
-    # a question meets its own hits only: as many pairs as its references times its hits
-    asked = references.select("question_id", "reference_id", T.tokens("text").alias("asked"))
-    held = hits.select("question_id", "chunk_id", "rank", F.array_distinct(T.tokens("content")).alias("held"))
-    return asked.join(held, "question_id").where(T.is_fuzzy_match(F.col("asked"), F.col("held"), threshold)).select("question_id", "reference_id", "chunk_id", "rank").distinct()
+    """(question_id, reference_id, chunk_id, rank) of hits that hold a reference of their question.
+
+    A question meets its own hits only: as many pairs as its references times its hits. A hit's text is divided once, and a reference's
+    distinct tokens are looked up in it by their hashes.
+    """
+    tokens = references.select("question_id", "reference_id", T.tokens("text").alias("t")).where(F.size("t") > 0)
+    often = F.transform(F.array_distinct("t"), lambda x: F.struct(x, F.size(F.filter("t", lambda y: y == x)).alias("n")))
+    asked = tokens.select("question_id", "reference_id", F.size("t").alias("size"), F.map_from_entries(often).alias("tf"))
+    held = hit_tokens(hits).select("question_id", "chunk_id", "rank", F.array_distinct("tokens").alias("held"))
+    m = F.aggregate(F.array_intersect(F.map_keys("tf"), "held"), F.lit(0), lambda s, t: s + F.col("tf")[t])
+    return asked.join(held, "question_id").where(m.cast("double") / F.col("size").cast("double") >= threshold).select("question_id", "reference_id", "chunk_id", "rank").distinct()
 
 
 def at_each_k(ranked: DataFrame, ks: list[int]) -> DataFrame:
@@ -91,8 +168,9 @@ def token_metrics(questions: DataFrame, references: DataFrame, hits: DataFrame,
     f = at_each_k(found, ks).groupBy("question_id", "k").agg(F.count_distinct("reference_id").alias("f"))
     asked = references.select("question_id", F.explode(T.tokens("text")).alias("token")).groupBy("question_id", "token").agg(F.count(F.lit(1)).alias("n"))
     asked_size = asked.groupBy("question_id").agg(F.sum("n").alias("asked"))
-    per_hit = hits.select("question_id", "rank", F.explode(T.tokens("content")).alias("token")).groupBy("question_id", "rank", "token").agg(F.count(F.lit(1)).alias("n"))
-    size = at_each_k(hits.select("question_id", "rank", F.size(T.tokens("content")).alias("n")), ks).groupBy("question_id", "k").agg(F.sum("n").alias("held"))
+    hits = hit_tokens(hits)
+    per_hit = hits.select("question_id", "rank", F.explode("tokens").alias("token")).groupBy("question_id", "rank", "token").agg(F.count(F.lit(1)).alias("n"))
+    size = at_each_k(hits.select("question_id", "rank", F.size("tokens").alias("n")), ks).groupBy("question_id", "k").agg(F.sum("n").alias("held"))
     wanted = per_hit.join(asked.select("question_id", "token", F.col("n").alias("asked_n")), ["question_id", "token"])
     common = at_each_k(wanted, ks).groupBy("question_id", "k", "token", "asked_n").agg(F.sum("n").alias("n"))
     overlap = common.join(f, ["question_id", "k"]).groupBy("question_id", "k").agg(F.sum(F.least(F.col("asked_n"), F.col("f") * F.col("n"))).alias("both"))
@@ -128,10 +206,10 @@ def document_metrics(questions: DataFrame, hits: DataFrame, ks: list[int]) -> Da
 
 def evaluate(questions: DataFrame, references: DataFrame, hits: DataFrame, ks: list[int], threshold: float) -> DataFrame:
     """One row per question and k with all metrics, and the latencies that questions carry; questions with a non-null `error` column are
-    left out of every k (`failed` lists them). Hits and matches are written once, since every metric reads them."""
+    left out of every k (`failed` lists them). Hits, their texts divided into tokens, and matches are written once, since every metric reads them."""
     if "error" in questions.columns:
         questions = questions.where("error is null").drop("error")
-    hits = staged(hits.where(F.col("rank") <= max(ks)), "hits")
+    hits = staged(hit_tokens(hits.where(F.col("rank") <= max(ks))).drop("content"), "hits")
     found = staged(matches(references, hits, threshold), "found")
     asked = grid(questions.select("question_id"), ks).join(references.groupBy("question_id").agg(F.count_distinct("reference_id").alias("num_references")), "question_id", "left").fillna(0, ["num_references"])
     parts = [asked, document_metrics(questions, hits, ks), token_metrics(questions, references, hits, found, ks), passage_metrics(questions, references, hits, found, ks)]

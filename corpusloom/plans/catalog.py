@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import models
 from ..functions import text as T
+from ..functions.structured import structured
 from ..operators import chunking, dataset, evaluation, numbering, retrieval
 from ..session import staged, table
 from ..sources import io
@@ -422,8 +423,7 @@ def _lexical(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     """questions, references and hits of lexical retrieval: the share of a question's tokens that a document holds."""
     items, chunks = table(spark, sf_dir, "benchmark"), _chunks(spark, sf_dir)
     # shares are compared when rounded
-    shares = rounded(evaluation.fuzzy_pairs(_references(spark, sf_dir), chunks, FLOOR - 1e-6), "share").where(F.col("share") >= FLOOR)
-    best = retrieval.ranked(shares, "reference_id", [F.desc("share"), F.asc("chunk_id")], max(LEXICAL_KS))
+    best = rounded(evaluation.lexical_top_k(_references(spark, sf_dir), chunks, max(LEXICAL_KS), FLOOR - 1e-6), "share").where(F.col("share") >= FLOOR)
     hits = staged(best.join(chunks, "chunk_id").select(F.col("reference_id").alias("question_id"), "rank", "chunk_id", "path", "content", F.col("share").alias("score")), "lexical-hits")
     group = F.floor(F.col("item_id") / 2)
     questions = items.select(F.col("item_id").alias("question_id"), group.alias("g"), F.lit("src0").alias("gold_path"))
@@ -693,3 +693,55 @@ def llm_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     reply = F.when(kind == 0, F.concat(F.lit("Sure:\n```json\n"), body, F.lit("\n```\nDone"))).when(kind == 1, F.concat(F.lit("```\n"), body, F.lit("\n```"))).when(kind == 2, body).otherwise(F.lit('{"question": "half'))
     parsed = docs.select("doc_id", dataset.parse_reply(reply).alias("r"))
     return parsed.select("doc_id", "r.question", F.when(F.col("r").isNotNull(), F.size("r.references")).cast("long").alias("n_references"))
+
+
+@query("""WITH r AS (SELECT doc_id, doc_id % 8 AS kind, lang, source, n_chars FROM documents)
+SELECT doc_id, CASE WHEN kind IN (0, 1, 7) THEN lang END AS lang, CAST(CASE WHEN kind IN (0, 1, 7) THEN n_chars END AS BIGINT) AS n_chars, CAST(CASE kind WHEN 0 THEN 2 WHEN 1 THEN 0 WHEN 7 THEN 1 END AS BIGINT) AS n_parts,
+CASE kind WHEN 2 THEN 'no JSON' WHEN 3 THEN 'reply.n_chars is missing' WHEN 4 THEN 'reply.lang is not text' WHEN 5 THEN 'reply.parts[1].size is not a number' WHEN 6 THEN 'reply.parts is not a list' END AS reason FROM r""")
+def structured_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies with and without fences, checked against a schema of nested types: whole, empty, broken, lacking a key, of wrong types at several depths, with null for what may be null."""
+    ddl = "lang STRING NOT NULL, n_chars BIGINT NOT NULL, note STRING, parts ARRAY<STRUCT<name: STRING NOT NULL, size: DOUBLE NOT NULL>> NOT NULL"
+    docs, kind = _docs(spark, sf_dir), F.col("doc_id") % 8
+    n, good = F.col("n_chars").cast("string"), '{"name": "a", "size": 1.5}'
+    reply = lambda *parts: F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
+    head = ('{"lang": "', F.col("lang"), '", "n_chars": ', n)
+    text = (
+        F.when(kind == 0, reply("```json\n", *head, f', "parts": [{good}, {good}], "more": [1]}}', "\n```\nDone.")).when(kind == 1, reply(*head, ', "parts": []}')).when(kind == 2, reply(*head, ', "parts": ['))
+        .when(kind == 3, reply('{"lang": "', F.col("lang"), '", "n_chars": null, "parts": []}')).when(kind == 4, reply('{"lang": ', n, ', "n_chars": ', n, ', "parts": []}'))
+        .when(kind == 5, reply(*head, f', "parts": [{good}, {{"name": "b", "size": "large"}}]}}')).when(kind == 6, reply(*head, f', "parts": {good}}}')).otherwise(reply(*head, ', "note": null, "parts": [{"name": "c", "size": 2}]}'))
+    )
+    rows = docs.select("doc_id", structured(text, ddl).alias("r"))
+    return rows.select("doc_id", "r.value.lang", "r.value.n_chars", F.when(F.col("r.value").isNotNull(), F.size("r.value.parts")).cast("long").alias("n_parts"), "r.reason")
+
+
+_PAIR_LIMIT = 64
+
+
+@query(f"""WITH {_LEXICAL}, t AS (SELECT h.question_id, h.chunk_id, h.rank, {_tok("b.text")} AS q, {_tok("d.text")} AS d FROM hits h JOIN benchmark b ON b.item_id = h.question_id JOIN documents d ON d.doc_id = h.chunk_id),
+n AS (SELECT *, len(q) AS a, len(d) AS b FROM t),
+c AS (SELECT *, CASE WHEN a + b <= {_PAIR_LIMIT} THEN a WHEN b <= {_PAIR_LIMIT} // 2 THEN {_PAIR_LIMIT} - b WHEN a <= {_PAIR_LIMIT} // 2 THEN a ELSE {_PAIR_LIMIT} // 2 END AS x FROM n),
+s AS (SELECT question_id, chunk_id, rank, list_distinct(q[1:x]) AS q, list_distinct(d[1:least(b, {_PAIR_LIMIT} - x)]) AS d FROM c),
+p AS (SELECT question_id, chunk_id, rank, round(CAST(len(list_intersect(q, d)) AS DOUBLE) / CAST(len(list_distinct(list_concat(q, d))) AS DOUBLE), 6) + 0.0 AS rerank_score FROM s)
+SELECT question_id, chunk_id, rank, row_number() OVER (PARTITION BY question_id ORDER BY rerank_score DESC, rank) AS new_rank, rerank_score FROM p""")
+def rerank_truncated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Re-ranking by a pair scorer on the executors that takes query and document together up to a number of tokens, the longer side cut first."""
+    _, _, hits = _lexical(spark, sf_dir)
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
+    score = models.pair_scores(F.col("question"), F.col("content"), lambda: models.OverlapScorer(_PAIR_LIMIT, models.normal_tokens))
+    pairs = hits.join(asked, "question_id").withColumn("pair_score", F.round(score, 6) + F.lit(0.0))
+    return dataset.rerank(pairs, F.col("pair_score")).select("question_id", "chunk_id", "rank", "new_rank", "rerank_score")
+
+
+_SIX = ("token_f1", "passage_coverage", "passage_f1", "doc_coverage", "doc_precision", "retrieval_time")
+
+
+@query(f"""WITH {_LEXICAL}, {_TOKEN_METRICS}, {_PASSAGE_METRICS},
+dm AS (SELECT question_id, k, count(rank) AS got, count(*) FILTER (WHERE path = 'src0') AS own FROM g LEFT JOIN hits USING (question_id) WHERE rank <= k OR rank IS NULL GROUP BY 1, 2),
+dd AS (SELECT question_id, k, CASE WHEN coalesce(own, 0) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS doc_coverage, {_div("coalesce(own, 0)", "coalesce(got, 0)")} AS doc_precision, CAST(question_id % 7 AS DOUBLE) / 8 AS retrieval_time FROM g LEFT JOIN dm USING (question_id, k))
+SELECT k, count(*) AS num_questions, {", ".join(f"round(avg({m}), 6) + 0.0 AS {m}_avg" for m in _SIX)} FROM tm JOIN pm USING (question_id, k) JOIN dd USING (question_id, k) GROUP BY k""")
+def six_metric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison table of six metrics for each k; the times that questions carry are made of their ids."""
+    questions, references, hits = _lexical(spark, sf_dir)
+    timed = questions.withColumn("retrieval_time", (F.col("question_id") % 7).cast("double") / 8)
+    results = evaluation.evaluate(timed, references, hits, LEXICAL_KS, THRESHOLD)
+    return rounded(evaluation.summary(results, LEXICAL_KS, list(_SIX)), *(f"{m}_avg" for m in _SIX))
