@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, MapType, StringType, StructField, StructType
 
 from ..functions.text import TABLE, check_window
+from .sentences import Boundaries, joined
 
 Span = tuple[int, int]
 #: What ends sentences and paragraphs, names of environments, and what sentence splitting must not cut
@@ -157,8 +158,11 @@ def preserved_spans(text: str) -> list[Span]:
     return merge_spans(environments + [t for t in table_spans(text) if not any(s <= t[0] and t[1] <= e for s, e in environments)])
 
 
-def protected_sentences(text: str) -> list[str]:
-    """Sentences, trimmed, never cut inside formulas and references; masks end in a sign of their own, so none is part of another."""
+def protected_sentences(text: str, learned: Boundaries | None = None) -> list[str]:
+    """Sentences, trimmed, never cut inside formulas and references; masks end in a sign of their own, so none is part of another.
+
+    With `learned` (sentences.learn), stops of abbreviations, initials and numbers end no sentence either.
+    """
     kept: list[str] = []
 
     def mask(m: re.Match) -> str:
@@ -167,24 +171,25 @@ def protected_sentences(text: str) -> list[str]:
 
     masked = PROTECTED.sub(mask, text)
     restore = lambda s: re.sub("\x00(\\d+)\x01", lambda m: kept[int(m[1])], s)
-    return [restore(s.strip()) for s in split_sentences(masked)]
+    pieces = split_sentences(masked)
+    return [restore(s.strip()) for s in (joined(pieces, learned) if learned else pieces)]
 
 
-def structured_chunks(text: str) -> list[str]:
+def structured_chunks(text: str, learned: Boundaries | None = None) -> list[str]:
     """Sentences of what lies between preserved spans, and each span whole, in order."""
     out, at = [], 0
     for start, end in preserved_spans(text):
-        out += protected_sentences(text[at:start])
+        out += protected_sentences(text[at:start], learned)
         out.append(text[start:end])
         at = end
-    return out + protected_sentences(text[at:])
+    return out + protected_sentences(text[at:], learned)
 
 
-def section_chunks(text: str, size: int) -> list[Section]:
+def section_chunks(text: str, size: int, learned: Boundaries | None = None) -> list[Section]:
     """An extension: sections, and those over the size cut into structured chunks packed up to it, with their headings."""
     out = []
     for s in header_sections(text):
-        parts = [s.content] if len(s.content.split()) <= size else _packed(structured_chunks(s.content), " ", size)
+        parts = [s.content] if len(s.content.split()) <= size else _packed(structured_chunks(s.content, learned), " ", size)
         out += [Section(p, s.headers) for p in parts]
     return out
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import models
 from ..functions import text as T
 from ..functions.structured import structured
-from ..operators import chunking, dataset, evaluation, numbering, retrieval
+from ..operators import chunking, dataset, evaluation, numbering, retrieval, sentences
 from ..session import staged, table
 from ..sources import io
 
@@ -745,3 +745,15 @@ def six_metric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = questions.withColumn("retrieval_time", (F.col("question_id") % 7).cast("double") / 8)
     results = evaluation.evaluate(timed, references, hits, LEXICAL_KS, THRESHOLD)
     return rounded(evaluation.summary(results, LEXICAL_KS, list(_SIX)), *(f"{m}_avg" for m in _SIX))
+
+
+@query(f"""WITH w AS (SELECT unnest(list_filter(list_transform({_words("text")}, lambda w: regexp_replace(w, '^[^\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}.]+$', '', 'g')), lambda w: regexp_matches(w, '[\\p{{L}}\\p{{N}}]'))) AS word FROM documents),
+k AS (SELECT regexp_replace(regexp_replace(lower(word), '[.]+$', ''), '^[-+]?\\p{{N}}[\\p{{N}}.,]*$', '#') AS kind, word LIKE '%.' AS stopped FROM w),
+c AS (SELECT kind, count(*) FILTER (WHERE stopped) AS with_stop, count(*) FILTER (WHERE NOT stopped) AS without_stop FROM k GROUP BY 1),
+t AS (SELECT CAST(sum(with_stop) AS DOUBLE) / CAST(sum(with_stop + without_stop) AS DOUBLE) AS p FROM c),
+s AS (SELECT kind, with_stop, without_stop, p, length(replace(kind, '.', '')) AS letters, length(kind) - length(replace(kind, '.', '')) + 1 AS stops FROM c, t WHERE with_stop > 0 AND regexp_matches(kind, '\\p{{L}}'))
+SELECT kind, with_stop, without_stop, round(2.0 * (with_stop * ln({sentences.STOPPED}::DOUBLE) + without_stop * ln(1.0 - {sentences.STOPPED}::DOUBLE) - with_stop * ln(p) - without_stop * ln(1.0 - p)) * exp(-letters) * stops * pow(CAST(letters AS DOUBLE), -without_stop), 4) + 0.0 AS score FROM s""")
+def abbreviation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every word that has a full stop somewhere: how often with and without, and how likely it is an abbreviation."""
+    scores = sentences.abbreviation_scores(staged(sentences.counted(_docs(spark, sf_dir)), "word-pairs"))
+    return scores.withColumn("score", F.round("score", 4) + F.lit(0.0))
