@@ -150,8 +150,10 @@ def ingest(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
 
 
 def index(spark: SparkSession, c: io.Config, dry_run: bool) -> bool:
-    """A keyword index of a collection by path, as a sorted copy with Bloom filters."""
-    if not dry_run:
+    """A keyword index of a collection by path: of its own, if `output` names the collection, which lookups then use; or a sorted copy with Bloom filters."""
+    if not dry_run and c.output == c.collection:
+        Collection(c.collection, c.dim).index(spark)
+    elif not dry_run:
         io.sorted_by_path(spark.table(quoted(c.collection)), c.output)
     return True
 

@@ -6,6 +6,7 @@ its k best, and these are ranked per query. Neither side is broadcast or gathere
 
 from __future__ import annotations
 
+import urllib.parse
 import uuid
 from dataclasses import dataclass
 
@@ -251,6 +252,36 @@ class Collection:
     def search(self, points: DataFrame, queries: DataFrame, k: int = 10, floor: float | None = 0.3, skip_own: bool = False) -> DataFrame:
         return cosine_top_k(points, queries, k, floor, self.id_col, self.vector_col, skip_own)
 
+    def index(self, spark: SparkSession, field: str = "file_path") -> None:
+        """A keyword index of the version that the table shows, beside its files: a copy in ranges of the field, sorted, and a table of the least and the greatest value of each
+        of its files. It goes when its version goes. What is null has no entry."""
+        at = self._index_at(spark, field)
+        rows = spark.table(quoted(self.name)).where(F.col(field).isNotNull())
+        rows.repartitionByRange(field, self.id_col).sortWithinPartitions(field).write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{field}", "true").parquet(f"{at}/rows")
+        ends = spark.read.parquet(f"{at}/rows").groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(field).alias("least"), F.max(field).alias("most"))
+        ends.write.mode("overwrite").parquet(f"{at}/files")  # written last: an index without it is none
+
+    def _index_at(self, spark: SparkSession, field: str) -> str:
+        return f"{self.location(spark).rstrip('/')}/_by_{field}"
+
+    def indexed(self, spark: SparkSession, field: str) -> bool:
+        """Whether the version that the table shows has an index of the field."""
+        return any(c.rstrip("/").endswith("/files") for c in children(spark, self._index_at(spark, field)))
+
+    def lookup(self, spark: SparkSession, field: str, values: list) -> DataFrame:
+        """Points whose field is one of some values. With an index only the files that may hold one are opened; without, the table is scanned."""
+        points = spark.table(quoted(self.name))
+        found = F.col(field).isin(list(values))
+        if not self.indexed(spark, field):
+            return points.where(found)
+        at = self._index_at(spark, field)
+        may = F.lit(False)
+        for value in values:
+            may = may | (F.col("least") <= F.lit(value)) & (F.col("most") >= F.lit(value))
+        # as many files as values, and one more for each value that spans several
+        files = sorted(urllib.parse.unquote(r.file) for r in spark.read.parquet(f"{at}/files").where(may).select("file").collect())
+        return spark.read.schema(points.schema).parquet(*files).where(found) if files else points.limit(0)
+
     def keyword(self, points: DataFrame, field: str, value: object) -> DataFrame:
         """Points whose payload field equals a value; the comparison is pushed to the scan."""
         return points.where(F.col(field) == F.lit(value))

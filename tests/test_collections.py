@@ -133,6 +133,35 @@ def test_versions_before_the_last_are_deleted(spark, collection):
         collection.create(spark.table(collection.name))
 
 
+def test_an_index_opens_only_the_files_that_it_needs(spark, tmp_path, monkeypatch):
+    name = f"points_{random.randrange(10**9)}"
+    c = Collection(name, 2)
+    rows = [(i, [1.0, 0.0], None if i % 50 == 7 else f"dir {i % 40}/%{i % 40}.txt", f"text {i}") for i in range(2000)]
+    c.create(spark.createDataFrame(rows, "vec_id long, embedding array<float>, file_path string, content string"))
+    want = lambda paths: sorted(r[0] for r in rows if r[2] in paths)
+    paths = ["dir 3/%3.txt", "dir 31/%31.txt", "nowhere"]
+    scanned = c.lookup(spark, "file_path", paths)
+    assert not c.indexed(spark, "file_path") and sorted(r.vec_id for r in scanned.collect()) == want(paths)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "10")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert cli.main(["index", "--config", configured(tmp_path, input="x", output=name, collection=name, dim=2)]) == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert c.indexed(spark, "file_path") and spark.table(name).count() == 2000  # the index is no part of the table
+    for some in (paths, paths[:1], ["nowhere", "zzz"], [], [paths[0]] * 2):
+        got = c.lookup(spark, "file_path", some)
+        assert sorted(r.vec_id for r in got.collect()) == want(some) and len(got.inputFiles()) <= 2 * len(set(some))
+    everything = len(spark.read.parquet(f"{c.location(spark)}/_by_file_path/rows").inputFiles())
+    assert everything >= 8
+    c.add(spark.createDataFrame([(5000, [1.0, 0.0], paths[0], "new")], "vec_id long, embedding array<float>, file_path string, content string"))
+    assert not c.indexed(spark, "file_path")  # another version: the old index is no longer asked
+    assert sorted(r.vec_id for r in c.lookup(spark, "file_path", paths).collect()) == [*want(paths), 5000]
+    c.drop(spark)
+
+
 NAMES = ["plain.txt", "a b.txt", "100%.txt", "50%25.txt", "größe 漢字.txt", "deep/er/x#y?.txt", "plus+and&.txt"]
 
 
