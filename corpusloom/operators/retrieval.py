@@ -16,7 +16,8 @@ from pyspark.sql.types import StructType
 
 from ..session import children, delete, quoted
 
-VECTORS_PER_BLOCK, QUERIES_PER_BLOCK = 8192, 256
+#: Vectors and queries of a block: a vector is shuffled once for each block of queries; and queries whose scores are held at a time.
+VECTORS_PER_BLOCK, QUERIES_PER_BLOCK, AT_A_TIME = 8192, 4096, 128
 #: Scores are ranked and reported at this many decimals, ties by id.
 DECIMALS = 6
 
@@ -46,26 +47,28 @@ def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, floor: float |
         import numpy as np
         import pandas as pd
 
-        empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        out = [empty]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        unit = lambda m: m / np.where((n := np.sqrt((m * m).sum(1, keepdims=True))) > 0, n, 1.0)
         for _, same in frame.groupby(frame["v"].map(len)):
             asked, stored = same[same["asked"]], same[~same["asked"]]
             if not len(asked) or not len(stored):
                 continue
-            a, b = np.array(asked["v"].tolist()), np.array(stored["v"].tolist())
-            unit = lambda m: m / np.where((n := np.sqrt((m * m).sum(1, keepdims=True))) > 0, n, 1.0)
-            scores = np.round(unit(a) @ unit(b).T, DECIMALS) + 0.0
-            ids = stored["id"].to_numpy()
-            for query, row in zip(asked["id"], scores, strict=True):
-                fit = np.ones(len(ids), bool) if floor is None else row >= floor
+            b, ids, queries = unit(np.array(stored["v"].tolist())).T, stored["id"].to_numpy(np.int64), asked["id"].to_numpy(np.int64)
+            for i in range(0, len(asked), AT_A_TIME):
+                own = queries[i : i + AT_A_TIME]
+                scores = np.round(unit(np.array(asked["v"].tolist()[i : i + AT_A_TIME])) @ b, DECIMALS) + 0.0
+                fit = np.ones(scores.shape, bool) if floor is None else scores >= floor
                 if skip_own:
-                    fit &= ids != query
-                at = np.flatnonzero(fit)
-                if len(at) > k:  # all that tie with the k-th stay, and are ranked below
-                    at = at[row[at] >= np.partition(row[at], -k)[-k]]
-                at = at[np.lexsort((ids[at], -row[at]))][:k]
-                out.append(pd.DataFrame({"query_id": query, "id": ids[at], "score": row[at]}))
-        return pd.concat(out)
+                    fit &= ids != own[:, None]
+                if len(ids) > k:  # all that tie with the k-th stay, and are ranked below
+                    held = np.where(fit, scores, -np.inf)
+                    fit &= held >= np.partition(held, len(ids) - k, 1)[:, len(ids) - k, None]
+                q, at = np.nonzero(fit)
+                order = np.lexsort((ids[at], -scores[q, at], q))
+                q, at = q[order], at[order]
+                first = np.arange(len(q)) - np.searchsorted(q, q) < k
+                found.append((own[q[first]], ids[at[first]], scores[q[first], at[first]]))
+        return pd.DataFrame(dict(zip(("query_id", "id", "score"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
 
     hits = left.unionByName(right).groupBy("vb", "qb").applyInPandas(best, "query_id long, id long, score double")
     return ranked(hits, "query_id", [F.desc("score"), F.asc("id")], k).select("query_id", "rank", F.col("id").alias(id_col), "score")
@@ -113,7 +116,7 @@ def hamming_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         import pandas as pd
 
         asked, stored = frame[frame["asked"]], frame[~frame["asked"]]
-        out = [pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "distance")})]
+        found = [(np.zeros(0, np.int64),) * 3]
         width = max([len(b) for b in frame["bits"]], default=0)
         packed = lambda rows: np.array([[*b, *(0,) * (width - len(b))] for b in rows["bits"]], np.int64).reshape(len(rows), width)
         bits, ids = packed(stored), stored["vec_id"].to_numpy(np.int64)
@@ -123,8 +126,8 @@ def hamming_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             if len(at) > k:  # all that tie with the k-th stay, and are ranked below
                 at = at[distance[at] <= np.partition(distance[at], k - 1)[k - 1]]
             at = at[np.lexsort((ids[at], distance[at]))][:k]
-            out.append(pd.DataFrame({"query_id": query, "vec_id": ids[at], "distance": distance[at]}))
-        return pd.concat(out)
+            found.append((np.full(len(at), query), ids[at], distance[at]))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "distance"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
 
     pairs = left.unionByName(right).groupBy("vb", "qb").applyInPandas(nearest, "query_id long, vec_id long, distance long")
     return ranked(pairs, "query_id", [F.asc("distance"), F.asc("vec_id")], k)
