@@ -294,11 +294,44 @@ def document_scan_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.usable_documents(rows).select("doc_id", "file_path")
 
 
-@query()
+def _recursive_sql(text: str, size: int, step: int) -> str:
+    """The recursive splitter: paragraphs packed in order (one row of a recursion each), groups over the size cut into sentences packed the same way, single sentences into windows of words."""
+    packed = lambda name, source: f"""{name} AS (SELECT doc_id, g, i, 1 AS c, w AS held FROM {source} WHERE i = 1
+  UNION ALL SELECT p.doc_id, p.g, p.i, CASE WHEN held + p.w > {size} THEN c + 1 ELSE c END, CASE WHEN held + p.w > {size} THEN p.w ELSE held + p.w END
+  FROM {name} q JOIN {source} p ON p.doc_id = q.doc_id AND p.g = q.g AND p.i = q.i + 1)"""
+    return f"""WITH RECURSIVE t AS (SELECT doc_id, {text} AS text, len({_words(text)}) AS w FROM documents WHERE text IS NOT NULL),
+par AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\n{_WS}*\\n'), lambda x: regexp_matches(x, '{_NOT_WS}')) AS ps FROM t WHERE w > {size}),
+p AS (SELECT doc_id, 0 AS g, i, ps[i] AS text, len({_words("ps[i]")}) AS w FROM (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM par WHERE len(ps) > 1)),
+{packed("pg", "p")},
+grp AS (SELECT doc_id, pg.c AS g, string_agg(text, chr(10) || chr(10) ORDER BY i) AS text, CAST(sum(w) AS BIGINT) AS w FROM pg JOIN p USING (doc_id, i) GROUP BY 1, 2
+  UNION ALL SELECT doc_id, 1, text, w FROM t WHERE doc_id NOT IN (SELECT doc_id FROM p)),
+ss AS (SELECT doc_id, g, text, list_filter(regexp_extract_all(text, '(?s).*?[.!?]{_WS}+|.+$'), lambda x: regexp_matches(x, '{_NOT_WS}')) AS ss FROM grp WHERE w > {size}),
+s AS (SELECT doc_id, g, i, ss[i] AS text, len({_words("ss[i]")}) AS w FROM (SELECT doc_id, g, ss, unnest(range(1, len(ss) + 1)) AS i FROM ss WHERE len(ss) > 1)),
+{packed("sg", "s")},
+one AS (SELECT doc_id, g, {_words("text")} AS ws FROM ss WHERE len(ss) <= 1),
+chunk AS (SELECT doc_id, g, 0 AS c, text AS content FROM grp WHERE w <= {size}
+  UNION ALL SELECT doc_id, g, c, string_agg(text, '' ORDER BY i) FROM sg JOIN s USING (doc_id, g, i) GROUP BY 1, 2, 3
+  UNION ALL SELECT doc_id, g, i, array_to_string(ws[i + 1 : i + {size}], ' ') FROM (SELECT doc_id, g, ws, unnest(range(0, len(ws), {step})) AS i FROM one))
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY g, c) - 1 AS chunk_no, content FROM chunk"""
+
+
+@query(_recursive_sql("text", 100, 80))
 def recursive_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunk_rows(_docs(spark, sf_dir), lambda t: chunking.recursive_chunks(t, 100, 20)).drop("headers")
 
 
+#: Texts whose lines are paragraphs, some of one long sentence.
+_PARAGRAPHS = "regexp_replace(replace(replace(text, chr(10), chr(10) || ' ' || chr(10) || chr(10)), '! ', '!' || chr(10) || chr(10)), '[.] ([aeiou])', ' \\1', 'g')"
+
+
+@query(_recursive_sql(_PARAGRAPHS, 40, 30))
+def recursive_paragraph_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several paragraphs of several sentences each, packed and cut at all three levels."""
+    parted = F.replace(F.replace("text", F.lit("\n"), F.lit("\n \n\n")), F.lit("! "), F.lit("!\n\n"))
+    docs = _docs(spark, sf_dir).withColumn("text", F.regexp_replace(parted, "[.] ([aeiou])", " $1"))
+    return chunking.chunk_rows(docs, lambda t: chunking.recursive_chunks(t, 40, 10)).drop("headers")
+
+
 class Sql(str):
     """An expression that Spark and DuckDB read alike; plain strings beside it are literals."""
 
