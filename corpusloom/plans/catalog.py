@@ -368,6 +368,19 @@ def header_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunk_rows(headed, chunking.header_sections).withColumn("headers", F.to_json("headers"))
 
 
+#: Headings of several levels, upwards and downwards, with text before the first, and a fence that holds what looks like one.
+_NESTED = ["intro\n# ", Sql("source"), "\nbody ", Sql("lang"), "\n### deep\n```\n# no heading\n~~~\n```\n## ", Sql("lang"), " #\n", Sql("translate(text, '#`~', '')")]
+
+
+@query(f"""SELECT doc_id, CAST(0 AS BIGINT) AS chunk_no, 'intro' AS content, '{{}}' AS headers FROM documents
+UNION ALL SELECT doc_id, 1, {_glued_sql(["# ", *_NESTED[1:4]])}, '{{"1":"' || source || '"}}' FROM documents
+UNION ALL SELECT doc_id, 2, {_glued_sql(["### deep\n```\n# no heading\n~~~\n```"])}, '{{"1":"' || source || '","3":"deep"}}' FROM documents
+UNION ALL SELECT doc_id, 3, regexp_replace({_glued_sql(["## ", *_NESTED[5:]])}, '{_WS}+$', ''), '{{"1":"' || source || '","2":"' || lang || '"}}' FROM documents""")
+def header_sections_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    headed = _docs(spark, sf_dir).withColumn("text", _glued(_NESTED))
+    return chunking.chunk_rows(headed, chunking.header_sections).withColumn("headers", F.to_json("headers"))
+
+
 #: A nested environment with another's marks inside, one that is never closed, and two tables: after a line between bars that is empty, and without a last newline.
 _ENVIRONMENT = ["\\begin{", Sql("lang"), "}", Sql("doc_id"), "\\begin{", Sql("lang"), "} a \\begin{b} \\end{", Sql("lang"), "}\\end{", Sql("lang"), "}"]
 _TABLE_1 = ["| a", Sql("doc_id"), " |\n| b |\n"]
