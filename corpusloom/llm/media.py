@@ -36,6 +36,8 @@ UNIT, PAD, WIDTH = 576, 255, 24
 LEAST, MASK_BITS, MOST = 512, 11, 8192
 #: Bits of the filter: for each digest, at least (2 MB) and at most (64 MB); and how many are set for a digest.
 BITS_EACH, LEAST_BITS, MOST_BITS, FILTER_HASHES = 16, 1 << 24, 1 << 29, 4
+#: Words of the filter that are put together at a time.
+PAGE = 1 << 12
 DIGEST = 16
 MAGIC = b"CLM1"
 STORED = "row long, doc_id long, n_bytes long, recipe binary, own binary, shared array<int>, digest binary, samples binary"
@@ -138,18 +140,29 @@ def shared_filter(docs: DataFrame):
     def bits(batches: Iterable) -> Iterator:
         import pyarrow as pa
 
-        own = np.zeros(size, bool)
         for batch in batches:
-            for digest in batch.column(0).to_pylist():
-                own[list(Filter.places(digest, size))] = True
-        words = np.packbits(own, bitorder="little").view("<i8")
-        at = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(words[at], pa.int64())], names=["word", "bits"])
-
-    # at most MOST_BITS / 64 rows, whatever the table's size
-    rows = many.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+            if not batch.num_rows:
+                continue
+            at = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4").reshape(batch.num_rows, -1)[:, :FILTER_HASHES].astype(np.int64).ravel() % size
+            at.sort()
+            word, begin = np.unique(at >> 6, return_index=True)
+            held = np.bitwise_or.reduceat(np.left_shift(np.uint64(1), (at & 63).astype(np.uint64)), begin)
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(held.view(np.int64), pa.int64())], names=["word", "bits"])
+
+    def page(table):
+        import pyarrow as pa
+
+        word = table["word"].to_numpy()
+        words = np.zeros(PAGE, np.int64)
+        words[word % PAGE] = table["bits"].to_numpy()
+        return pa.table([pa.array([int(word[0]) // PAGE], pa.int64()), pa.array([words.tobytes()], pa.binary())], names=["page", "words"])
+
+    # a task holds the bits of a batch, and a page; the driver gets the filter's own bytes, at most MOST_BITS / 8
+    held = many.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    pages = held.withColumn("page", F.floor(F.col("word") / PAGE)).groupBy("page").applyInArrow(page, "page long, words binary").toArrow()
     words = np.zeros(size // 64, np.int64)
-    words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    for number, own in zip(pages.column("page").to_pylist(), pages.column("words").to_pylist(), strict=True):
+        words[number * PAGE : (number + 1) * PAGE] = np.frombuffer(own, np.int64)[: len(words) - number * PAGE]
     return words
 
 
@@ -180,6 +193,7 @@ def store(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=[c.split()[0] for c in STORED.split(", ")])
 
     written = staged(_texts(docs).mapInArrow(media, STORED), "media")
+    sent.unpersist()
     table = staged(written.where("digest is not null").select("digest", "samples").dropDuplicates(["digest"]), "chunks")
     return written.where("digest is null").drop("digest", "samples"), table
 

@@ -496,6 +496,23 @@ def test_media(odd, docs, none):
     assert media.media_table(none).collect() == []
 
 
+@pytest.mark.parametrize("least, most, page", [(1 << 10, 1 << 10, 4), (1 << 8, 1 << 12, 1 << 12), (1 << 14, 1 << 20, 16)])
+def test_filter_of_any_size(odd, docs, none, monkeypatch, least, most, page):
+    """At its greatest size and below it: just the bits of the digests that several places hold, put together page by page; media are the same."""
+    want = sorted(map(str, media.media_table(docs).collect()))
+    for name, value in {"LEAST_BITS": least, "MOST_BITS": most, "PAGE": page}.items():
+        monkeypatch.setattr(media, name, value)
+    for df in (docs, odd, none):
+        count = defaultdict(int)
+        for _, t in texts_of(df):
+            for d, _ in media.chunks(media.payload_of(t)[1]):
+                count[d] += 1
+        words = media.shared_filter(df)
+        bits = {p for d, n in count.items() if n > 1 for p in media.Filter.places(d, 64 * len(words))}
+        assert {int(w) * 64 + b for w in np.flatnonzero(words) for b in range(64) if int(words.view(np.uint64)[w]) >> b & 1} == bits and least <= 64 * len(words) <= most
+    assert sorted(map(str, media.media_table(docs).collect())) == want
+
+
 def test_shared_chunks_are_stored_once_and_damage_is_found(spark, odd):
     stored, table = media.store(odd)
     digests = [r.digest for r in table.collect()]
