@@ -99,6 +99,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let go of what finished steps have left: plans that Python no longer holds, and, once the JVM has collected them, by Spark's cleaner
-    their shuffle files and broadcasts on all executors. Spark itself does so every half an hour; a job of many steps does well to do so between them."""
+    their shuffle files and broadcasts on all executors. Spark itself does so every half an hour; a job of many steps does well to do so between them.
+    Where the driver's JVM is out of reach (Spark Connect) only Python's part is done."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    with contextlib.suppress(AttributeError, NotImplementedError):
+        spark.sparkContext._jvm.System.gc()
