@@ -21,8 +21,8 @@ METRICS = (
 )
 #: From this threshold on fuzzy pairs are looked for by the rare tokens of a reference.
 PREFIX_FROM = 0.5
-#: A unit of lexical search: documents and their distinct tokens, and references; documents scored at a time.
-DOCUMENTS_PER_BLOCK, TOKENS_PER_BLOCK, REFERENCES_PER_BLOCK, DOCUMENTS_AT_A_TIME = 8192, 2_000_000, 2048, 256
+#: A unit of work on pairs of texts: documents, references, and tokens of either; documents and common tokens met at a time. Overlaps, of which every one is a row, take fewer references.
+DOCUMENTS_PER_BLOCK, TOKENS_PER_BLOCK, REFERENCES_PER_BLOCK, OVERLAPS_PER_BLOCK, DOCUMENTS_AT_A_TIME, COMMON_AT_A_TIME = 2048, 500_000, 2048, 512, 256, 500_000
 #: Seconds that a question may carry.
 LATENCIES = ("embedding_time", "retrieval_time")
 
@@ -60,6 +60,64 @@ def fuzzy_pairs(references: DataFrame, documents: DataFrame, threshold: float, o
     return shares.where(F.col("share") >= threshold).select("reference_id", *on, "chunk_id", "share")
 
 
+def block_pairs(references: DataFrame, documents: DataFrame, per_block: int, by: list[str]) -> DataFrame:
+    """Both (id, n, words: n tokens between spaces), dealt by the columns `by` into blocks db and rb, with a row for each block of the other side."""
+    sizes = [df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first() for df in (references, documents)]
+    asked_blocks, blocks = (max(1, -(-size.rows // most), -(-size.tokens // TOKENS_PER_BLOCK)) for size, most in zip(sizes, (per_block, DOCUMENTS_PER_BLOCK), strict=True))
+    dealt = lambda n: F.pmod(F.xxhash64(*by), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = documents.withColumn("db", dealt(blocks)).withColumn("rb", every(asked_blocks)).withColumn("asked", F.lit(False))
+    right = references.withColumn("rb", dealt(asked_blocks)).withColumn("db", every(blocks)).withColumn("asked", F.lit(True))
+    return left.unionByName(right).withColumn("id", F.col("id").cast("long"))
+
+
+def block_product(table, by_id: bool, least: bool) -> tuple:
+    """(ids of references, their sizes, ids of documents, slices) of a pair of blocks: a slice has its first document's place and a matrix, documents by references.
+
+    Its cells sum over the common tokens the reference's counts, or the lesser of both counts. With by_id rows of one id, null included, are one text. A slice ends
+    after DOCUMENTS_AT_A_TIME, or where COMMON_AT_A_TIME pairs of a document's and a reference's token are met, so that what is held doesn't depend on how frequent tokens are.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sides = []
+    for rows in (table.filter(table["asked"]), table.filter(pc.invert(table["asked"]))):
+        ids, lists = rows["id"].combine_chunks(), pc.split_pattern(rows["words"].combine_chunks(), " ")
+        text = np.arange(len(ids))
+        if by_id:
+            coded = ids.dictionary_encode("encode")
+            ids, text = coded.dictionary, np.asarray(coded.indices, np.int64)
+        sides.append((ids, np.repeat(text, np.asarray(pc.list_value_length(lists), np.int64)), lists.flatten()))
+    (refs, ref_of, words), (docs, doc_of, tokens) = sides
+    if not len(refs) or not len(docs):
+        return refs, np.zeros(0, np.int64), docs, iter(())
+    # the references' counts by token: their places from begin to end
+    known = pc.unique(words)
+    key, n = np.unique(np.asarray(pc.index_in(words, known), np.int64) * len(refs) + ref_of, return_counts=True)
+    word, ref = np.divmod(key, len(refs))
+    count = np.bincount(word, minlength=len(known))
+    begin = np.cumsum(count) - count
+    found = pc.index_in(tokens, known)
+    there = np.asarray(found.is_valid())
+    key, held = np.unique(doc_of[there] * len(known) + np.asarray(found.fill_null(0), np.int64)[there], return_counts=True)
+    doc, word = np.divmod(key, len(known))
+    met = np.concatenate([[0], np.cumsum(np.bincount(doc, count[word], len(docs)))])
+
+    def slices():
+        start = 0
+        while start < len(docs):
+            end = min(start + DOCUMENTS_AT_A_TIME, max(start + 1, int(np.searchsorted(met, met[start] + COMMON_AT_A_TIME, "right")) - 1), len(docs))
+            a, b = np.searchsorted(doc, [start, end])
+            times = count[word[a:b]]
+            at = np.repeat(begin[word[a:b]] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
+            common = np.minimum(n[at], np.repeat(held[a:b], times)) if least else n[at]
+            m = np.bincount(np.repeat((doc[a:b] - start) * len(refs), times) + ref[at], common, (end - start) * len(refs))
+            yield start, m.astype(np.int64).reshape(end - start, len(refs))
+            start = end
+
+    return refs, np.bincount(ref_of, minlength=len(refs)), docs, slices()
+
+
 def lexical_top_k(references: DataFrame, documents: DataFrame, k: int, floor: float) -> DataFrame:
     """(reference_id, chunk_id, share, rank): each reference's k documents of the greatest share at or above the floor, ties by chunk_id. Exact.
 
@@ -153,10 +211,29 @@ def grid(questions: DataFrame, ks: list[int]) -> DataFrame:
     return questions.withColumn("k", F.explode(F.array(*(F.lit(int(k)) for k in ks))))
 
 
-def multiset_overlap(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, overlap): size of the intersection of two multisets (some of the keys, token, n); keys that both have must agree."""
-    both = [k for k in keys if k in a.columns and k in b.columns]
-    return a.withColumnRenamed("n", "__a").join(b.withColumnRenamed("n", "__b"), [*both, "token"]).groupBy(*keys).agg(F.sum(F.least("__a", "__b")).alias("overlap"))
+def multiset_overlap(references: DataFrame, documents: DataFrame) -> DataFrame:
+    """(reference_id, chunk_id, overlap) of all pairs with a common token: size of the intersection of their multisets of tokens. Exact.
+
+    references: (reference_id, text); documents: (chunk_id, content). Rows of one id, also those without, are one multiset and go to one block. As in lexical_top_k a pair
+    of blocks is one unit of work: a document's tokens are shuffled as one text, once for each block of references, and no common token becomes a row.
+    """
+    joined = lambda df, key, text: df.select(F.col(key).alias("id"), T.tokens(text).alias("t")).select("id", F.size("t").alias("n"), F.array_join("t", " ").alias("words")).where("n > 0")
+
+    def overlaps(table):
+        import numpy as np
+        import pyarrow as pa
+
+        refs, _, docs, slices = block_product(table, by_id=True, least=True)
+        kinds = pa.schema([("reference_id", pa.int64()), ("chunk_id", pa.int64()), ("overlap", pa.int64())])
+        found = []
+        for start, some in slices:
+            doc, ref = np.nonzero(some)
+            found.append(pa.record_batch([refs.take(pa.array(ref)), docs.take(pa.array(start + doc)), pa.array(some[doc, ref])], schema=kinds))
+        return pa.Table.from_batches(found, kinds)
+
+    held = staged(joined(documents, "chunk_id", "content"), "held")
+    pairs = block_pairs(joined(references, "reference_id", "text"), held, OVERLAPS_PER_BLOCK, ["id"])
+    return pairs.groupBy("db", "rb").applyInArrow(overlaps, "reference_id long, chunk_id long, overlap long")
 
 
 def token_metrics(questions: DataFrame, references: DataFrame, hits: DataFrame, found: DataFrame, ks: list[int]) -> DataFrame:

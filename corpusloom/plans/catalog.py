@@ -533,9 +533,7 @@ def rank_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_SHARES} SELECT item_id AS reference_id, doc_id AS chunk_id, CAST(sum(least(reftf.tf, doctok.tf)) AS BIGINT) AS overlap FROM reftf JOIN doctok USING (tok) GROUP BY 1, 2""")
 def multiset_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    count = lambda df, key, text, to: df.select(F.col(key).alias(to), F.explode(T.tokens(text)).alias("token")).groupBy(to, "token").agg(F.count(F.lit(1)).alias("n"))
-    a, b = count(table(spark, sf_dir, "benchmark"), "item_id", "text", "reference_id"), count(_docs(spark, sf_dir), "doc_id", "text", "chunk_id")
-    return evaluation.multiset_overlap(a, b, ["reference_id", "chunk_id"])
+    return evaluation.multiset_overlap(_references(spark, sf_dir), _chunks(spark, sf_dir))
 
 
 # re-ranking ----------------------------------------------------------------------------------------------------

@@ -2,7 +2,9 @@
 
 import json
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +116,39 @@ def test_lexical_search(spark, monkeypatch):
     assert E.lexical_top_k(r.limit(0), d, 3, 0.1).collect() == [] == E.lexical_top_k(r, d.limit(0), 3, 0.1).collect()
 
 
+def test_multiset_overlap_by_blocks(spark, monkeypatch):
+    """By small blocks too: repeated tokens, repeated and missing ids, texts without tokens; no common token is a row of a join or a key of a shuffle."""
+    rnd = random.Random(8)
+    text = lambda n: " ".join(rnd.choice("abcdefgh" if rnd.random() < 0.5 else "ab") for _ in range(n))
+    refs, docs = [(i, text(rnd.randint(0, 9))) for i in range(20)] + [(3, "A b, b"), (None, "a"), (None, "a h"), (40, None)], [(i, text(rnd.randint(0, 14))) for i in range(60)] + [(5, "b b"), (None, "a a a h"), (None, "h"), (70, "...")]
+    r, d = spark.createDataFrame(refs, "reference_id long, text string"), spark.createDataFrame(docs, "chunk_id long, content string").repartition(3)
+    sides = []
+    for rows in (refs, docs):
+        sides.append({})
+        for i, x in rows:
+            sides[-1].setdefault(i, Counter()).update(models.normal_tokens(x or ""))
+    want = {(i, j, n) for i, a in sides[0].items() for j, b in sides[1].items() if (n := (a & b).total())}
+    for name, value in {"DOCUMENTS_PER_BLOCK": 9, "OVERLAPS_PER_BLOCK": 6, "TOKENS_PER_BLOCK": 30, "DOCUMENTS_AT_A_TIME": 4, "COMMON_AT_A_TIME": 11}.items():
+        got = E.multiset_overlap(r, d)
+        rows = [tuple(x) for x in got.collect()]
+        assert set(rows) == want and len(rows) == len(want)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+        monkeypatch.setattr(E, name, value)
+    assert E.multiset_overlap(r.limit(0), d).collect() == [] == E.multiset_overlap(r, d.limit(0)).collect()
+
+
+def test_slices_of_a_pair_of_blocks_are_bounded(monkeypatch):
+    """However frequent tokens are: a slice meets so many pairs of tokens at most, unless one document alone has more."""
+    monkeypatch.setattr(E, "COMMON_AT_A_TIME", 100)
+    ids, words = list(range(60)), ["a b c d"] * 10 + ["a b"] * 50
+    table = pa.table({"id": pa.array(ids, pa.int64()), "words": words, "asked": [True] * 10 + [False] * 50})
+    refs, sizes, docs, slices = E.block_product(table, by_id=False, least=False)
+    slices = list(slices)
+    assert [start for start, _ in slices] == list(range(0, 50, 5)) and all(m.shape == (5, 10) and (m == 2).all() for _, m in slices)
+    assert refs.to_pylist() == ids[:10] and docs.to_pylist() == ids[10:] and sizes.tolist() == [4] * 10
+
+
 def test_matches_count_repeated_tokens_once_for_each(spark):
     refs = spark.createDataFrame([(1, "x", "a a a b c"), (1, "y", "..."), (1, "z", "c d"), (2, "w", "a")], "question_id long, reference_id string, text string")
     hits = spark.createDataFrame([(1, 10, 1, "A, b!"), (1, 11, 2, "c"), (1, 12, 3, None), (2, 10, 1, "b")], "question_id long, chunk_id long, rank long, content string")
