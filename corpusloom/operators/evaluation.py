@@ -122,62 +122,34 @@ def lexical_top_k(references: DataFrame, documents: DataFrame, k: int, floor: fl
     """(reference_id, chunk_id, share, rank): each reference's k documents of the greatest share at or above the floor, ties by chunk_id. Exact.
 
     references: (reference_id, text); documents: (chunk_id, content); the share is that of fuzzy_pairs. Both are dealt into blocks; a pair of blocks is one unit of
-    work, in which a sparse product of the documents' tokens and the references' weights is cut to the k best. So no pair becomes a row, no token, however
+    work, in which a sparse product of the documents' tokens and the references' weights is cut to the k best, slice by slice. So no pair becomes a row, no token, however
     frequent, is a key of a shuffle, and neither side is broadcast or gathered. Rows without an id, and texts without tokens, take no part.
     """
-    asked = references.select(F.col("reference_id").alias("id"), T.tokens("text").alias("t")).where(F.col("id").isNotNull() & (F.size("t") > 0))
-    held = staged(documents.select(F.col("chunk_id").alias("id"), F.array_distinct(T.tokens("content")).alias("t")).where(F.col("id").isNotNull() & (F.size("t") > 0)), "held")
-    size = held.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("t")), F.lit(0)).alias("tokens")).first()
-    blocks, asked_blocks = max(1, -(-size.n // DOCUMENTS_PER_BLOCK), -(-size.tokens // TOKENS_PER_BLOCK)), max(1, -(-asked.count() // REFERENCES_PER_BLOCK))
-    dealt = lambda n: F.pmod(F.xxhash64("id", F.size("t")), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = held.withColumn("db", dealt(blocks)).withColumn("rb", every(asked_blocks)).withColumn("asked", F.lit(False))
-    right = asked.withColumn("rb", dealt(asked_blocks)).withColumn("db", every(blocks)).withColumn("asked", F.lit(True))
+    joined = lambda df, t: df.select("id", F.size(t).alias("n"), F.array_join(t, " ").alias("words")).where(F.col("id").isNotNull() & (F.col("n") > 0))
+    asked = joined(references.select(F.col("reference_id").alias("id"), T.tokens("text").alias("t")), F.col("t"))
+    held = staged(joined(documents.select(F.col("chunk_id").alias("id"), F.array_distinct(T.tokens("content")).alias("t")), F.col("t")), "held")
 
     def best(table):
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
-
-        names, kinds = ["reference_id", "chunk_id", "share"], (pa.int64(), pa.int64(), pa.float64())
-        sides = []
-        for rows in (table.filter(table["asked"]), table.filter(pc.invert(table["asked"]))):
-            lists = rows["t"].combine_chunks()
-            sizes = np.asarray(pc.list_value_length(lists), np.int64)
-            sides.append((rows["id"].to_numpy(), sizes, np.repeat(np.arange(len(sizes)), sizes), lists.flatten()))
-        (refs, n, ref_of, words), (docs, _, doc_of, tokens) = sides
-        if not len(refs) or not len(docs):
-            return pa.table([pa.array([], kind) for kind in kinds], names=names)
-        # the references' weights by token: their places in `order` from begin to end
-        known = pc.unique(words)
-        word = np.asarray(pc.index_in(words, known))
-        order = np.argsort(word, kind="stable")
-        count = np.bincount(word, minlength=len(known))
-        begin = np.cumsum(count) - count
-        found = pc.index_in(tokens, known)
-        there = np.asarray(found.is_valid())
-        word, doc_of = np.asarray(found.fill_null(0), np.int64)[there], doc_of[there]
-        out = []
-        for start in range(0, len(docs), DOCUMENTS_AT_A_TIME):
-            a, b = np.searchsorted(doc_of, [start, start + DOCUMENTS_AT_A_TIME])
-            some, rows = word[a:b], min(DOCUMENTS_AT_A_TIME, len(docs) - start)
-            times = count[some]
-            at = np.repeat(begin[some] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
-            m = np.bincount(np.repeat(doc_of[a:b] - start, times) * len(refs) + ref_of[order[at]], minlength=rows * len(refs)).reshape(rows, len(refs))
-            fit = m.astype(float) / n >= floor
-            m = np.where(fit, m, 0)
-            if rows > k:  # all that tie with the k-th stay, and are ranked below
-                fit &= m >= np.partition(m, rows - k, 0)[rows - k]
-            doc, ref = np.nonzero(fit)
-            out.append((ref, docs[start + doc], m[doc, ref]))
-        ref, doc, m = (np.concatenate(c) for c in zip(*out, strict=True))
-        order = np.lexsort((doc, -m, ref))
-        ref, doc, m = ref[order], doc[order], m[order]
-        place = np.arange(len(ref)) - np.searchsorted(ref, ref)
-        ref, doc, m = ref[place < k], doc[place < k], m[place < k]
-        return pa.table([pa.array(c, kind) for c, kind in zip((refs[ref], doc, m.astype(float) / n[ref]), kinds, strict=True)], names=names)
-
-    hits = left.unionByName(right).withColumn("id", F.col("id").cast("long")).groupBy("db", "rb").applyInArrow(best, "reference_id long, chunk_id long, share double")
+
+        refs, n, docs, slices = block_product(table, by_id=False, least=False)
+        refs, docs = np.asarray(refs, np.int64), np.asarray(docs, np.int64)
+        ref = doc = m = np.zeros(0, np.int64)
+        for start, some in slices:
+            fit = some.astype(float) / n >= floor
+            some = np.where(fit, some, 0)
+            if len(some) > k:  # all that tie with the k-th stay, and are ranked with those of the slices before
+                fit &= some >= np.partition(some, len(some) - k, 0)[len(some) - k]
+            at, to = np.nonzero(fit)
+            ref, doc, m = np.concatenate([ref, to]), np.concatenate([doc, docs[start + at]]), np.concatenate([m, some[at, to]])
+            order = np.lexsort((doc, -m, ref))
+            ref, doc, m = ref[order], doc[order], m[order]
+            first = np.arange(len(ref)) - np.searchsorted(ref, ref) < k
+            ref, doc, m = ref[first], doc[first], m[first]
+        return pa.table({"reference_id": pa.array(refs[ref], pa.int64()), "chunk_id": pa.array(doc, pa.int64()), "share": pa.array(m.astype(float) / n[ref], pa.float64())})
+
+    hits = block_pairs(asked, held, REFERENCES_PER_BLOCK, ["id", "n"]).groupBy("db", "rb").applyInArrow(best, "reference_id long, chunk_id long, share double")
     ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("reference_id").orderBy(F.desc("share"), F.asc("chunk_id"))).cast("long"))
     return ranked.where(F.col("rank") <= k)
 

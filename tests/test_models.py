@@ -149,6 +149,16 @@ def test_slices_of_a_pair_of_blocks_are_bounded(monkeypatch):
     assert refs.to_pylist() == ids[:10] and docs.to_pylist() == ids[10:] and sizes.tolist() == [4] * 10
 
 
+def test_blocks_are_bounded_by_tokens_on_both_sides(spark, monkeypatch):
+    """Long references are dealt into more blocks too, and each row meets every block of the other side."""
+    monkeypatch.setattr(E, "TOKENS_PER_BLOCK", 30)
+    text = lambda n, size: spark.createDataFrame([(i, size, "w " * (size - 1) + "w") for i in range(n)], "id long, n int, words string")
+    rows = E.block_pairs(text(6, 40), text(5, 12), 100, ["id", "n"]).collect()
+    blocks = lambda asked, side: {r.id: {x[side] for x in rows if x.asked == asked and x.id == r.id} for r in rows if r.asked == asked}
+    assert all(b == {0, 1} for b in blocks(True, "db").values()) and all(b == set(range(8)) for b in blocks(False, "rb").values())
+    assert all(len(b) == 1 for b in [*blocks(True, "rb").values(), *blocks(False, "db").values()])
+
+
 def test_matches_count_repeated_tokens_once_for_each(spark):
     refs = spark.createDataFrame([(1, "x", "a a a b c"), (1, "y", "..."), (1, "z", "c d"), (2, "w", "a")], "question_id long, reference_id string, text string")
     hits = spark.createDataFrame([(1, 10, 1, "A, b!"), (1, 11, 2, "c"), (1, 12, 3, None), (2, 10, 1, "b")], "question_id long, chunk_id long, rank long, content string")
