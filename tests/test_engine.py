@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -113,6 +114,17 @@ def test_sections():
     assert all(len(s.content.split()) <= 4 for s in C.section_chunks("# A\na b. c d. e f.", 4))
 
 
+def test_pieces_are_held_for_few_texts_at_a_time(spark, monkeypatch):
+    """A batch counts rows, not characters: pieces of its texts go out, and are let go, before the next texts are read."""
+    monkeypatch.setattr(C, "CHARACTERS_AT_A_TIME", 10)
+    texts = ["abcd", None, "abcdef", "", "x" * 25, "ab"]
+    batch = pa.record_batch({"id": pa.array(range(6), pa.int64()), "text": texts})
+    assert list(C.portions(batch)) == [[(0, "abcd"), (2, "abcdef")], [(3, ""), (4, "x" * 25)], [(5, "ab")]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert [(r.doc_id, r.content) for r in C.chunk_rows(docs, lambda t: [t[:5], t[5:]]).where("content <> ''").collect()] == [(0, "abcd"), (2, "abcde"), (2, "f"), (4, "xxxxx"), (4, "x" * 20), (5, "ab")]
+    assert [tuple(r) for r in C.span_rows(docs, lambda t: [(0, len(t))]).collect()] == [(i, 0, 0, len(t)) for i, t in enumerate(texts) if t]
+
+
 def test_chunk_rows_and_udtf(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, None), (3, "")], "doc_id long, text string")
     got = C.chunk_rows(docs, lambda t: C.recursive_chunks(t, 2)).collect()
